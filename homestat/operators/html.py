@@ -301,8 +301,8 @@ def detail_specs(pages: DataFrame, selectors: dict[str, str] = DETAIL_SELECTORS)
 
 
 def _spec(label: str):
-    return F.element_at(
-        F.filter("specs", lambda s: F.lower(s["title"]).contains(label.lower())), 1)["value"]
+    return F.try_element_at(
+        F.filter("specs", lambda s: F.lower(s["title"]).contains(label.lower())), F.lit(1))["value"]
 
 
 def extract_details(pages: DataFrame) -> DataFrame:
