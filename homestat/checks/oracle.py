@@ -165,7 +165,7 @@ def _cast_numeric(x: str, dtype: str) -> str:
 
 
 def _loc(part: int) -> str:
-    parts = f"list_transform(string_split(COALESCE(location_text, ''), ','), p -> {_strip('p')})"
+    parts = f"list_transform(string_split(COALESCE(location_text, ''), ','), lambda p: {_strip('p')})"
     return f"COALESCE({parts}[{part}], '')"
 
 

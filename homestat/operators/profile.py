@@ -6,7 +6,7 @@ unpivoted, so the table is scanned once however many columns it has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.constants import HISTOGRAM_BINS, NULL_BAD_PCT, NULL_WARN_PCT, PROFILE_TOPK
@@ -129,13 +129,14 @@ def topk_categories(raw: DataFrame, columns: list[str] = PROFILE_CATEGORIES, k:
         raw.selectExpr(stack).where(F.col("value").isNotNull())
         .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
     )
-    from pyspark.sql import Window
+    # rank <= k over a rank-only window lets Spark keep a per-task top-k before
+    # the shuffle (window group limit), so no column's distinct values meet in one task
     w = Window.partitionBy("column_name").orderBy(F.desc("count"), "value")
-    ranked = counts.withColumns({
-        "rank": F.row_number().over(w),
-        "distinct_values": F.count(F.lit(1)).over(Window.partitionBy("column_name")),
-    })
-    return ranked.where(F.col("rank") <= k).select("column_name", "rank", "value", "count", "distinct_values")
+    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    distinct = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    # one row per profiled column: bounded by the column list
+    return top.join(F.broadcast(distinct), "column_name").select(
+        "column_name", "rank", "value", "count", "distinct_values")
 
 
 def duplicates(raw: DataFrame, key: str = "listing_id") -> DataFrame:
