@@ -13,10 +13,15 @@ from homestat.constants import (
     PRICE_TIER_LABELS,
 )
 
-# Characters Python's str.strip() removes: ASCII space/control separators,
-# NEL and every Unicode space separator (NBSP, thin spaces, ideographic space, ...).
-STRIP_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F \x85\p{Z}]"
-_STRIP_EDGES = rf"^{STRIP_CLASS}+|{STRIP_CLASS}+$"
+# Characters Python's str.strip() removes: ASCII whitespace and separators
+# (\t \n \v \f \r, U+001C-U+001F, space), NEL, and the Unicode space, line and
+# paragraph separators (NBSP, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F,
+# U+205F, U+3000).
+STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # A plain decimal number, optionally signed, optionally with exponent.  Anything
 # else ('nan', 'inf', '5d', '0x1A') is not a number for the cleaning step.
@@ -27,6 +32,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: Column) -> Column:
+    """Remove leading and trailing whitespace characters (native, no regex)."""
+    return F.btrim(c, F.lit(STRIP_CHARS))
+
+
 def tier(value: str | Column, bounds: list, labels: list[str], null_as_top: bool = False) -> Column:
     """Bucket a number into labelled tiers; lower bounds inclusive.
 
@@ -60,7 +70,7 @@ def derive_ppm(price: str | Column = "price_billion", area: str | Column = "area
 
 def normalize_text(value: str | Column) -> Column:
     """Strip Unicode whitespace at both ends; the text 'nan' becomes NULL."""
-    stripped = F.regexp_replace(_col(value).cast("string"), _STRIP_EDGES, "")
+    stripped = strip(_col(value).cast("string"))
     return F.when(stripped != F.lit("nan"), stripped)
 
 
@@ -72,7 +82,7 @@ def cast_numeric(value: str | Column, dtype: T.DataType) -> Column:
     or 5.0 the way a bare cast would.  Integer columns take integral values only.
     """
     v = _col(value)
-    text = F.regexp_replace(v.cast("string"), _STRIP_EDGES, "")
+    text = strip(v.cast("string"))
     as_double = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
         return F.when(as_double == F.floor(as_double), as_double.try_cast(dtype)).cast(dtype)

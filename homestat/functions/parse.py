@@ -16,10 +16,9 @@ from homestat.constants import (
     UNIT_BILLION,
     UNIT_MILLION,
 )
-from homestat.functions.listing import STRIP_CLASS
+from homestat.functions.listing import strip
 
 _NOT_NUMBER = r"[^0-9.]"
-_EDGES = rf"^{STRIP_CLASS}+|{STRIP_CLASS}+$"
 
 
 def _col(c: str | Column) -> Column:
@@ -27,7 +26,7 @@ def _col(c: str | Column) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGES, "")
+    return strip(c)
 
 
 def _number_before(text: Column, unit: str) -> Column:

@@ -8,7 +8,7 @@ first row removes its listing entirely.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,19 +59,17 @@ def drop_missing(df: DataFrame, subset: list[str]) -> DataFrame:
 def dedup_first(df: DataFrame, key: str = "listing_id", order: str = ORDER_COL) -> DataFrame:
     """Keep the first row per ``key`` in the total order given by column ``order``.
 
-    Written as ``min(struct(order, row))`` per key rather than a window: the
-    aggregate combines map-side, so a key holding a third of all rows is
-    reduced inside each map task and never lands whole in one reducer.
+    ``row_number() <= 1`` over (key, order) lets Spark insert a partial window
+    group limit before the shuffle: every map task keeps only its first row
+    per key, so a key holding a third of all rows sends one row per task, not
+    the whole group, to its reducer.
     """
     if order not in df.columns:
         df = df.withColumn(order, F.struct(F.input_file_name().alias("f"),
                                            F.monotonically_increasing_id().alias("i")))
-    payload = [c for c in df.columns if c not in (key, order)]
-    best = F.min(F.struct(F.col(order).alias("__order"), *[F.col(c) for c in payload])).alias("__row")
-    return (
-        df.groupBy(key).agg(best)
-        .select(key, *[F.col(f"__row.{c}").alias(c) for c in payload])
-    )
+    cols = [c for c in df.columns if c != order]
+    w = Window.partitionBy(key).orderBy(F.col(order).asc())
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 1).select(*cols)
 
 
 def filter_outliers(df: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX) -> DataFrame:

@@ -51,6 +51,11 @@ def clean(spark, sf) -> DataFrame:
     return C.clean_listings(raw_listings(spark, sf))
 
 
+def clean_once(spark, sf) -> DataFrame:
+    """The cleaned table written once, for queries that read it in several jobs."""
+    return S.materialize(clean(spark, sf), "clean")
+
+
 def speed(spark, sf) -> DataFrame:
     return ST.replay(clean(spark, sf))
 
@@ -59,18 +64,18 @@ def cards(spark, sf) -> DataFrame:
     return listing_cards(spark, sf)
 
 
-def merged_district(spark, sf) -> DataFrame:
-    c = clean(spark, sf)
+def merged_district(spark, sf, c: DataFrame | None = None) -> DataFrame:
+    c = c if c is not None else clean_once(spark, sf)
     return SV.merge_by_district(V.by_district(c), V.speed_by_district(ST.replay(c)))
 
 
 def merged_type(spark, sf) -> DataFrame:
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     return SV.merge_by_type(V.by_type(c), V.speed_by_type(ST.replay(c)))
 
 
 def default_filtered(spark, sf) -> DataFrame:
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     return E.filter_facets(c, E.default_facets(c))
 
 
@@ -130,16 +135,21 @@ def src_kafka_stream(spark, sf):
     return spark.read.schema(src.schema).parquet(f"{root}/out").select("key", "timestamp")
 
 
+def _publish(spark, sf):
+    c = clean_once(spark, sf)
+    return flows.publish_warehouse(spark, c, ST.replay(c))
+
+
 @query("src_warehouse_table")
 def src_warehouse_table(spark, sf):
-    db, paths = flows.publish_warehouse(spark, clean(spark, sf), speed(spark, sf))
+    db, paths = _publish(spark, sf)
     return spark.table(f"{db}.listings")
 
 
 @query("src_fallback_view")
 def src_fallback_view(spark, sf):
-    c = clean(spark, sf)
-    merged = merged_district(spark, sf)
+    c = clean_once(spark, sf)
+    merged = merged_district(spark, sf, c)
     return SV.first_non_empty(merged, V.by_district(c), E.district_fallback(c))
 
 
@@ -153,7 +163,7 @@ def sink_csv_clean(spark, sf):
 @query("sink_parquet_overwrite")
 def sink_parquet_overwrite(spark, sf):
     path = S.scratch_path(spark, "by_type")
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     SK.write_parquet(V.price_dist(c), path)
     SK.write_parquet(V.by_type(c), path)  # overwrite replaces the first output
     return spark.read.parquet(path)
@@ -162,7 +172,7 @@ def sink_parquet_overwrite(spark, sf):
 @query("sink_export_views")
 def sink_export_views(spark, sf):
     src = S.scratch_path(spark, "batch")
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     SK.write_parquet(V.by_type(c), f"{src}/by_type")
     SK.write_parquet(V.by_legal(c), f"{src}/by_legal")
     views = {"by_type": f"{src}/by_type", "by_legal": f"{src}/by_legal", "cluster_stats": f"{src}/cluster_stats"}
@@ -186,25 +196,25 @@ def sink_kafka_json(spark, sf):
 
 @query("sink_ctas")
 def sink_ctas(spark, sf):
-    db, _ = flows.publish_warehouse(spark, clean(spark, sf), speed(spark, sf))
+    db, _ = _publish(spark, sf)
     return spark.table(f"{db}.district_stats")
 
 
 @query("sink_external_table")
 def sink_external_table(spark, sf):
-    db, _ = flows.publish_warehouse(spark, clean(spark, sf), speed(spark, sf))
+    db, _ = _publish(spark, sf)
     return spark.table(f"{db}.streaming_listings")
 
 
 @query("sink_view")
 def sink_view(spark, sf):
-    db, _ = flows.publish_warehouse(spark, clean(spark, sf), speed(spark, sf))
+    db, _ = _publish(spark, sf)
     return spark.table(f"{db}.merged_listings")
 
 
 @query("sink_speed_summary")
 def sink_speed_summary(spark, sf):
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     return V.speed_summary(c, ST.replay(c))
 
 
@@ -336,7 +346,7 @@ def select_columns(spark, sf):
 
 @query("map_lookup")
 def map_lookup(spark, sf):
-    seg = M.segments(clean(spark, sf))
+    seg = M.segments(clean_once(spark, sf))
     return seg.clustered.select("listing_id", "cluster", "segment")
 
 
@@ -392,7 +402,7 @@ REGISTRY["wh_legal_stats"] = _wh(W.legal_stats_sql)
 
 
 def merged_listings(spark, sf) -> DataFrame:
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     return W.merged_listings(spark, c, ST.replay(c))
 
 
@@ -433,18 +443,18 @@ def speed_latest(spark, sf):
 
 @query("cluster_stats")
 def cluster_stats(spark, sf):
-    return M.segments(clean(spark, sf)).stats
+    return M.segments(clean_once(spark, sf)).stats
 
 
 @query("kpi_cards")
 def kpi_cards(spark, sf):
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     return E.kpi_cards(E.filter_facets(c, E.default_facets(c)), ST.replay(c))
 
 
 @query("layer_status")
 def layer_status(spark, sf):
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     s = ST.replay(c)
     return E.layer_status(c, s, SV.merge_by_district(V.by_district(c), V.speed_by_district(s)))
 
@@ -456,7 +466,7 @@ def facet_values(spark, sf):
 
 @query("facet_price_range")
 def facet_price_range(spark, sf):
-    return E.price_range(clean(spark, sf))
+    return E.price_range(clean_once(spark, sf))
 
 
 @query("dash_district_fallback")
@@ -537,7 +547,7 @@ def prof_summary(spark, sf):
 
 @query("join_cluster_names")
 def join_cluster_names(spark, sf):
-    return M.segments(clean(spark, sf)).stats_named
+    return M.segments(clean_once(spark, sf)).stats_named
 
 
 @query("merge_by_district")
@@ -557,7 +567,7 @@ def weighted_merge_avg(spark, sf):
 
 @query("lookup_category_index")
 def lookup_category_index(spark, sf):
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     data = M.model_input(c)
     index = M.string_index(data, "property_type").unionByName(M.string_index(data, "district"))
     t = index.where(F.col("feature") == "property_type").select(
@@ -615,7 +625,7 @@ def stats_top10(spark, sf):
 
 @query("sort_coefficients")
 def sort_coefficients(spark, sf):
-    return M.sorted_coefficients(M.coefficients(M.train_price_model(clean(spark, sf))))
+    return M.sorted_coefficients(M.coefficients(M.train_price_model(clean_once(spark, sf))))
 
 
 @query("sample_500")
@@ -625,25 +635,25 @@ def sample_500(spark, sf):
 
 @query("limit_predictions")
 def limit_predictions(spark, sf):
-    return M.predictions(M.train_price_model(clean(spark, sf)))
+    return M.predictions(M.train_price_model(clean_once(spark, sf)))
 
 
 # ---- 2.10 machine learning -----------------------------------------------------------
 
 @query("ml_assemble_scale")
 def ml_assemble_scale(spark, sf):
-    return M.zscores(M.kmeans_input(clean(spark, sf)))
+    return M.zscores(M.kmeans_input(clean_once(spark, sf)))
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
-    data = M.kmeans_input(clean(spark, sf))
+    data = M.kmeans_input(clean_once(spark, sf))
     return M.fit_kmeans(data).transform(data).drop("raw_features", "features")
 
 
 @query("ml_segments")
 def ml_segments(spark, sf):
-    return M.segments(clean(spark, sf)).clustered
+    return M.segments(clean_once(spark, sf)).clustered
 
 
 @query("ml_string_index")
@@ -659,37 +669,37 @@ def ml_split(spark, sf):
 
 @query("ml_linreg")
 def ml_linreg(spark, sf):
-    return M.model_params(M.train_price_model(clean(spark, sf)))
+    return M.model_params(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("ml_eval")
 def ml_eval(spark, sf):
-    return M.metrics(M.train_price_model(clean(spark, sf)))
+    return M.metrics(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("ml_coefficients")
 def ml_coefficients(spark, sf):
-    return M.coefficients(M.train_price_model(clean(spark, sf)))
+    return M.coefficients(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("ml_predictions")
 def ml_predictions(spark, sf):
-    return M.predictions(M.train_price_model(clean(spark, sf)))
+    return M.predictions(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("ml_category_map")
 def ml_category_map(spark, sf):
-    return M.category_map(M.train_price_model(clean(spark, sf)))
+    return M.category_map(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("ml_model_params")
 def ml_model_params(spark, sf):
-    return M.model_params(M.train_price_model(clean(spark, sf)))
+    return M.model_params(M.train_price_model(clean_once(spark, sf)))
 
 
 @query("score_listings")
 def score_listings(spark, sf):
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     pm = M.train_price_model(c)
     return M.score(c, M.params_dict(M.model_params(pm)), M.category_map(pm)) \
         .select("listing_id", "predicted_price", "predicted_price_per_m2")
@@ -697,7 +707,7 @@ def score_listings(spark, sf):
 
 @query("pred_plot_filter")
 def pred_plot_filter(spark, sf):
-    return M.plot_filter(M.predictions(M.train_price_model(clean(spark, sf))))
+    return M.plot_filter(M.predictions(M.train_price_model(clean_once(spark, sf))))
 
 
 # ---- 2.11 streaming --------------------------------------------------------------------
@@ -766,7 +776,7 @@ def flow_speed(spark, sf):
 @query("flow_serve")
 def flow_serve(spark, sf):
     root = S.scratch_path(spark, "flow_serve")
-    c = clean(spark, sf)
+    c = clean_once(spark, sf)
     SK.write_parquet(c, f"{root}/cleaned")
     SK.write_parquet(V.by_district(c), f"{root}/batch/by_district")
     SK.write_parquet(V.by_type(c), f"{root}/batch/by_type")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job needs for correctness or scale; everything else comes from the cluster.
 DEFAULT_CONF = {
@@ -55,3 +55,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     base = root if "://" in root else os.path.abspath(root.replace("file:", "", 1))
     return f"{base.rstrip('/')}/homestat/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint root and read it back.
+
+    Used where one result feeds several jobs (a quantile pass, then a filter,
+    then a replay): the inputs are computed once and later jobs start from
+    the written table, which also cuts lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

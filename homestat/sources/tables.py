@@ -5,11 +5,12 @@ mapping turns every line item into one raw listing (see FIXTURES.md §3).  The
 same mapping is written in DuckDB SQL in ``homestat.checks.duckdb_sql`` so
 every operator can be checked against an independent engine.
 
-Join plan: the fact table joins orders on the order key (both large: shuffle or
-co-partitioned sort-merge), then part and supplier on their keys (Catalyst/AQE
-broadcast them only when their measured size is under the broadcast
-threshold).  nation and region are fixed-size dimensions (25 and 5 rows by the
-schema's definition), so they are broadcast into supplier explicitly.
+Join plan: the fact table joins orders on the order key (both large: a
+sort-merge join on that key), then part and supplier on their keys; Catalyst
+and AQE broadcast a dimension only when its measured size is under the
+broadcast threshold, otherwise they shuffle-join it, splitting skewed keys.
+nation and region are fixed-size dimensions (25 and 5 rows by the schema's
+definition), so they are broadcast explicitly.
 """
 
 from __future__ import annotations
@@ -40,11 +41,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan whose file layout yields fewer tasks than there are cores.
+
+    A large table arrives in many splits and passes through untouched; a small
+    single-row-group file would otherwise push every expression up to the
+    first shuffle through one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ part ⋈ supplier ⋈ nation ⋈ region, pruned to used columns."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
@@ -53,11 +67,13 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    supplier_geo = supplier.join(F.broadcast(geo), supplier.s_nationkey == geo.n_nationkey)
+    # supplier joins on its own so the planner sizes it from its files; the
+    # fixed-size geography is attached afterwards by broadcast
     return (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(part, li.l_partkey == part.p_partkey)
-        .join(supplier_geo, li.l_suppkey == supplier_geo.s_suppkey)
+        .join(supplier, li.l_suppkey == supplier.s_suppkey)
+        .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
     )
 
 
