@@ -719,12 +719,13 @@ def stream_parse(spark, sf):
 
 @query("stream_enrich")
 def stream_enrich(spark, sf):
-    return speed(spark, sf)
+    return ST.replay(clean(spark, sf), through_json=True)
 
 
 def _stream_files(spark, sf) -> tuple[str, DataFrame]:
     root = S.scratch_path(spark, "stream")
-    ST.to_envelope(clean(spark, sf)).repartition(4).write.parquet(f"{root}/in")
+    # three input files -> three micro-batches through the file source
+    ST.to_envelope(clean(spark, sf)).repartition(3).write.parquet(f"{root}/in")
     return root, ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=1)
 
 
