@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.constants import HISTOGRAM_BINS, NULL_BAD_PCT, NULL_WARN_PCT, PROFILE_TOPK
-from homestat.operators.quantiles import exact_quantiles
+from homestat.operators.quantiles import exact_quantiles, exact_quantiles_by_column
 from homestat.schema import PROFILE_CATEGORIES, PROFILE_NUMERIC
 
 
@@ -68,9 +68,10 @@ def describe(raw: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:
             ("count", F.count(c)), ("mean", F.avg(c)), ("std", F.stddev_samp(c)),
             ("min", F.min(c).cast("double")), ("max", F.max(c).cast("double")))
     ]).first()
+    quantiles = exact_quantiles_by_column(raw, present, [0.25, 0.5, 0.75])
     rows = []
     for c in present:
-        q25, q50, q75 = exact_quantiles(raw, c, [0.25, 0.5, 0.75])
+        q25, q50, q75 = quantiles[c]
         rows.append((c, int(wide[f"{c}__count"]), wide[f"{c}__mean"], wide[f"{c}__std"],
                      wide[f"{c}__min"], q25, q50, q75, wide[f"{c}__max"]))
     schema = ("column_name string, count bigint, mean double, std double, min double, "

@@ -89,3 +89,44 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> list[floa
 
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     return exact_quantiles(df, column, [p])[0]
+
+
+def exact_quantiles_by_column(df: DataFrame, columns: list[str], probs: list[float],
+                              band_rows: int = BAND_ROWS) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of several columns with few passes.
+
+    The columns are unpivoted to (column_name, x); one aggregate counts every
+    column, and one window partitioned by column reads the wanted ranks of all
+    columns whose size is within ``band_rows``.  Larger columns take the
+    bracketing search of ``value_at_ranks`` one by one.
+    """
+    stack = "stack({}, {}) as (column_name, x)".format(
+        len(columns), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns))
+    long = df.selectExpr(stack).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    counts = {r["column_name"]: r["n"] for r in long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spots = {c: [p * (counts[c] - 1) for p in probs] for c in columns if counts.get(c)}
+    ranks = {c: sorted({int(math.floor(s)) for s in sp} | {int(math.ceil(s)) for s in sp}) for c, sp in spots.items()}
+    values: dict[str, dict[int, float]] = {}
+    small = [c for c in ranks if counts[c] <= band_rows]
+    if small:
+        wanted = None
+        for c in small:
+            cond = (F.col("column_name") == c) & F.col("rk").isin(ranks[c])
+            wanted = cond if wanted is None else wanted | cond
+        w = Window.partitionBy("column_name").orderBy("x")
+        rows = (long.where(F.col("column_name").isin(small))
+                .withColumn("rk", F.row_number().over(w) - 1).where(wanted).collect())
+        for r in rows:
+            values.setdefault(r["column_name"], {})[r["rk"]] = r["x"]
+    for c in ranks:
+        if c not in small:
+            values[c] = value_at_ranks(_values(df, c), ranks[c], counts[c])
+    out: dict[str, list[float | None]] = {}
+    for c in columns:
+        if c not in spots:
+            out[c] = [None] * len(probs)
+            continue
+        got = values[c]
+        out[c] = [got[int(math.floor(s))] + (got[int(math.ceil(s))] - got[int(math.floor(s))]) * (s - math.floor(s))
+                  for s in spots[c]]
+    return out

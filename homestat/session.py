@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches handed to Python (HTML pages are large rows): bound the
+    # rows per batch so one batch stays small in the Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -37,7 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
     On a cluster the setting names a shared file system; it is read, never
-    overridden.  Only when nothing is set (local tests) a private folder is made.
+    overridden, and a cluster without it is an error.  Only in local mode with
+    nothing set (tests) a private folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
         configured = tempfile.mkdtemp(prefix="homestat-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

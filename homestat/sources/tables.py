@@ -41,16 +41,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan whose file layout yields fewer tasks than there are cores.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan whose file layout yields fewer tasks than there are cores.
 
     A large table arrives in many splits and passes through untouched; a small
     single-row-group file would otherwise push every expression up to the
-    first shuffle through one task.
+    first shuffle through one task.  Hashing on ``keys`` (not round-robin)
+    keeps the row placement the same when a lost task is recomputed.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *keys)
     return df
 
 
@@ -58,7 +59,7 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ part ⋈ supplier ⋈ nation ⋈ region, pruned to used columns."""
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate"), "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")

@@ -181,3 +181,18 @@ def test_html_details(spark):
     assert d.posted_date == "01/02/2024" and d.contact == "Anh A"
     assert got["u2"].bedrooms is None
     assert F is not None
+
+
+def test_exact_quantiles_by_column(spark):
+    from homestat.operators.quantiles import exact_quantiles_by_column
+    rng = np.random.default_rng(5)
+    a = rng.normal(0, 1, 3000)
+    b = rng.integers(0, 20, 3000).astype(float)
+    rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = exact_quantiles_by_column(df, ["a", "b"], [0.25, 0.5, 0.75])
+    bb = np.array([y for i, y in enumerate(b) if i % 7])
+    assert got["a"] == pytest.approx(list(np.quantile(a, [0.25, 0.5, 0.75])), rel=1e-12)
+    assert got["b"] == pytest.approx(list(np.quantile(bb, [0.25, 0.5, 0.75])), rel=1e-12)
+    big = exact_quantiles_by_column(df, ["a"], [0.5], band_rows=100)
+    assert big["a"] == pytest.approx([float(np.quantile(a, 0.5))], rel=1e-12)
