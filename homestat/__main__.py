@@ -65,6 +65,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     a.add_argument("--db", default="listings")
     a.add_argument("--listings", required=True)
     a.add_argument("--speed", default=None)
+    a.add_argument("--location", default=None, help="folder for the database and its tables")
 
     a = sub.add_parser("serve")
     a.add_argument("--root", required=True, help="folder with cleaned/, batch/, speed/")
@@ -121,7 +122,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
                 for q in queries:
                     q.stop()
     elif args.job == "warehouse":
-        _print(W.publish(spark, args.db, args.listings, args.speed))
+        _print(W.publish(spark, args.db, args.listings, args.speed, args.location))
     elif args.job == "serve":
         _print(flows.serve(spark, args.root))
     elif args.job == "batch":

@@ -142,13 +142,17 @@ STAT_TABLES = {
 }
 
 
-def publish(spark: SparkSession, db: str, listings_path: str, speed_path: str | None) -> dict[str, int]:
+def publish(spark: SparkSession, db: str, listings_path: str, speed_path: str | None,
+            location: str | None = None) -> dict[str, int]:
     """Create database, external tables, CTAS statistics and the merged view.
 
-    Only a missing speed folder is treated as "no stream yet"; any other error
-    propagates.  Returns row counts of what was created.
+    ``location`` places the database (and its CTAS tables) in a given folder;
+    by default the catalog's warehouse is used.  Only a missing speed folder is
+    treated as "no stream yet"; any other error propagates.  Returns row
+    counts of what was created.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
     spark.sql(f"DROP TABLE IF EXISTS {db}.listings")
     spark.sql(f"CREATE TABLE {db}.listings ({ddl(CLEAN_SCHEMA)}) USING PARQUET LOCATION '{listings_path}'")
     counts = {"listings": spark.table(f"{db}.listings").count()}

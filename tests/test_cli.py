@@ -18,7 +18,8 @@ def test_pipeline_on_files(spark, tmp_dir, capsys):
     main(["stream", "--source", f"{tmp_dir}/topic", "--output", f"{root}/speed",
           "--checkpoint", f"{tmp_dir}/ckpt"], spark)
     main(["serve", "--root", root], spark)
-    main(["warehouse", "--db", "cli_test", "--listings", f"{root}/cleaned", "--speed", f"{root}/speed"], spark)
+    main(["warehouse", "--db", "cli_test", "--listings", f"{root}/cleaned", "--speed", f"{root}/speed",
+          "--location", f"{tmp_dir}/db"], spark)
     out = capsys.readouterr().out
     cleaned = spark.read.parquet(f"{root}/cleaned").count()
     assert cleaned > 0 and spark.read.parquet(f"{root}/speed").count() == cleaned
