@@ -45,6 +45,16 @@ METRIC_NAMES = ["R²", "RMSE (tỷ)", "MAE (tỷ)", "Train rows", "Test rows"]
 # Regression feature names as published in the coefficient table.
 COEF_FEATURES = ["area_m2", "bedrooms", "bathrooms", "floors", "property_type_idx", "district_idx"]
 
+# Display label of each regression feature.
+FEATURE_LABELS = {
+    "area_m2": "Diện tích (m²)",
+    "bedrooms": "Số phòng ngủ",
+    "bathrooms": "Số phòng tắm",
+    "floors": "Số tầng",
+    "property_type_idx": "Loại BĐS (index)",
+    "district_idx": "Quận/Huyện (index)",
+}
+
 # Dashboard limits.
 TOP_DISTRICTS = 15
 LATEST_FEED_ROWS = 8

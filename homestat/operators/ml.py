@@ -19,7 +19,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from homestat.constants import COEF_FEATURES, METRIC_NAMES, PREDICTION_ROWS, SEGMENT_NAMES
+from homestat.constants import COEF_FEATURES, FEATURE_LABELS, METRIC_NAMES, PREDICTION_ROWS, SEGMENT_NAMES
 from homestat.operators.views import cluster_stats
 from homestat.schema import KMEANS_FEATURES, LR_CAT_FEATURES, LR_LABEL, LR_NUM_FEATURES
 
@@ -168,9 +168,12 @@ def coefficients(pm: PriceModel) -> DataFrame:
 
 
 def sorted_coefficients(coef: DataFrame) -> DataFrame:
-    """Ascending, with sign for bar colouring."""
-    return coef.withColumn("sign", F.when(F.col("coefficient") < 0, "negative").otherwise("positive")) \
-        .orderBy("coefficient", "feature")
+    """Ascending, with display label (unknown features keep their name) and sign."""
+    labels = F.create_map(*[F.lit(x) for kv in FEATURE_LABELS.items() for x in kv])
+    return coef.withColumns({
+        "label": F.coalesce(F.try_element_at(labels, F.col("feature")), F.col("feature")),
+        "sign": F.when(F.col("coefficient") < 0, "negative").otherwise("positive"),
+    }).orderBy("coefficient", "feature")
 
 
 def predictions(pm: PriceModel, n: int = PREDICTION_ROWS) -> DataFrame:

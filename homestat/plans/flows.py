@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from homestat import session as S
 from homestat.operators import clean as C
@@ -116,4 +115,4 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-__all__ = ["batch", "speed", "serve", "publish_warehouse", "checkpointed", "F"]
+__all__ = ["batch", "speed", "serve", "publish_warehouse", "checkpointed"]

@@ -24,7 +24,7 @@ from homestat.operators import serve as SV
 from homestat.operators import views as V
 from homestat.plans import flows
 from homestat.plans import warehouse as W
-from homestat.schema import CLEAN_COLUMNS, DETAIL_COLUMNS, MERGED_COLUMNS, NUMERIC_TYPES, RAW_COLUMNS
+from homestat.schema import DETAIL_COLUMNS, NUMERIC_TYPES, RAW_COLUMNS
 from homestat.sources import files as SF
 from homestat.sources import sinks as SK
 from homestat.sources.tables import LISTING_BASE_URL, listing_cards, raw_listings, table
@@ -795,4 +795,4 @@ def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
-__all__ = ["queries", "REGISTRY", "CLEAN_COLUMNS", "MERGED_COLUMNS"]
+__all__ = ["queries", "REGISTRY"]
