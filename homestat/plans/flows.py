@@ -61,8 +61,8 @@ def batch(spark: SparkSession, raw: DataFrame, root: str, with_models: bool = Tr
 def speed(spark: SparkSession, clean: DataFrame, root: str) -> DataFrame:
     """Publish listings as envelope files, run the stream (availableNow) into the
     speed folder plus the live aggregate; returns row counts."""
-    ST.to_envelope(clean).repartition(4).write.parquet(f"{root}/topic")
-    src = ST.read_envelope_files(spark, f"{root}/topic", max_files_per_trigger=1)
+    ST.publish_files(clean, f"{root}/topic")
+    src = ST.read_envelope_files(spark, f"{root}/topic", max_files_per_trigger=ST.TOPIC_PARTITIONS)
     name = f"live_{uuid.uuid4().hex[:10]}"
     ST.run_speed_layer(spark, src, f"{root}/speed", f"{root}/ckpt", trigger=None,
                        aggregate_sink="memory", aggregate_name=name)

@@ -132,8 +132,8 @@ def src_recent_files(spark, sf):
 def src_kafka_stream(spark, sf):
     """Envelope records arriving as files, read by a stream into Parquet."""
     root = S.scratch_path(spark, "stream_src")
-    ST.to_envelope(clean(spark, sf)).repartition(4).write.parquet(f"{root}/in")
-    src = ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=1)
+    ST.publish_files(clean(spark, sf), f"{root}/in")
+    src = ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=ST.TOPIC_PARTITIONS)
     q = (src.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -729,9 +729,9 @@ def stream_enrich(spark, sf):
 
 def _stream_files(spark, sf) -> tuple[str, DataFrame]:
     root = S.scratch_path(spark, "stream")
-    # three input files -> three micro-batches through the file source
-    ST.to_envelope(clean(spark, sf)).repartition(3).write.parquet(f"{root}/in")
-    return root, ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=1)
+    # 3 x 8 input files, 8 per trigger -> three micro-batches, each 8 tasks wide
+    ST.publish_files(clean(spark, sf), f"{root}/in")
+    return root, ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=ST.TOPIC_PARTITIONS)
 
 
 @query("stream_append")

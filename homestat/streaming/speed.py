@@ -17,6 +17,12 @@ from homestat.schema import CLEAN_COLUMNS, ENVELOPE_SCHEMA, SPEED_COLUMNS, STREA
 
 SCRAPED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
+# File stand-in for a topic: one file per partition per "poll"; a micro-batch
+# takes TOPIC_PARTITIONS files, so it is as wide as a topic with that many
+# partitions.
+TOPIC_PARTITIONS = 8
+TOPIC_POLLS = 3
+
 
 def to_envelope(listings: DataFrame, timestamp: Column | None = None) -> DataFrame:
     """Listing rows -> (key, value, timestamp) records, as a publisher sends them.
@@ -36,6 +42,15 @@ def to_envelope(listings: DataFrame, timestamp: Column | None = None) -> DataFra
     )
 
 
+def publish_files(listings: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS,
+                  polls: int = TOPIC_POLLS) -> None:
+    """Write listings as envelope Parquet files, ``partitions * polls`` of them.
+
+    Rows are dealt round-robin, so a hot key cannot fill one file.
+    """
+    to_envelope(listings).repartition(partitions * polls).write.parquet(path)
+
+
 def parse(envelope: DataFrame) -> DataFrame:
     """value -> the 22 typed listing fields, plus kafka_timestamp.
 
