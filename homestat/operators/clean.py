@@ -76,14 +76,35 @@ def filter_outliers(df: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX)
     return df.where(F.col("price_billion").between(lo, hi))
 
 
+def typed_columns(df: DataFrame) -> DataFrame:
+    """cast -> price/m² -> tiers -> normalised text as one projection.
+
+    Same result as ``cast_columns``, ``fill_ppm``, ``add_tiers`` and
+    ``normalize_columns`` in turn, composed into a single select so the plan
+    is analysed once.
+    """
+    cast = {}
+    for name, dtype in NUMERIC_TYPES.items():
+        if name in df.columns:
+            col = F.col(name)
+            cast[name] = (cast_numeric(name, dtype) if isinstance(df.schema[name].dataType, T.StringType)
+                          else col.cast(dtype))
+    price, area = cast["price_billion"], cast["area_m2"]
+    out = dict(cast)
+    out["price_per_m2_million"] = derive_ppm(price, area, cast["price_per_m2_million"])
+    for c in TEXT_NORMALIZED:
+        if c in df.columns:
+            out[c] = normalize_text(c)
+    out["price_tier"] = price_tier(price)
+    out["area_tier"] = area_tier(area)
+    keep = [c for c in df.columns if c not in out]
+    return df.select(*keep, *[e.alias(k) for k, e in out.items()])
+
+
 def clean_listings(raw: DataFrame) -> DataFrame:
     """Raw listings (typed or all-text) -> the 22-column cleaned table."""
     has_order = ORDER_COL in raw.columns
-    df = drop_unnamed(raw)
-    df = cast_columns(df)
-    df = fill_ppm(df)
-    df = add_tiers(df, null_as_top=False)
-    df = normalize_columns(df)
+    df = typed_columns(drop_unnamed(raw))
     df = drop_missing(df, ["listing_id", "title", "price_billion"])
     df = dedup_first(df, "listing_id", ORDER_COL) if has_order else dedup_first(df)
     df = filter_outliers(df)
