@@ -64,3 +64,10 @@ def test_kpi_has_no_cross_join(spark):
     p = plan(E.kpi_cards(c, replay(c)))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert F is not None
+
+
+def test_stream_message_parsed_once(spark):
+    from homestat.streaming.speed import replay
+    c = C.clean_listings(raw_listings(spark, SF_SMALL))
+    opt = replay(c, through_json=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert opt.count("from_json") == 1 and opt.count("StructsToJson") == 1
