@@ -45,6 +45,8 @@ def batch(spark: SparkSession, raw: DataFrame, root: str, with_models: bool = Tr
         seg = M.segments(clean)
         SK.write_parquet(seg.clustered, f"{root}/batch/clustered")
         SK.write_parquet(seg.stats_named, f"{root}/batch/cluster_stats")
+        for name in ("clustered", "cluster_stats"):
+            counts[name] = spark.read.parquet(f"{root}/batch/{name}").count()
         pm = M.train_price_model(clean)
         outputs = {"lr_metrics": M.metrics(pm), "lr_coefficients": M.coefficients(pm),
                    "lr_predictions": M.predictions(pm), "lr_category_map": M.category_map(pm),
