@@ -7,6 +7,8 @@ sinks or streaming write to a fresh folder under the shared checkpoint root.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,13 +44,25 @@ def query(name: str):
 
 
 # ---- shared inputs -----------------------------------------------------------------
+# The raw mapping, the cleaned listings and the card text are declared once per
+# session as temporary views over the table folder (like the warehouse's
+# listings table); every query plans on top of them.  Nothing is cached: each
+# query still reads and computes from the Parquet files.
+
+def _base_view(spark: SparkSession, sf: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
+    digest = hashlib.sha1(f"{kind}:{os.path.abspath(sf)}".encode()).hexdigest()[:12]
+    name = f"homestat_{kind}_{digest}"
+    if not spark.catalog.tableExists(name):
+        build().createOrReplaceTempView(name)
+    return spark.table(name)
+
 
 def raw(spark, sf) -> DataFrame:
-    return raw_listings(spark, sf)
+    return _base_view(spark, sf, "raw", lambda: raw_listings(spark, sf))
 
 
 def clean(spark, sf) -> DataFrame:
-    return C.clean_listings(raw_listings(spark, sf))
+    return _base_view(spark, sf, "clean", lambda: C.clean_listings(raw(spark, sf)))
 
 
 def raw_once(spark, sf) -> DataFrame:
@@ -66,7 +80,7 @@ def speed(spark, sf) -> DataFrame:
 
 
 def cards(spark, sf) -> DataFrame:
-    return listing_cards(spark, sf)
+    return _base_view(spark, sf, "cards", lambda: listing_cards(spark, sf))
 
 
 def merged_district(spark, sf, c: DataFrame | None = None) -> DataFrame:
