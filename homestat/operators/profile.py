@@ -105,6 +105,36 @@ def histogram(raw: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFr
     )
 
 
+def histograms(raw: DataFrame, columns: list[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """``histogram`` for several columns at once: one exact-quantile pass for all
+    cut-offs, one aggregate for all bounds, one aggregate over (column, bin)."""
+    p95 = {c: q[0] for c, q in exact_quantiles_by_column(raw, columns, [0.95]).items()}
+    present = [c for c in columns if p95[c] is not None]
+    if not present:
+        return raw.sparkSession.createDataFrame([], "column_name string, bin int, bin_lo double, bin_hi double, count bigint")
+    stack = "stack({}, {}) as (column_name, x)".format(
+        len(present), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in present))
+    cut = None
+    for c in present:
+        cond = (F.col("column_name") == c) & (F.col("x") <= F.lit(p95[c]))
+        cut = cond if cut is None else cut | cond
+    kept = raw.selectExpr(stack).where(F.col("x").isNotNull() & cut)
+    b = kept.groupBy("column_name").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    lo = {r["column_name"]: r["lo"] for r in b}
+    width = {r["column_name"]: ((r["hi"] - r["lo"]) / bins if r["hi"] > r["lo"] else 1.0) for r in b}
+    lo_e = F.create_map(*[F.lit(x) for c in lo for x in (c, lo[c])])[F.col("column_name")]
+    w_e = F.create_map(*[F.lit(x) for c in width for x in (c, width[c])])[F.col("column_name")]
+    binned = F.least(F.floor((F.col("x") - lo_e) / w_e), F.lit(bins - 1)).cast("int")
+    return (
+        kept.groupBy("column_name", binned.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+        .select("column_name", "bin",
+                (lo_e + F.col("bin") * w_e).alias("bin_lo"),
+                (lo_e + (F.col("bin") + 1) * w_e).alias("bin_hi"),
+                "count")
+        .orderBy("column_name", "bin")
+    )
+
+
 def distribution_stats(raw: DataFrame, column: str) -> DataFrame:
     """n, mean, median and p95 of a column (the histogram's annotations)."""
     med, p95 = exact_quantiles(raw, column, [0.5, 0.95])
