@@ -91,7 +91,12 @@ def model_input(clean: DataFrame) -> DataFrame:
 
 
 def string_index(df: DataFrame, column: str) -> DataFrame:
-    """label -> index: most frequent first, ties alphabetical (StringIndexer's order)."""
+    """label -> index: most frequent first, ties alphabetical (StringIndexer's order).
+
+    Counting is a partial aggregate; the ranking window runs over the distinct
+    labels only, i.e. the model vocabulary that a fitted StringIndexer keeps
+    on the driver anyway.
+    """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy(F.desc("n"), F.asc(column))
     return counts.select(

@@ -196,3 +196,18 @@ def test_exact_quantiles_by_column(spark):
     assert got["b"] == pytest.approx(list(np.quantile(bb, [0.25, 0.5, 0.75])), rel=1e-12)
     big = exact_quantiles_by_column(df, ["a"], [0.5], band_rows=100)
     assert big["a"] == pytest.approx([float(np.quantile(a, 0.5))], rel=1e-12)
+
+
+def test_histograms_match_numpy(spark):
+    from homestat.operators.profile import histograms
+    rng = np.random.default_rng(9)
+    a = rng.lognormal(2, 0.7, 4000)
+    b = rng.uniform(10, 400, 4000)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    got = {(r.column_name, r.bin): r["count"] for r in histograms(df, ["a", "b"], bins=50).collect()}
+    for name, v in (("a", a), ("b", b)):
+        kept = v[v <= np.quantile(v, 0.95)]
+        lo, hi = kept.min(), kept.max()
+        idx = np.minimum(np.floor((kept - lo) / ((hi - lo) / 50)), 49).astype(int)
+        expect = {(name, int(i)): int(n) for i, n in zip(*np.unique(idx, return_counts=True))}
+        assert {k: v_ for k, v_ in got.items() if k[0] == name} == expect
