@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     a.add_argument("--input", required=True)
     a.add_argument("--output", required=True)
     a.add_argument("--csv", action="store_true", help="write CSV with header instead of Parquet")
+    a.add_argument("--multiline", action="store_true", help="raw CSV has quoted fields with line breaks")
 
     for name in ("eda", "kmeans", "regression"):
         a = sub.add_parser(name)
@@ -81,7 +82,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         spark = build_session(args.master, app=f"homestat-{args.job}")
 
     if args.job == "clean":
-        clean = C.clean_listings(SF.read_raw_csv(spark, args.input))
+        clean = C.clean_listings(SF.read_raw_csv(spark, args.input, multiline=args.multiline))
         (SK.write_csv if args.csv else SK.write_parquet)(clean, args.output)
         written = SF.read_clean(spark, args.output, fmt="csv" if args.csv else "parquet")
         _print(C.clean_summary(written).first().asDict())
