@@ -65,7 +65,9 @@ def dedup_first(df: DataFrame, key: str = "listing_id", order: str = ORDER_COL)
     the whole group, to its reducer.
     """
     if order not in df.columns:
+        # input order: file, split start, position inside the split
         df = df.withColumn(order, F.struct(F.input_file_name().alias("f"),
+                                           F.input_file_block_start().alias("b"),
                                            F.monotonically_increasing_id().alias("i")))
     cols = [c for c in df.columns if c != order]
     w = Window.partitionBy(key).orderBy(F.col(order).asc())
