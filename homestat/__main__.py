@@ -61,6 +61,8 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     a.add_argument("--output", required=True, help="speed Parquet folder")
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--trigger", default=None, help="e.g. '2 seconds'; omit to process what is available and stop")
+    a.add_argument("--max-offsets", type=int, default=None, help="Kafka records per micro-batch at most")
+    a.add_argument("--max-files", type=int, default=None, help="envelope files per micro-batch at most")
 
     a = sub.add_parser("warehouse")
     a.add_argument("--db", default="listings")
@@ -113,8 +115,8 @@ def main(argv: list[str] | None = None, spark=None) -> None:
             ST.to_envelope(clean).write.mode("append").parquet(args.output)
         _print({"published": clean.count()})
     elif args.job == "stream":
-        source = (ST.read_kafka(spark, args.kafka, args.topic) if args.kafka
-                  else ST.read_envelope_files(spark, args.source))
+        source = (ST.read_kafka(spark, args.kafka, args.topic, args.max_offsets) if args.kafka
+                  else ST.read_envelope_files(spark, args.source, max_files_per_trigger=args.max_files))
         queries = ST.run_speed_layer(spark, source, args.output, args.checkpoint, trigger=args.trigger)
         if args.trigger is not None:
             try:

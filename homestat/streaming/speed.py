@@ -112,16 +112,23 @@ def replay(clean: DataFrame, fixed_ingestion: bool = True, through_json: bool =
 
 # ---- sources -----------------------------------------------------------------------
 
-def read_kafka(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Kafka subscription from the earliest offset; lost data is tolerated."""
-    return (
+def read_kafka(spark: SparkSession, servers: str, topic: str,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka subscription from the earliest offset; lost data is tolerated.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch, so a large backlog is
+    consumed in several batches instead of one (results are the same).
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", "false")
-        .load()
     )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load()
 
 
 def read_envelope_files(spark: SparkSession, path: str, fmt: str = "parquet",
