@@ -2,9 +2,10 @@
 
 Fitting is distributed by MLlib (k-means|| and normal-equation / L-BFGS
 aggregates).  Only model parameters (k centres, 7 coefficients, the category
-labels) come back to the driver.  Scoring a table is a broadcast-free
-expression: parameters become literals, category indexes arrive through an
-equi-join whose broadcast is decided by Spark's size check.
+labels) come back to the driver.  Scoring a table is one projection:
+the 7 parameters become literals and the category indexes arrive through a
+left equi-join on the label table (broadcast only if Spark's size check
+allows it).
 """
 
 from __future__ import annotations
