@@ -211,3 +211,19 @@ def test_histograms_match_numpy(spark):
         idx = np.minimum(np.floor((kept - lo) / ((hi - lo) / 50)), 49).astype(int)
         expect = {(name, int(i)): int(n) for i, n in zip(*np.unique(idx, return_counts=True))}
         assert {k: v_ for k, v_ in got.items() if k[0] == name} == expect
+
+
+def test_publish_json_frame(spark):
+    import json as _json
+    from homestat.schema import CLEAN_SCHEMA
+    from homestat.sources.sinks import publish_json
+    row = {f.name: None for f in CLEAN_SCHEMA.fields}
+    row.update(listing_id="L1", title="Nhà đẹp Quận 1", price_billion=5.2, bedrooms=3, price_tier="5-10 tỷ")
+    no_id = dict(row, listing_id=None)
+    df = spark.createDataFrame([tuple(r[f.name] for f in CLEAN_SCHEMA.fields) for r in (row, no_id)], CLEAN_SCHEMA)
+    out = publish_json(df).collect()
+    assert len(out) == 1 and out[0].key == "L1"
+    assert "Nhà đẹp Quận 1" in out[0].value and "\\u" not in out[0].value
+    parsed = _json.loads(out[0].value)
+    assert list(parsed) == [f.name for f in CLEAN_SCHEMA.fields]
+    assert parsed["area_m2"] is None and parsed["price_billion"] == 5.2 and parsed["bedrooms"] == 3
