@@ -6,6 +6,7 @@ quantile) come back to the driver, never listing rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -20,7 +21,7 @@ from homestat.constants import (
     TOP_DISTRICTS,
 )
 from homestat.functions.parse import truncate_title
-from homestat.operators.quantiles import exact_quantile
+from homestat.operators.quantiles import value_at_ranks
 from homestat.schema import DETAIL_COLUMNS
 
 
@@ -44,12 +45,24 @@ def facet_values(clean: DataFrame) -> DataFrame:
 
 
 def price_range(clean: DataFrame) -> DataFrame:
-    """Default price slider: minimum price and the 0.95 quantile (linear interpolation)."""
-    p95 = exact_quantile(clean, "price_billion", 0.95)
-    return clean.agg(
-        F.min("price_billion").alias("min_price"),
-        F.lit(p95).cast("double").alias("max_price"),
-    )
+    """Default price slider: minimum price and the 0.95 quantile (linear interpolation).
+
+    One aggregate gives the count and the minimum; the exact quantile then
+    reads only the two ranks it needs.
+    """
+    values = clean.select(F.col("price_billion").cast("double").alias("x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x"))
+    head = values.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo")).first()
+    n, lo = head["n"], head["lo"]
+    p95 = None
+    if n:
+        spot = 0.95 * (n - 1)
+        ranks = sorted({math.floor(spot), math.ceil(spot)})
+        got = value_at_ranks(values, ranks, n)
+        a, b = got[math.floor(spot)], got[math.ceil(spot)]
+        p95 = a + (b - a) * (spot - math.floor(spot))
+    spark = clean.sparkSession
+    return spark.createDataFrame([(lo, p95)], "min_price double, max_price double")
 
 
 def default_facets(clean: DataFrame) -> Facets:
