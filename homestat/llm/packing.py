@@ -256,7 +256,8 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SIZE, doc_id: str = "doc_
     groups = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = ranked(parts, groups)
     schema = parts.schema.simpleString()[7:-1].replace(":", " ") + ", sequence_id bigint, offset bigint"
-    at, rank = parts.columns.index("length"), len(parts.columns)
+    columns = parts.columns
+    at, rank = columns.index("length"), len(columns)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = shared.value
@@ -272,9 +273,9 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SIZE, doc_id: str = "doc_
                 sequence[mine] = base[k] + ranks[mine] - first[k]
                 offset[mine] = offsets[k]
             yield pa.RecordBatch.from_arrays([*batch.columns[:rank], pa.array(sequence), pa.array(offset)],
-                                             names=[*parts.columns, "sequence_id", "offset"])
+                                             names=[*columns, "sequence_id", "offset"])
 
-    return rows.select(*parts.columns, "rank").mapInArrow(place, schema)
+    return rows.select(*columns, "rank").mapInArrow(place, schema)
 
 
 def vocabulary_path() -> str:
