@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from homestat.llm import decontam, linededup, packing, quality
+from homestat.llm import decontam, linededup, neardup, packing, quality
 from homestat.llm.common import scratch
 
 
@@ -18,6 +18,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linededup.clean(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    return neardup.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -32,6 +37,7 @@ def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("minhash_near_dedup", minhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("packing", sequence_packing),
 ]
