@@ -28,6 +28,8 @@ WINDOW = 6
 #: English words that report speech, and words that address somebody; others add nothing.
 REPORTING = frozenset("said says wrote called quote quoted quoting word term phrase reported means meaning".split())
 ADDRESSING = frozenset("you your you're youre u are such".split())
+#: What a find counts in a quotation or report, and at most when it is one edit off.
+QUOTED, MISSPELLED = 0.2, 0.7
 QUOTES = "\"'“”„«»‘’`"
 STRIP = QUOTES + ".,;:!?()[]{}<>|*#$%&/\\+=~^_-…"
 
@@ -42,8 +44,9 @@ class Training:
     max_terms: int = 1500
     #: word beginnings of these lengths are terms too
     prefixes: tuple[int, ...] = (4, 5, 6, 7, 8)
-    #: entries at least this long may be one edit off (never in the first letter)
+    #: whole words at least this long and this telling (log of the ratio) may be one edit off, never in the first letter
     fuzzy_from: int = 5
+    fuzzy_weight: float = 3.0
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -58,8 +61,9 @@ class Automaton:
     entry: fewest edits, then greatest weight, then text.
     """
 
-    def __init__(self, weights: dict[str, float], fuzzy_from: int):
+    def __init__(self, weights: dict[str, float], fuzzy_from: int, fuzzy_weight: float = 0.0):
         self.weights = weights
+        self.loose = {e for e, w in weights.items() if e[-1] != "*" and len(e) >= fuzzy_from and w >= fuzzy_weight}
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[str]] = [[]]
         self.fuzzy: list[bool] = [False]  # some entry below may be misspelled
@@ -72,9 +76,8 @@ class Automaton:
                     self.ends.append([])
                     self.fuzzy.append(False)
                 node = self.children[node][c]
-                self.fuzzy[node] |= len(stem) >= fuzzy_from
+                self.fuzzy[node] |= entry in self.loose
             self.ends[node].append(entry)
-        self.fuzzy_from = fuzzy_from
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
@@ -97,7 +100,7 @@ class Automaton:
             self.sets.append(closed)
             self.steps.append({})
             hits = [(edits, -self.weights[e], e) for node, edits in closed for e in self.ends[node]
-                    if not edits or len(e.rstrip("*")) >= self.fuzzy_from]
+                    if not edits or e in self.loose]
             whole, begun = min(hits, default=None), min((h for h in hits if h[2][-1] == "*"), default=None)
             self.found.append((whole, begun))
         return self.states[closed]
@@ -133,22 +136,26 @@ class Automaton:
 
 
 def clean_words(chunk: str) -> list[str]:
-    """The lower-cased words of a chunk between white space."""
+    """The words of a lower-cased chunk between white space; digits stay, as they may stand for letters."""
     word = chunk.strip(STRIP)
     if word.isalpha():
         return [word]
-    return [w for w in "".join(c if c.isalpha() else " " for c in word).split()]
+    return "".join(c if c.isalnum() else " " for c in word).split()
 
 
-FEATURES = ("exact", "fuzzy", "top", "kinds", "density", "abuse")
+FEATURES = ("sum", "top", "kinds", "density", "abuse")
 
 
 @dataclass
 class Scorer:
-    """Finds of a text as numbers, and their logistic score."""
+    """Finds of a text as numbers, and their logistic score.
+
+    ``misspelled`` has the weights of finds that are one edit off.
+    """
 
     weights: dict[str, float]
     training: Training
+    misspelled: dict[str, float] = field(default_factory=dict)
     model: np.ndarray | None = None
     automaton: Automaton | None = None
     cache: dict[str, tuple | None] = field(default_factory=dict)
@@ -158,17 +165,19 @@ class Scorer:
             if len(self.cache) >= 500_000:
                 self.cache.clear()
             if self.automaton is None:
-                self.automaton = Automaton(self.weights, self.training.fuzzy_from)
+                self.automaton = Automaton(self.weights, self.training.fuzzy_from, self.training.fuzzy_weight)
             finds = [m for m in map(self.automaton.match, clean_words(chunk)) if m]
             self.cache[chunk] = min(finds, key=lambda m: (m[1], -self.weights[m[0]], m[0]), default=None)
         return self.cache[chunk]
 
     def features(self, words: list[str] | pa.Array, finds: list[tuple[int, tuple[str, int]]], n: int) -> list[float]:
-        """Sums over the finds; a quoted or reported find counts a fifth, an addressed one more."""
-        exact = fuzzy = top = abuse = 0.0
-        kinds = set()
+        """Sums over the finds; a quoted or reported find counts a fifth, addressed ones are summed apart."""
+        total = top = abuse = 0.0
+        kinds: dict[str, float] = {}
         for i, (entry, edits) in finds:
-            w = self.weights[entry]
+            w = self.misspelled.get(entry, MISSPELLED * self.weights[entry]) if edits else self.weights[entry]
+            if w <= 0:
+                continue
             low, high = max(0, i - WINDOW), min(n, i + WINDOW + 1)
             around = [str(x) for x in words[low:high]]
             own = around[i - low]
@@ -177,16 +186,13 @@ class Scorer:
             closed = any(x.rstrip(".,;:!?")[-1:] in QUOTES for x in [own, *after[:3]] if x.rstrip(".,;:!?"))
             near = {x.strip(STRIP) for x in around}
             if opened and closed or near & REPORTING:
-                w *= 0.2
+                w *= QUOTED
             if near & ADDRESSING:
                 abuse += w
-            if edits:
-                fuzzy += w
-            else:
-                exact += w
-                kinds.add(entry)
-            top = max(top, w * (0.5 if edits else 1.0))
-        return [exact, fuzzy, top, float(len(kinds)), 100 * (exact + 0.3 * fuzzy) / (n + 20), abuse]
+            total += w
+            top = max(top, w)
+            kinds[entry] = max(kinds.get(entry, 0.0), w / self.weights[entry])
+        return [total, top, sum(kinds.values()), 100 * total / (n + 20), abuse]
 
     def rows(self, texts: pa.Array) -> Iterator[list[float]]:
         for at in range(0, len(texts), SLICE_ROWS):
@@ -211,9 +217,7 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(features: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> np.ndarray:
-    """Ridge logistic regression by Newton's method on the logs of the features."""
-    x = np.column_stack([np.log1p(np.maximum(features, 0)), np.ones(len(features))])
+def newton(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
     beta = np.zeros(x.shape[1])
     ridge = np.diag([penalty] * (x.shape[1] - 1) + [1e-6])
     for _ in range(50):
@@ -225,6 +229,24 @@ def fit_logistic(features: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> n
     return beta
 
 
+def fit_logistic(features: np.ndarray, y: np.ndarray, penalty: float = 0.5) -> np.ndarray:
+    """Ridge logistic regression on the logs of the features.
+
+    No weight is negative, so a further find never lowers a score: a feature whose weight comes
+    out negative is left out, and the rest is fitted again.
+    """
+    x = np.column_stack([np.log1p(np.maximum(features, 0)), np.ones(len(features))])
+    used = list(range(x.shape[1]))
+    while True:
+        beta = newton(x[:, used], y, penalty)
+        low = int(np.argmin(beta[:-1])) if len(used) > 1 else -1
+        if low < 0 or beta[low] >= 0:
+            out = np.zeros(x.shape[1])
+            out[used] = beta
+            return out
+        del used[low]
+
+
 def sample(labels: DataFrame, how: Training) -> DataFrame:
     """(doc, toxic) of the bounded training sample: per label the rows of least hashed id, held-out rows never."""
     doc = F.col("doc_id").cast("long")
@@ -255,6 +277,24 @@ def term_counts(rows: DataFrame, how: Training) -> DataFrame:
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
+def misspelled_counts(rows: DataFrame, scorer: Scorer) -> DataFrame:
+    """(term, clean, toxic): documents where an entry is found one edit off; at most a row an entry."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = (Counter(), Counter())
+            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                finds = [scorer.find(c) for c in set((text or "").lower().split())]
+                counts[y].update({f[0] for f in finds if f and f[1]})
+            terms = sorted(counts[0].keys() | counts[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms, pa.string()), *[pa.array([c[t] for t in terms], pa.int64()) for c in counts]],
+                names=["term", "clean", "toxic"])
+
+    return rows.select("toxic", "text").mapInArrow(run, "term string, clean long, toxic long").groupBy("term") \
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
 def learn(docs: DataFrame, labels: DataFrame, how: Training = Training(), doc_id: str = "doc_id", text: str = "text") -> Scorer:
     """A scorer fitted on the training sample.
 
@@ -272,6 +312,9 @@ def learn(docs: DataFrame, labels: DataFrame, how: Training = Training(), doc_id
     found = best.select("term", "toxic", F.log(rate).alias("weight")) \
         .orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term").limit(how.max_terms).collect()
     scorer = Scorer({r.term: r.weight for r in found}, how)
+    odds = lambda t, c: float(np.log((t + 0.5) / (sizes[1] + 1) / ((c + 0.5) / (sizes[0] + 1))))
+    scorer.misspelled = {r.term: min(MISSPELLED * scorer.weights[r.term], max(0.0, odds(r.toxic, r.clean)))
+                         for r in misspelled_counts(rows, scorer).collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,7 +331,7 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text", name: str = "scor
 
     One narrow pass: each task gets the scorer, whose size is bounded by its lexicon.
     """
-    slim = Scorer(scorer.weights, scorer.training, scorer.model)
+    slim = Scorer(scorer.weights, scorer.training, scorer.misspelled, scorer.model)
 
     def rows(texts):
         made = np.array(list(slim.rows(pa.array(texts, pa.binary()).cast(pa.string()))), float).reshape(-1, len(FEATURES))
@@ -301,5 +344,5 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     scorer = learn(docs, table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
     return score(docs, scorer).select(
-        "doc_id", (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0).alias("held_out"),
+        "doc_id", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
