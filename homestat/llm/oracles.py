@@ -91,9 +91,9 @@ WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
   UNION ALL SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
 e AS (SELECT *, len('<turn ' || regexp_replace(role, '[\\>]', 'xx', 'g') || '>' || chr(10) || regexp_replace(t, '\\|</?turn', '\\\0', 'g') || '</turn>' || chr(10)) AS n FROM r)
 SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
   coalesce(sum(len(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(n)::BIGINT AS formatted_chars FROM e GROUP BY conv_id
 """
 
