@@ -31,6 +31,8 @@ CHECKS, BATCH = 64, 16
 #: Chance that a pair at or above the threshold is pruned in one batch.
 MISS = 1e-6
 SLICE_ROWS = 2000
+#: Shingles in a chunk of a large bucket; a task holds two chunks at once.
+BLOCK_SHINGLES = 500_000
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -206,39 +208,115 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, doc_id: str,
     left = stored(surviving(pairs, classes), "survivors")
     involved = left.select(F.col("a").alias("doc")).union(left.select(F.col("b").alias("doc"))).distinct()
     wanted = involved.join(classes.select("doc", "set_key"), "doc")
-    return stored(linked(left, stored(full_sets(docs, wanted, doc_id, text), "sets")), "links")
+    sets = stored(full_sets(docs, wanted, doc_id, text).dropDuplicates(["doc"]), "sets")
+    return stored(linked(left, sets), "links")
+
+
+def group_links(docs: list[int], parts: list[int], chunks: list[int], checks: np.ndarray,
+                sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join parts of one block: pairs of different parts (and, in a block of two chunks, of
+    different chunks) through the sequential test, survivors on their full sets. Pairs that earlier
+    links have joined already are left out, so there are fewer links than rows."""
+    n = len(docs)
+    order = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    root = np.array([order[p] for p in parts])
+    chunk = np.array(chunks)
+    split = len(set(chunks)) > 1
+    sizes = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    by_value = np.argsort(values, kind="stable")
+    values, owner = values[by_value], np.repeat(np.arange(n), sizes)[by_value]
+    out = []
+    for a in range(n - 1):
+        other = np.arange(a + 1, n)
+        mask = root[other] != root[a]
+        mask &= 100 * np.minimum(sizes[other], sizes[a]) >= PERCENT * np.maximum(sizes[other], sizes[a])
+        if split:
+            mask &= chunk[other] != chunk[a]
+        other = other[mask]
+        if not len(other):
+            continue
+        other = other[not_pruned(np.broadcast_to(checks[a], (len(other), CHECKS)), checks[other])]
+        if not len(other):
+            continue
+        low, high = np.searchsorted(values, sets[a], "left"), np.searchsorted(values, sets[a], "right")
+        spans = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
+        common = np.bincount(owner[at], minlength=n)[other]
+        for x in other[100 * common >= PERCENT * (sizes[a] + sizes[other] - common)].tolist():
+            if root[x] != root[a]:
+                out.append((min(docs[a], docs[x]), max(docs[a], docs[x])))
+                root[root == root[x]] = root[a]
+    return out
+
+
+def block_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different parts of the buckets in ``members`` (key, doc, part).
+
+    A bucket is cut into blocks of bounded size by the shingles it holds: each pair of its chunks
+    is a block, and blocks are spread over the tasks. Blocks are compared inside the task; what
+    comes out grows with the members, not with their pairs.
+    """
+    weighed = members.join(classes.select("doc", "n", "checks"), "doc")
+    blocks = weighed.groupBy("key").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = weighed.join(blocks, "key").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = spread.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                         "doc", "part", "chunk", "checks").join(sets, "doc")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, group, found = None, [], []
+
+        def close():
+            if len({g[1] for g in group}) > 1:
+                checks = np.frombuffer(b"".join(g[3] for g in group), np.uint8).reshape(-1, CHECKS)
+                found.extend(group_links([g[0] for g in group], [g[1] for g in group], [g[2] for g in group], checks,
+                                         [np.frombuffer(g[4], np.uint64) for g in group]))
+            group.clear()
+
+        def flush():
+            pairs = list(zip(*found)) or [[], []]
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*[batch.column(k).to_pylist() for k in range(8)]):
+                if row[:3] != block:
+                    close()
+                    block = row[:3]
+                if not group or group[-1][0] != row[3]:  # a document stands in its bucket once
+                    group.append(row[3:])
+            yield flush()
+        close()
+        yield flush()
+
+    grouped = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
+    return grouped.select("key", "i", "j", "doc", "part", "chunk", "checks", "shingles").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Links between classes, and the components they make: (a, b) and (node, root).
+def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The components (node, root) that links between classes make.
 
     First every bucket member is compared with the bucket's smallest class. Members of one
     component need no further comparison, so large groups of near copies cost one pair a member.
-    Buckets that still hold several components then have their members compared across
-    components: first each component's smallest class with all others, then what is left.
+    Buckets of three and more that still hold several components are compared in blocks.
     """
     keyed = classes.select(F.explode("bands").alias("key"), "doc")
-    firsts = keyed.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    members = stored(keyed.join(firsts.select("key", "first"), "key"), "buckets")
+    firsts = keyed.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
+    members = stored(keyed.join(firsts, "key"), "buckets")
     pairs = members.where(F.col("doc") != F.col("first")).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
     links = verified(docs, pairs, classes, doc_id, text)
     roots = stored(components(links), "roots")
-    for turn in ("pivots", "rest"):
-        parts = members.select("key", "doc").join(roots.withColumnRenamed("node", "doc"), "doc", "left") \
-            .select("key", "doc", F.coalesce("root", "doc").alias("part"))
-        mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-        open_ = stored(parts.join(mixed, "key"), f"open-{turn}")
-        if turn == "pivots":
-            one = open_.groupBy("key", "part").agg(F.min("doc").alias("x"))
-        else:
-            one = open_.withColumnRenamed("doc", "x")
-        other = open_.select("key", F.col("part").alias("part2"), F.col("doc").alias("y"))
-        pairs = one.join(other, "key").where("part != part2").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = verified(docs, pairs, classes, doc_id, text)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = stored(components(links), f"roots-{turn}")
-    return links, roots
+    parts = members.where("size > 2").select("key", "doc").join(roots.withColumnRenamed("node", "doc"), "doc", "left") \
+        .select("key", "doc", F.coalesce("root", "doc").alias("part"))
+    mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    still = stored(parts.join(mixed, "key"), "open-buckets")
+    wanted = still.select("doc").distinct().join(classes.select("doc", "set_key"), "doc")
+    sets = stored(full_sets(docs, wanted, doc_id, text).dropDuplicates(["doc"]), "open-sets")
+    more = stored(block_links(still, classes, sets), "block-links")
+    if more.isEmpty():
+        return roots
+    return stored(components(links.unionByName(more)), "all-roots")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,7 +332,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # one row per class: joined on the id too, so that a large group of copies is no hot key
     classes = stored(with_set.join(firsts.withColumnRenamed("first", "doc"), ["set_key", "doc"], "left_semi")
                      .dropDuplicates(["doc", "set_key"]), "classes")
-    _, roots = near_links(docs, classes, doc_id, text)
+    roots = near_links(docs, classes, doc_id, text)
     own = with_set.select("doc", "set_key").join(firsts, "set_key").select("doc", "first")
     # ids that several rows share tie their classes together
     shared = own.groupBy("doc").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc")
