@@ -240,8 +240,11 @@ def build() -> dict[str, str]:
     clean_cols = _cols(CLEAN_COLUMNS)
 
     # 2.1 sources
-    sql["src_csv_raw"] = with_ctes("raw") + f"SELECT {raw_cols} FROM raw"
-    sql["src_csv_clean"] = with_ctes("clean") + "SELECT * FROM clean"
+    awkward = ("CASE WHEN bedrooms = 7 THEN title || chr(10) || '\"a, b\" \\ end ' ELSE title END AS title, "
+               "CASE WHEN bedrooms = 7 THEN '  ' || address || chr(9) ELSE address END AS address")
+    sql["src_csv_raw"] = with_ctes("raw") + (
+        f"SELECT {raw_cols} FROM (SELECT * REPLACE ({awkward}, CASE WHEN floors = 1 THEN NULL ELSE direction END AS direction) FROM raw)")
+    sql["src_csv_clean"] = with_ctes("clean") + f"SELECT * REPLACE ({awkward}) FROM clean"
     sql["src_parquet_views"] = with_ctes("clean") + f", {BY_DISTRICT} SELECT * FROM bd"
     sql["src_speed_parquet"] = with_ctes("speed") + "SELECT * FROM speed"
     sql["src_warehouse_table"] = with_ctes("clean") + "SELECT * FROM clean"
@@ -271,6 +274,18 @@ def build() -> dict[str, str]:
     sql["derive_id"] = with_ctes("cards") + (
         f"SELECT product_id, url, CASE WHEN product_id IS NOT NULL AND product_id <> '' THEN product_id "
         f"ELSE substring(md5(url), 1, 12) END AS listing_id FROM (SELECT product_id, {_abs_url('href')} AS url FROM cards)")
+    price, area = _price_parse("price_text"), "TRY_CAST(regexp_replace(area_text, '[^0-9.]', '', 'g') AS DOUBLE)"
+    sql["html_card_listings"] = with_ctes("cards") + f"""
+      SELECT CASE WHEN product_id <> '' THEN product_id ELSE substring(md5(url), 1, 12) END AS listing_id, title, property_type,
+             price_text AS price_raw, price_billion, area_m2,
+             CASE WHEN price_billion > 0 AND area_m2 > 0 THEN {rnd('price_billion * 1000 / area_m2', 2)} END AS price_per_m2_million,
+             city, district, ward, location_text AS address, url
+      FROM (SELECT *, {price} AS price_billion, {area} AS area_m2, {_loc(-1)} AS city, {_loc(-2)} AS district, {_loc(-3)} AS ward,
+                   {_abs_url('href')} AS url, {category_sql('category')} AS property_type FROM cards)"""
+    sql["html_detail_join"] = with_ctes("raw") + (
+        "SELECT listing_id, url, bedrooms, bathrooms, floors, direction, legal_status, posted_date, contact FROM raw "
+        "QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY "
+        "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) = 1")
     sql["cast_numeric"] = with_ctes("raw") + (
         "SELECT listing_id, " + ", ".join(f"{_cast_numeric(c, 'int' if c in ('bedrooms', 'bathrooms', 'floors') else 'double')} AS {c}"
                                           for c in NUMERIC_TYPES)

@@ -8,11 +8,13 @@ with Spark column expressions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestat.functions.parse import abs_url, derive_id, parse_area, parse_category, parse_location, parse_price
@@ -65,22 +67,13 @@ class _Node:
     def classes(self) -> set[str]:
         return set((self.attrs.get("class") or "").split())
 
-    def get_text(self) -> str:
-        out = []
-        stack = [self]
-        while stack:
-            n = stack.pop()
-            if isinstance(n, str):
-                out.append(n)
-            elif n.tag not in _RAW_TEXT:
-                stack.extend(reversed(n.children))
-        return "".join(out)
-
     def iter(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                yield c
-                yield from c.iter()
+        """Elements below this one in document order, on a stack of its own: pages nest as deep as they like."""
+        stack = [c for c in reversed(self.children) if isinstance(c, _Node)]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
 
     def next_element_sibling(self) -> _Node | None:
         if self.parent is None:
@@ -120,31 +113,37 @@ class _Dom(HTMLParser):
         self.cur.children.append(data)
 
 
-def _match_simple(node: _Node, simple: str) -> bool:
-    """tag, .class, [attr] and their concatenation (e.g. div.card[data-id])."""
-    import re
-    m = re.match(r"^([a-zA-Z0-9]*)((?:\.[\w-]+)*)((?:\[[\w-]+\])*)$", simple)
-    if not m:
-        return False
-    tag, classes, attrs = m.groups()
-    if tag and node.tag != tag.lower():
-        return False
-    if classes and not set(classes[1:].split(".")) <= node.classes():
-        return False
-    for a in re.findall(r"\[([\w-]+)\]", attrs):
-        if a not in node.attrs:
-            return False
-    return True
+_SIMPLE = re.compile(r"^([a-zA-Z0-9]*)((?:\.[\w-]+)*)((?:\[[\w-]+\])*)$")
+
+
+@lru_cache(maxsize=256)
+def _compiled(selector: str) -> tuple:
+    """Comma-separated alternatives; each a chain of (tag, classes, attributes), last part first."""
+    alternatives = []
+    for alternative in selector.split(","):
+        chain = []
+        for simple in reversed(alternative.split()):
+            m = _SIMPLE.match(simple)
+            if not m:
+                raise ValueError(f"selector not understood: {selector!r}")
+            tag, classes, attrs = m.groups()
+            chain.append((tag.lower(), frozenset(classes.split(".")[1:]), tuple(re.findall(r"\[([\w-]+)\]", attrs))))
+        alternatives.append(tuple(chain))
+    return tuple(alternatives)
 
 
-def _matches(node: _Node, selector: str) -> bool:
-    """Descendant combinator over simple selectors, matched right to left."""
-    parts = selector.split()
-    if not _match_simple(node, parts[-1]):
+def _fits(node: _Node, part: tuple) -> bool:
+    tag, classes, attrs = part
+    return (not tag or node.tag == tag) and (not classes or classes <= node.classes()) and all(a in node.attrs for a in attrs)
+
+
+def _matches(node: _Node, chain: tuple) -> bool:
+    """Descendant combinator, matched from the element up."""
+    if not _fits(node, chain[0]):
         return False
     anc = node.parent
-    for simple in reversed(parts[:-1]):
-        while anc is not None and not _match_simple(anc, simple):
+    for part in chain[1:]:
+        while anc is not None and not _fits(anc, part):
             anc = anc.parent
         if anc is None:
             return False
@@ -152,15 +151,18 @@ def _matches(node: _Node, selector: str) -> bool:
     return True
 
 
+def _found(root: _Node, selector: str) -> Iterator[_Node]:
+    chains = _compiled(selector)
+    return (n for n in root.iter() if any(_matches(n, c) for c in chains))
+
+
 def select(root: _Node, selector: str) -> list[_Node]:
     """Elements matching any of the comma-separated selectors, in document order."""
-    alts = [s.strip() for s in selector.split(",")]
-    return [n for n in root.iter() if any(_matches(n, a) for a in alts)]
+    return list(_found(root, selector))
 
 
 def select_one(root: _Node, selector: str) -> _Node | None:
-    found = select(root, selector)
-    return found[0] if found else None
+    return next(_found(root, selector), None)
 
 
 def _strip_text(node: _Node | None) -> str:
@@ -181,57 +183,74 @@ def _strip_text(node: _Node | None) -> str:
 
 
 CARD_SCHEMA = ("page_id long, page_url string, product_id string, title string, href string, "
-               "price_text string, area_text string, location_text string")
+               "price_text string, area_text string, location_text string, error string")
+
+
+def _card(card: _Node, sel: dict[str, str]) -> tuple | None:
+    title_el = select_one(card, sel["title"])
+    if title_el is None:
+        return None
+    return (
+        card.attrs.get("data-product-id") or "", _strip_text(title_el), title_el.attrs.get("href", ""),
+        _strip_text(select_one(card, sel["price"])), _strip_text(select_one(card, sel["area"])),
+        _strip_text(select_one(card, sel["location"])), None,
+    )
 
 
 def _cards_of(page_id, page_url, html, sel) -> list[tuple]:
-    dom = _Dom(html).root
+    """Rows of one page; what fails is a row with its error, a page that fails as a whole is one such row."""
+    failed = lambda e: (page_id, page_url, *[None] * 6, f"{type(e).__name__}: {e}"[:500])
+    try:
+        cards = select(_Dom(html).root, sel["card"])
+    except Exception as e:  # noqa: BLE001 - reported in the row
+        return [failed(e)]
     rows = []
-    for card in select(dom, sel["card"]):
-        title_el = select_one(card, sel["title"])
-        if title_el is None:
+    for card in cards:
+        try:
+            found = _card(card, sel)
+        except Exception as e:  # noqa: BLE001 - reported in the row
+            rows.append(failed(e))
             continue
-        rows.append((
-            page_id, page_url, card.attrs.get("data-product-id") or "",
-            _strip_text(title_el), title_el.attrs.get("href", ""),
-            _strip_text(select_one(card, sel["price"])),
-            _strip_text(select_one(card, sel["area"])),
-            _strip_text(select_one(card, sel["location"])),
-        ))
+        if found is not None:
+            rows.append((page_id, page_url, *found))
     return rows
 
 
 def card_text(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTORS) -> DataFrame:
     """pages(page_id, url, html) -> one row of raw card text per listing card.
 
-    A card without a title element is skipped; a page that fails to parse
-    yields no cards (the error stays inside that page).
+    A card without a title element is skipped.  An error stays inside its card
+    (or its page, if that cannot be parsed at all) and is a row with ``error``
+    set, so nothing is lost unseen.
     """
     sel = dict(selectors)
+    for selector in sel.values():
+        _compiled(selector)  # a bad selector fails here, not in every card
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in CARD_SCHEMA.split(", ")]
         for pdf in batches:
             rows = []
             for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-                try:
-                    rows.extend(_cards_of(pid, url, html, sel))
-                except Exception:  # malformed page: skip it, keep the batch
-                    continue
+                rows.extend(_cards_of(pid, url, html, sel))
             yield pd.DataFrame(rows, columns=cols)
 
     return pages.select("page_id", "url", "html").mapInPandas(run, CARD_SCHEMA)
 
 
 def extract_listings(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTORS,
-                     base_url: str = "", base_from_url: bool = False, category: str | None = None) -> DataFrame:
-    """Cards -> listing rows with parsed price, area, location, type, id and url.
+                     base_url: str = "", base_from_url: bool = False, category: str | None = None,
+                     scraped_at: Column | None = None) -> DataFrame:
+    """Cards -> the 20 raw listing columns (and page_id) with parsed price, area, location, type, id and url.
+
+    What only a detail page tells is NULL (see ``join_details``); failed cards
+    are left out (see ``card_text``).  ``scraped_at`` is the reading time unless given.
 
     ``base_from_url`` resolves links against each page's own origin; otherwise
     against ``base_url``.  The category slug is given, or taken from the first
     path segment of the page url.
     """
-    cards = card_text(pages, selectors)
+    cards = card_text(pages, selectors).where(F.col("error").isNull())
     if base_from_url:
         origin = F.regexp_extract("page_url", r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
         url = (F.when(F.col("href") == "", F.lit(""))
@@ -257,12 +276,15 @@ def extract_listings(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTOR
                F.round(F.col("price_billion") * 1000 / F.col("area_m2"), 2)).alias("price_per_m2_million"),
         F.col("loc.city").alias("city"), F.col("loc.district").alias("district"), F.col("loc.ward").alias("ward"),
         F.col("location_text").alias("address"),
+        *[F.lit(None).cast("int").alias(c) for c in ("bedrooms", "bathrooms", "floors")],
+        *[F.lit(None).cast("string").alias(c) for c in ("direction", "legal_status", "posted_date", "contact")],
         "url",
+        (scraped_at if scraped_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).alias("scraped_at"),
     )
 
 
 DETAIL_SCHEMA = ("page_id long, url string, specs array<struct<title:string,value:string>>, "
-                 "posted_date string, contact string")
+                 "posted_date string, contact string, error string")
 
 
 def _details_of(page_id, url, html, sel) -> tuple:
@@ -280,11 +302,11 @@ def _details_of(page_id, url, html, sel) -> tuple:
         sib = posted.next_element_sibling()
         posted_date = _strip_text(sib) if sib is not None else None
     contact_el = select_one(dom, sel["contact"])
-    return (page_id, url, specs, posted_date, _strip_text(contact_el) if contact_el is not None else None)
+    return (page_id, url, specs, posted_date, _strip_text(contact_el) if contact_el is not None else None, None)
 
 
 def detail_specs(pages: DataFrame, selectors: dict[str, str] = DETAIL_SELECTORS) -> DataFrame:
-    """pages -> (page_id, url, specs[title, value], posted_date, contact), one row per page."""
+    """pages -> (page_id, url, specs[title, value], posted_date, contact, error), one row per page."""
     sel = dict(selectors)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,9 +315,9 @@ def detail_specs(pages: DataFrame, selectors: dict[str, str] = DETAIL_SELECTORS)
             for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 try:
                     rows.append(_details_of(pid, url, html, sel))
-                except Exception:
-                    rows.append((pid, url, [], None, None))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "specs", "posted_date", "contact"])
+                except Exception as e:  # noqa: BLE001 - reported in the row
+                    rows.append((pid, url, [], None, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "specs", "posted_date", "contact", "error"])
 
     return pages.select("page_id", "url", "html").mapInPandas(run, DETAIL_SCHEMA)
 
@@ -318,7 +340,13 @@ def extract_details(pages: DataFrame) -> DataFrame:
 
 
 def join_details(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Attach detail fields to listings by url (left join: listings without a detail page keep NULLs)."""
-    d = details.drop("page_id")
-    keep = [c for c in listings.columns if c not in d.columns or c == "url"]
-    return listings.select(*keep).join(d, "url", "left")
+    """Attach detail fields to listings by url: a field the detail page tells replaces the listing's,
+    listings without a detail page keep theirs.  Numbers are cast to the listing's type.  Of several
+    detail pages of one url the least by its fields counts, so the result is repeatable."""
+    fields = [c for c in details.columns if c in listings.columns and c not in ("url", "page_id")]
+    one = F.min(F.struct(*[F.col(c).alias(f"_detail_{c}") for c in fields])).alias("d")
+    d = details.groupBy(F.col("url").alias("_detail_url")).agg(one).select("_detail_url", "d.*")
+    both = listings.join(d, F.col("url") == F.col("_detail_url"), "left")
+    return both.select(*[
+        F.coalesce(F.col(f"_detail_{c}").try_cast(listings.schema[c].dataType), F.col(c)).alias(c) if c in fields else F.col(c)
+        for c in listings.columns])

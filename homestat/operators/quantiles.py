@@ -1,104 +1,122 @@
-"""Exact quantiles of a column without sending the column to one task.
+"""Exact quantiles of columns without sending a column to one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-buffer; for a whole-table quantile that buffer is the whole column.  Here an
-approximate sketch (bounded size) brackets the wanted rank, a counting pass
-checks the bracket, and the search narrows to the rows inside it until at most
-``band_rows`` remain; only that band is sorted.  The result is exact.
+buffer; for a whole-table quantile that buffer is the whole column.  Here a
+bounded sketch proposes a bracket of values around every wanted rank of every
+column, one counting aggregate measures all brackets, and brackets are narrowed
+the same way until the sketch's ends meet the rank or few rows are left inside;
+those few are read by ordinary top-k sorts.  Each round handles all columns and
+ranks in the same two passes, whatever the size of the table.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BAND_ROWS = 1_000_000
+#: Rows of a bracket that are sorted rather than narrowed further.
+BAND_ROWS = 10_000
 SKETCH_ACCURACY = 10_000
 
 
-def _values(df: DataFrame, column: str) -> DataFrame:
-    x = F.col(column).cast("double")
-    return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+@dataclass
+class _Search:
+    """One wanted rank of one column: the open interval (lo, hi) it lies in, the rows at or
+    below ``lo``, and the rows inside."""
 
+    column: str
+    rank: int
+    lo: float | None
+    hi: float | None
+    below: int
+    size: int
+    value: float | None = None
 
-def value_at_ranks(values: DataFrame, ranks: list[int], n: int,
-                   band_rows: int = BAND_ROWS, accuracy: int = SKETCH_ACCURACY) -> dict[int, float]:
-    """Values at 0-based ascending ``ranks`` of column ``x`` (``n`` rows)."""
-    out: dict[int, float] = {}
-    if n <= band_rows:
-        return _ranks_in_band(values, ranks, 0)
-    eps = 1.0 / accuracy
-    for r in ranks:
-        band, below, size = values, 0, n
-        while r not in out:
-            if size <= band_rows:
-                out.update(_ranks_in_band(band, [r], below))
-                break
-            rel = (r - below) / size
-            qs = [max(0.0, rel - 2 * eps), min(1.0, rel + 2 * eps)]
-            a, b = band.agg(F.percentile_approx("x", qs, accuracy).alias("q")).first()["q"]
-            c = band.agg(
-                F.count(F.when(F.col("x") < a, 1)).alias("lt"),
-                F.count(F.when(F.col("x") == a, 1)).alias("eq"),
-                F.count(F.when(F.col("x") <= b, 1)).alias("le"),
-            ).first()
-            lt, eq, le = c["lt"], c["eq"], c["le"]
-            if r < below + lt:
-                band, size = band.where(F.col("x") < a), lt
-            elif r < below + lt + eq:
-                out[r] = a
-            elif r < below + le:
-                band = band.where((F.col("x") > a) & (F.col("x") <= b))
-                below, size = below + lt + eq, le - lt - eq
-            else:
-                band, below, size = band.where(F.col("x") > b), below + le, size - le
-    return out
+    def inside(self):
+        x = F.col("x")
+        cond = F.col("column_name") == self.column
+        if self.lo is not None:
+            cond = cond & (x > F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (x < F.lit(self.hi))
+        return cond
 
 
-def _ranks_in_band(band: DataFrame, ranks: list[int], below: int) -> dict[int, float]:
-    """Sort a band of at most BAND_ROWS rows and read the wanted ranks."""
-    local = [r - below for r in ranks]
-    w = Window.orderBy("x")
-    rows = (
-        band.withColumn("rk", F.row_number().over(w) - 1)
-        .where(F.col("rk").isin(local))
-        .select("rk", "x")
-        .collect()
-    )
-    got = {row["rk"]: row["x"] for row in rows}
-    return {r: got[r - below] for r in ranks}
-
-
-def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> list[float | None]:
-    """Linear-interpolated quantiles (the pandas / SQL quantile_cont definition)."""
-    values = _values(df, column)
-    n = values.count()
-    if n == 0:
-        return [None] * len(probs)
-    spots = [(p * (n - 1)) for p in probs]
-    ranks = sorted({int(math.floor(s)) for s in spots} | {int(math.ceil(s)) for s in spots})
-    got = value_at_ranks(values, ranks, n)
-    out = []
-    for s in spots:
-        lo, hi = got[int(math.floor(s))], got[int(math.ceil(s))]
-        out.append(lo + (hi - lo) * (s - math.floor(s)))
+def _narrow(long: DataFrame, searches: list[_Search], accuracy: int) -> None:
+    """One round for all open searches: a sketch pass for bracket ends, a counting pass for their ranks."""
+    eps = 1.0 / accuracy
+    sketches = []
+    for i, s in enumerate(searches):
+        rel = (s.rank - s.below) / s.size
+        ends = [max(0.0, rel - 2 * eps), min(1.0, rel + 2 * eps)]
+        sketches.append(F.percentile_approx(F.when(s.inside(), F.col("x")), ends, accuracy).alias(f"q{i}"))
+    brackets = long.agg(*sketches).first()
+    counts = []
+    for i, s in enumerate(searches):
+        a, b = brackets[f"q{i}"]
+        x = F.when(s.inside(), F.col("x"))
+        counts += [F.count(F.when(x < a, 1)).alias(f"la{i}"), F.count(F.when(x <= a, 1)).alias(f"ua{i}"),
+                   F.count(F.when(x < b, 1)).alias(f"lb{i}"), F.count(F.when(x <= b, 1)).alias(f"ub{i}")]
+    found = long.agg(*counts).first()
+    for i, s in enumerate(searches):
+        a, b = brackets[f"q{i}"]
+        below_a, upto_a, below_b, upto_b = (found[f"{k}{i}"] for k in ("la", "ua", "lb", "ub"))
+        r = s.rank - s.below
+        if r < below_a:
+            s.hi, s.size = a, below_a
+        elif r < upto_a:
+            s.value = a
+        elif r < below_b:
+            s.lo, s.hi, s.below, s.size = a, b, s.below + upto_a, below_b - upto_a
+        elif r < upto_b:
+            s.value = b
+        else:
+            s.lo, s.below, s.size = b, s.below + upto_b, s.size - upto_b
+
+
+def _read(long: DataFrame, searches: list[_Search]) -> None:
+    """Values of searches whose bracket is small: one top-k read a bracket, shared by equal brackets."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.lo, s.hi), []).append(s)
+    for same in groups.values():
+        top = max(s.rank - s.below for s in same)
+        rows = long.where(same[0].inside()).select("x").orderBy("x").limit(top + 1).collect()
+        for s in same:
+            s.value = rows[s.rank - s.below]["x"]
+
+
+def values_at_ranks(long: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int],
+                    band_rows: int = BAND_ROWS, accuracy: int = SKETCH_ACCURACY) -> dict[str, dict[int, float]]:
+    """Values at 0-based ascending ranks per column of (column_name, x) rows without nulls."""
+    searches = [_Search(c, r, None, None, 0, counts[c]) for c, rs in ranks.items() for r in rs]
+    while True:
+        open_ = [s for s in searches if s.value is None and s.size > band_rows]
+        if not open_:
+            break
+        _narrow(long, open_, accuracy)
+    _read(long, [s for s in searches if s.value is None])
+    out: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    for s in searches:
+        out[s.column][s.rank] = s.value
     return out
 
 
-def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
-    return exact_quantiles(df, column, [p])[0]
+def value_at_ranks(values: DataFrame, ranks: list[int], n: int,
+                   band_rows: int = BAND_ROWS, accuracy: int = SKETCH_ACCURACY) -> dict[int, float]:
+    """Values at 0-based ascending ``ranks`` of column ``x`` (``n`` rows)."""
+    long = values.select(F.lit("x").alias("column_name"), "x")
+    return values_at_ranks(long, {"x": ranks}, {"x": n}, band_rows, accuracy)["x"]
 
 
 def exact_quantiles_by_column(df: DataFrame, columns: list[str], probs: list[float],
                               band_rows: int = BAND_ROWS) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of several columns with few passes.
+    """Linear-interpolated quantiles (the pandas / SQL quantile_cont definition) of several columns.
 
-    The columns are unpivoted to (column_name, x); one aggregate counts every
-    column, and one window partitioned by column reads the wanted ranks of all
-    columns whose size is within ``band_rows``.  Larger columns take the
-    bracketing search of ``value_at_ranks`` one by one.
+    The columns are unpivoted to (column_name, x); one aggregate counts them all.
     """
     stack = "stack({}, {}) as (column_name, x)".format(
         len(columns), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns))
@@ -106,27 +124,17 @@ def exact_quantiles_by_column(df: DataFrame, columns: list[str], probs: list[flo
     counts = {r["column_name"]: r["n"] for r in long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     spots = {c: [p * (counts[c] - 1) for p in probs] for c in columns if counts.get(c)}
     ranks = {c: sorted({int(math.floor(s)) for s in sp} | {int(math.ceil(s)) for s in sp}) for c, sp in spots.items()}
-    values: dict[str, dict[int, float]] = {}
-    small = [c for c in ranks if counts[c] <= band_rows]
-    if small:
-        wanted = None
-        for c in small:
-            cond = (F.col("column_name") == c) & F.col("rk").isin(ranks[c])
-            wanted = cond if wanted is None else wanted | cond
-        w = Window.partitionBy("column_name").orderBy("x")
-        rows = (long.where(F.col("column_name").isin(small))
-                .withColumn("rk", F.row_number().over(w) - 1).where(wanted).collect())
-        for r in rows:
-            values.setdefault(r["column_name"], {})[r["rk"]] = r["x"]
-    for c in ranks:
-        if c not in small:
-            values[c] = value_at_ranks(_values(df, c), ranks[c], counts[c])
+    got = values_at_ranks(long, ranks, counts, band_rows)
     out: dict[str, list[float | None]] = {}
     for c in columns:
-        if c not in spots:
-            out[c] = [None] * len(probs)
-            continue
-        got = values[c]
-        out[c] = [got[int(math.floor(s))] + (got[int(math.ceil(s))] - got[int(math.floor(s))]) * (s - math.floor(s))
-                  for s in spots[c]]
+        out[c] = [None] * len(probs) if c not in spots else [
+            got[c][math.floor(s)] + (got[c][math.ceil(s)] - got[c][math.floor(s)]) * (s - math.floor(s)) for s in spots[c]]
     return out
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: list[float], band_rows: int = BAND_ROWS) -> list[float | None]:
+    return exact_quantiles_by_column(df, [column], probs, band_rows)[column]
+
+
+def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
+    return exact_quantiles(df, column, [p])[0]

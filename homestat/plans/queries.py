@@ -104,18 +104,30 @@ def _visible(df: DataFrame) -> DataFrame:
 
 # ---- 2.1 sources -------------------------------------------------------------------
 
+def awkward(df: DataFrame) -> DataFrame:
+    """Listings with the texts that CSV files trip over: line breaks, quotes,
+    backslashes and padding in every seventh line item of an order."""
+    some = F.col("bedrooms") == 7
+    return df.withColumns({
+        "title": F.when(some, F.concat("title", F.lit('\n"a, b" \\ end '))).otherwise(F.col("title")),
+        "address": F.when(some, F.concat(F.lit("  "), F.col("address"), F.lit("\t"))).otherwise(F.col("address")),
+    })
+
+
 @query("src_csv_raw")
 def src_csv_raw(spark, sf):
+    """Written with a spreadsheet index column and NA tokens, read back as the cleaner reads it."""
     path = S.scratch_path(spark, "raw_csv")
-    text = raw(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
-    text.write.option("header", True).option("escape", '"').csv(path)
+    listings = awkward(raw(spark, sf)).withColumn("direction", F.when(F.col("floors") == 1, F.lit("N/A")).otherwise(F.col("direction")))
+    text = listings.select(F.lit("0").alias("Unnamed: 0"), *[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    SK.write_csv(text, path)
     return C.cast_columns(SF.read_raw_csv(spark, path)).select(*RAW_COLUMNS)
 
 
 @query("src_csv_clean")
 def src_csv_clean(spark, sf):
     path = S.scratch_path(spark, "clean_csv")
-    SK.write_csv(clean(spark, sf), path)
+    SK.write_csv(awkward(clean(spark, sf)), path)
     return SF.read_clean(spark, path, fmt="csv")
 
 
@@ -281,6 +293,48 @@ def html_detail(spark, sf):
     return H.extract_details(table(spark, sf, "pages"))
 
 
+def _tagged(*parts) -> F.Column:
+    """Markup from literal text and escaped columns (``F.col``), NULL as empty."""
+    def escaped(c):
+        return F.coalesce(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                                    F.lit('"'), F.lit("&quot;")), F.lit(""))
+    return F.concat(*[F.lit(p) if isinstance(p, str) else escaped(p.cast("string")) for p in parts])
+
+
+def card_pages(spark, sf) -> DataFrame:
+    """Listing pages as the site serves them, one card each, made from the card text."""
+    col = F.col
+    return cards(spark, sf).select(
+        F.lit(None).cast("long").alias("page_id"),
+        F.concat(F.lit(f"{LISTING_BASE_URL}/"), "category", F.lit("/1")).alias("url"),
+        _tagged('<html><body><div class="re__card js__card" data-product-id="', col("product_id"), '"><h3><a href="', col("href"), '">',
+                col("title"), '</a></h3><p><span class="price">', col("price_text"), '</span><span class="area">', col("area_text"),
+                '</span></p><div class="location">', col("location_text"), "</div></div></body></html>").alias("html"))
+
+
+@query("html_card_listings")
+def html_card_listings(spark, sf):
+    return H.extract_listings(card_pages(spark, sf), base_url=LISTING_BASE_URL).select(
+        "listing_id", "title", "property_type", "price_raw", "price_billion", "area_m2", "price_per_m2_million",
+        "city", "district", "ward", "address", "url")
+
+
+@query("html_detail_join")
+def html_detail_join(spark, sf):
+    """Listings without detail fields get them from their detail pages, joined by url."""
+    col, r = F.col, C.dedup_first(raw(spark, sf))
+    row = '<div class="re__pr-specs-content-item"><span class="re__pr-specs-content-item-title">{}</span><span class="re__pr-specs-content-item-value">'
+    pages = r.select(F.lit(None).cast("long").alias("page_id"), "url", _tagged(
+        "<html><body>", row.format("Số phòng ngủ"), col("bedrooms"), "</span></div>", row.format("Số toilet"), col("bathrooms"), "</span></div>",
+        row.format("Số tầng"), col("floors"), "</span></div>", row.format("Hướng nhà"), col("direction"), "</span></div>",
+        row.format("Pháp lý"), col("legal_status"), '</span></div><div class="re__pr-short-info-item"><span class="title">Ngày đăng</span><span>',
+        col("posted_date"), '</span></div><div class="re__contact-name">', col("contact"), "</div></body></html>").alias("html"))
+    own = {"bedrooms": "int", "bathrooms": "int", "floors": "int", "direction": "string", "legal_status": "string",
+           "posted_date": "string", "contact": "string"}
+    listings = r.select("listing_id", "url", *[F.lit(None).cast(t).alias(c) for c, t in own.items()])
+    return H.join_details(listings, H.extract_details(pages))
+
+
 @query("cast_numeric")
 def cast_numeric(spark, sf):
     r = raw(spark, sf)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestat.sources.files import read_view
+from homestat.sources.files import CSV_OPTIONS, read_view
 from homestat.streaming.speed import to_envelope
 
 
@@ -14,8 +14,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Cleaned table as CSV with header (no index column)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Cleaned table as CSV with header (no index column); ``read_clean`` gives back the same rows."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def export_views(spark: SparkSession, views: dict[str, str], target: str) -> DataFrame:

@@ -180,10 +180,9 @@ def test_html_details(spark):
     assert (d.bedrooms, d.bathrooms, d.floors, d.legal_status) == ("3 phòng", "2", None, "Sổ đỏ")
     assert d.posted_date == "01/02/2024" and d.contact == "Anh A"
     assert got["u2"].bedrooms is None
-    assert F is not None
 
 
-def test_exact_quantiles_by_column(spark):
+def test_exact_quantiles_by_column(spark, monkeypatch):
     from homestat.operators.quantiles import exact_quantiles_by_column
     rng = np.random.default_rng(5)
     a = rng.normal(0, 1, 3000)
@@ -194,8 +193,16 @@ def test_exact_quantiles_by_column(spark):
     bb = np.array([y for i, y in enumerate(b) if i % 7])
     assert got["a"] == pytest.approx(list(np.quantile(a, [0.25, 0.5, 0.75])), rel=1e-12)
     assert got["b"] == pytest.approx(list(np.quantile(bb, [0.25, 0.5, 0.75])), rel=1e-12)
-    big = exact_quantiles_by_column(df, ["a"], [0.5], band_rows=100)
-    assert big["a"] == pytest.approx([float(np.quantile(a, 0.5))], rel=1e-12)
+    for band, accuracy in ((100, 100), (1, 20), (1, 10_000)):  # brackets are narrowed, down to single rows
+        from homestat.operators import quantiles as Q
+        rounds = []
+        narrow = Q._narrow
+        monkeypatch.setattr(Q, "_narrow", lambda long, open_, acc: (rounds.append(len(open_)), narrow(long, open_, accuracy)))
+        big = exact_quantiles_by_column(df, ["a", "b"], [0.0, 0.5, 1.0], band_rows=band)
+        monkeypatch.setattr(Q, "_narrow", narrow)
+        assert rounds and rounds[0] > 3  # all columns and ranks in one round
+        assert big["a"] == pytest.approx(list(np.quantile(a, [0.0, 0.5, 1.0])), rel=1e-12)
+        assert big["b"] == pytest.approx(list(np.quantile(bb, [0.0, 0.5, 1.0])), rel=1e-12)
 
 
 def test_histograms_match_numpy(spark):
@@ -227,3 +234,25 @@ def test_publish_json_frame(spark):
     parsed = _json.loads(out[0].value)
     assert list(parsed) == [f.name for f in CLEAN_SCHEMA.fields]
     assert parsed["area_m2"] is None and parsed["price_billion"] == 5.2 and parsed["bedrooms"] == 3
+
+
+def test_deep_pages_and_errors_lose_no_card(spark):
+    card = '<div class="js__card" data-product-id="{}"><h3><a href="/x">T{}</a></h3></div>'
+    deep = "<p>" * 2500 + card.format("deep", 1) + "<div>" * 2500 + card.format("deeper", 2)
+    pages = spark.createDataFrame([(1, "u1", deep), (2, "u2", card.format("flat", 3)), (3, None, None)],
+                                  "page_id long, url string, html string")
+    rows = H.card_text(pages).collect()
+    assert sorted(r.product_id for r in rows if r.error is None) == ["deep", "deeper", "flat"]
+    assert not [r for r in rows if r.error]
+
+
+def test_failed_cards_are_reported(monkeypatch):
+    def broken(card, sel):
+        if card.attrs["data-product-id"] == "2":
+            raise ValueError("no such thing")
+        return ("1", "t", "", "", "", "", None)
+    monkeypatch.setattr(H, "_card", broken)
+    rows = H._cards_of(7, "u", '<div data-product-id="1"></div><div data-product-id="2"></div>', H.CARD_SELECTORS)
+    assert [r[-1] for r in rows] == [None, "ValueError: no such thing"] and rows[1][:2] == (7, "u")
+    with pytest.raises(ValueError):
+        H.select(H._Dom("<p>").root, "p > a")
