@@ -29,7 +29,6 @@ from homestat.constants import (
     UNIT_MILLION,
 )
 from homestat.functions.listing import NUMBER_PATTERN
-from homestat.plans import warehouse as W
 from homestat.schema import (
     CLEAN_COLUMNS,
     DETAIL_COLUMNS,
@@ -37,6 +36,7 @@ from homestat.schema import (
     LR_CAT_FEATURES,
     LR_LABEL,
     LR_NUM_FEATURES,
+    MERGED_COLUMNS,
     NUMERIC_TYPES,
     PROFILE_CATEGORIES,
     PROFILE_NUMERIC,
@@ -117,7 +117,26 @@ mt AS (SELECT *, total_listings + stream_listings AS merged_listings, {WEIGHTED}
 FILTERED = """bounds AS (SELECT MIN(price_billion) AS lo, quantile_cont(price_billion, 0.95) AS hi FROM clean),
 f AS (SELECT c.* FROM clean c, bounds b WHERE c.price_billion >= b.lo AND c.price_billion <= b.hi)"""
 
-MERGED_VIEW = f"merged AS ({W.merged_listings_sql('clean', 'speed')})"
+MERGED_ROWS = (f"SELECT {_cols(MERGED_COLUMNS)}, 'batch' AS data_source FROM clean "
+               f"UNION ALL SELECT {_cols(MERGED_COLUMNS)}, 'stream' AS data_source FROM speed")
+
+
+def _report(source: str, keys: str, count: str, where: str, **measures: tuple[str, int]) -> str:
+    """One grouped statement: measures are output name -> (aggregate expression, decimals)."""
+    found = ", ".join(f"{rnd(expr, decimals)} AS {name}" for name, (expr, decimals) in measures.items())
+    return (f"SELECT {keys}, CAST(COUNT(*) AS BIGINT) AS {count}{', ' + found if found else ''} FROM {source} "
+            f"{'WHERE ' + where if where else ''} GROUP BY {keys}")
+
+
+GAPPED = """g AS (SELECT * REPLACE (
+      CASE WHEN floors <> 5 THEN price_billion END AS price_billion, CASE WHEN floors <> 5 THEN price_tier END AS price_tier,
+      CASE floors WHEN 2 THEN 'None' WHEN 3 THEN NULL ELSE legal_status END AS legal_status) FROM clean)"""
+PRICE3, AREA1, PPM1 = ("AVG(price_billion)", 3), ("AVG(area_m2)", 1), ("AVG(price_per_m2_million)", 1)
+
+
+def _district_stats(source: str) -> str:
+    return _report(source, "district, city", "total_listings", "price_billion IS NOT NULL", avg_price_billion=PRICE3, avg_price_per_m2=PPM1,
+                   min_price=("MIN(price_billion)", 3), max_price=("MAX(price_billion)", 3), avg_area_m2=AREA1)
 
 
 def _index_cte(feature: str, name: str) -> str:
@@ -256,9 +275,9 @@ def build() -> dict[str, str]:
     sql["sink_kafka_json"] = with_ctes("clean") + (
         "SELECT listing_id AS key, CAST(to_json(struct_pack("
         + ", ".join(f"{c} := {c}" for c in CLEAN_COLUMNS) + ")) AS VARCHAR) AS value FROM clean")
-    sql["sink_ctas"] = with_ctes("clean") + W.district_stats_sql("clean", rnd)
+    sql["sink_ctas"] = with_ctes("clean") + _district_stats("clean")
     sql["sink_external_table"] = with_ctes("speed") + "SELECT * FROM speed"
-    sql["sink_view"] = with_ctes("speed") + W.merged_listings_sql("clean", "speed")
+    sql["sink_view"] = with_ctes("speed") + MERGED_ROWS
     sql["sink_speed_summary"] = with_ctes("speed") + (
         "SELECT (SELECT COUNT(*) FROM speed) AS stream_total, (SELECT COUNT(*) FROM clean) AS batch_total, "
         "COALESCE((SELECT CAST(MAX(ingestion_time) AS VARCHAR) FROM speed), 'N/A') AS latest_ingestion")
@@ -300,7 +319,8 @@ def build() -> dict[str, str]:
     sql["normalize_text"] = with_ctes("raw") + (
         "SELECT listing_id, " + ", ".join(f"{normalize_sql(c)} AS {c}" for c in
                                           ["city", "district", "ward", "property_type", "direction", "legal_status"])
-        + " FROM raw")
+        + """ FROM (SELECT * REPLACE (CASE WHEN bedrooms = 2 THEN chr(160) || ' ' || ward || chr(9) ELSE ward END AS ward,
+                                 CASE WHEN floors = 4 THEN ' nan' ELSE direction END AS direction) FROM raw)""")
     notnull = "listing_id IS NOT NULL AND title IS NOT NULL AND price_billion IS NOT NULL"
     sql["dropna_subset"] = with_ctes("raw") + f"SELECT {raw_cols} FROM raw WHERE {notnull}"
     sql["dedup_listing"] = with_ctes("raw") + (
@@ -311,8 +331,8 @@ def build() -> dict[str, str]:
     sql["clean_summary"] = with_ctes("clean") + (
         "SELECT COUNT(*) AS rows, MIN(price_billion) AS min_price, MAX(price_billion) AS max_price, "
         "COUNT(DISTINCT district) AS districts FROM clean")
-    sql["filter_not_null"] = with_ctes("clean") + "SELECT * FROM clean WHERE price_billion IS NOT NULL AND price_tier IS NOT NULL"
-    sql["filter_legal"] = with_ctes("clean") + "SELECT * FROM clean WHERE legal_status IS NOT NULL AND legal_status <> 'None'"
+    sql["filter_not_null"] = with_ctes("clean") + f", {GAPPED} SELECT * FROM g WHERE price_billion IS NOT NULL AND price_tier IS NOT NULL"
+    sql["filter_legal"] = with_ctes("clean") + f", {GAPPED} SELECT * FROM g WHERE legal_status IS NOT NULL AND legal_status <> 'None'"
     sql["filter_facets"] = with_ctes("clean") + f", {FILTERED} SELECT {clean_cols} FROM f"
     sql["select_columns"] = with_ctes("clean") + f"SELECT {_cols(DETAIL_COLUMNS)} FROM clean"
     sql["fillna_defaults"] = with_ctes("speed") + (
@@ -330,22 +350,30 @@ def build() -> dict[str, str]:
     sql["eda_by_direction"] = with_ctes("clean") + (
         f"SELECT direction, COUNT(*) AS count, {rnd('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2 "
         "FROM clean GROUP BY direction")
-    sql["wh_district_stats"] = with_ctes("clean") + W.district_stats_sql("clean", rnd)
-    sql["wh_type_stats"] = with_ctes("clean") + W.type_stats_sql("clean", rnd)
-    sql["wh_price_distribution"] = with_ctes("clean") + W.price_distribution_sql("clean", rnd)
-    sql["wh_legal_stats"] = with_ctes("clean") + W.legal_stats_sql("clean", rnd)
-    sql["wh_merged_district_stats"] = with_ctes("speed") + f", {MERGED_VIEW} " + W.merged_district_stats_sql("merged", rnd)
-    sql["wh_merged_type_stats"] = with_ctes("speed") + f", {MERGED_VIEW} " + W.merged_type_stats_sql("merged", rnd)
-    sql["wh_source_counts"] = with_ctes("speed") + f", {MERGED_VIEW} " + W.source_counts_sql("merged")
-    sql["wh_stream_count"] = with_ctes("speed") + W.stream_count_sql("speed")
+    sql["wh_district_stats"] = with_ctes("clean") + f", {GAPPED} " + _district_stats("g")
+    sql["wh_type_stats"] = with_ctes("clean") + f", {GAPPED} " + _report(
+        "g", "property_type", "total_listings", "price_billion IS NOT NULL", avg_price=PRICE3, avg_area=AREA1, avg_price_per_m2=PPM1,
+        avg_bedrooms=("AVG(bedrooms)", 1))
+    sql["wh_price_distribution"] = with_ctes("clean") + f", {GAPPED} " + _report(
+        "g", "price_tier", "count", "price_tier IS NOT NULL", avg_area=AREA1, avg_price_per_m2=PPM1)
+    sql["wh_legal_stats"] = with_ctes("clean") + f", {GAPPED} " + _report(
+        "g", "legal_status", "count", "legal_status <> 'None'", avg_price=PRICE3, avg_price_per_m2=PPM1)
+    merged = with_ctes("speed") + f", merged AS ({MERGED_ROWS}) "
+    sql["wh_merged_district_stats"] = merged + _report(
+        "merged", "district, city, data_source", "total_listings", "price_billion IS NOT NULL",
+        avg_price_billion=PRICE3, avg_price_per_m2=PPM1, avg_area_m2=AREA1)
+    sql["wh_merged_type_stats"] = merged + _report(
+        "merged", "property_type, data_source", "total_listings", "price_billion IS NOT NULL", avg_price_billion=PRICE3, avg_price_per_m2=PPM1)
+    sql["wh_source_counts"] = merged + _report("merged", "data_source", "records", "")
+    sql["wh_stream_count"] = with_ctes("speed") + "SELECT COUNT(*) AS cnt FROM speed"
     sql["speed_by_district"] = with_ctes("speed") + f", {SPEED_DISTRICT} SELECT * FROM sd"
     sql["speed_by_type"] = with_ctes("speed") + f", {SPEED_TYPE} SELECT * FROM st"
     sql["speed_latest"] = with_ctes("speed") + "SELECT CAST(MAX(ingestion_time) AS VARCHAR) AS latest_ingestion FROM speed"
     sql["kpi_cards"] = with_ctes("speed") + f""", {FILTERED},
       dc AS (SELECT district, COUNT(*) AS n FROM f WHERE district IS NOT NULL GROUP BY district)
       SELECT CAST((SELECT COUNT(*) FROM f) + (SELECT COUNT(*) FROM speed) AS BIGINT) AS total_listings,
-             (SELECT AVG(price_billion) FROM f) AS avg_price,
-             (SELECT AVG(price_per_m2_million) FROM f) AS avg_price_per_m2,
+             {rnd('(SELECT AVG(price_billion) FROM f)', 6)} AS avg_price,
+             {rnd('(SELECT AVG(price_per_m2_million) FROM f)', 6)} AS avg_price_per_m2,
              (SELECT district FROM dc ORDER BY n DESC, district LIMIT 1) AS top_district,
              (SELECT COUNT(*) FROM speed) AS stream_total,
              (SELECT COUNT(*) FROM speed) AS latest_feed_rows"""
@@ -373,7 +401,8 @@ def build() -> dict[str, str]:
       WHERE avg_price_per_m2 IS NOT NULL"""
 
     # 2.5 profiling
-    sql["prof_shape"] = with_ctes("raw") + f"SELECT COUNT(*) AS rows, {len(RAW_COLUMNS)} AS columns FROM raw"
+    sql["prof_shape"] = with_ctes("raw") + (
+        f"SELECT COUNT(*) AS rows, {len(RAW_COLUMNS)} AS columns, {RAW_COLUMNS} AS names, {[RAW_DTYPES[c] for c in RAW_COLUMNS]} AS dtypes FROM raw")
     sql["prof_nulls"] = with_ctes("raw") + _nulls_union()
     sql["prof_null_bands"] = with_ctes("raw") + _bands()
     sql["prof_describe"] = with_ctes("raw") + _describe()
@@ -397,7 +426,7 @@ def build() -> dict[str, str]:
       {_index_cte('district', 'di')}
       SELECT c.listing_id, COALESCE(ti."index", 0.0) AS type_idx, COALESCE(di."index", 0.0) AS dist_idx
       FROM clean c LEFT JOIN ti ON c.property_type = ti.label LEFT JOIN di ON c.district = di.label"""
-    sql["union_merged_listings"] = with_ctes("speed") + W.merged_listings_sql("clean", "speed")
+    sql["union_merged_listings"] = with_ctes("speed") + MERGED_ROWS
     sql["union_category_map"] = with_ctes("clean") + f""", {MODEL}, {_index_cte('property_type', 'ti')},
       {_index_cte('district', 'di')} SELECT * FROM ti UNION ALL SELECT * FROM di"""
 
@@ -414,7 +443,7 @@ def build() -> dict[str, str]:
         f"{_tier_order()} AS tier_order FROM clean GROUP BY price_tier")
     sql["detail_top100"] = with_ctes("clean") + f", {FILTERED} SELECT {_cols(DETAIL_COLUMNS)} FROM f ORDER BY listing_id LIMIT 100"
     sql["stats_top10"] = with_ctes("clean") + (
-        f"SELECT * FROM ({W.district_stats_sql('clean', rnd)}) "
+        f"SELECT * FROM ({_district_stats('clean')}) "
         "ORDER BY total_listings DESC, district NULLS FIRST, city NULLS FIRST LIMIT 10")
 
     # 2.10 machine learning (SQL-expressible parts)
@@ -423,14 +452,87 @@ def build() -> dict[str, str]:
         "SELECT listing_id, " + ", ".join(
             f"({c} - AVG({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}_z" for c in KMEANS_FEATURES)
         + f" FROM clean WHERE {feats}")
+    keyed = f"""keyed AS (SELECT listing_id, {_cols(LR_NUM_FEATURES + LR_CAT_FEATURES + [LR_LABEL])},
+        ('0x' || substring(md5(listing_id), 1, 8))::BIGINT % 10 < 8 AS in_train FROM clean WHERE """ + " AND ".join(
+        f"{c} IS NOT NULL" for c in LR_NUM_FEATURES + LR_CAT_FEATURES + [LR_LABEL]) + ")"
+    sql["ml_split"] = with_ctes("clean") + f", {keyed} SELECT * EXCLUDE (in_train), CASE WHEN in_train THEN 'train' ELSE 'test' END AS part FROM keyed"
+    train = f"{keyed}, model AS (SELECT * FROM keyed WHERE in_train), {_index_cte('property_type', 'ti')}, {_index_cte('district', 'di')}"
+    sql["ml_category_map"] = with_ctes("clean") + f", {train} SELECT * FROM ti UNION ALL SELECT * FROM di"
+    sql["score_listings"] = with_ctes("clean") + f""", {MODEL}, {_index_cte('property_type', 'ti')}, {_index_cte('district', 'di')},
+      s AS (SELECT listing_id, area_m2, 1.5::DOUBLE + 0.03::DOUBLE * area_m2 + 0.25::DOUBLE * bedrooms + (-0.5)::DOUBLE * bathrooms
+              + 0.125::DOUBLE * floors + (-1.75)::DOUBLE * COALESCE(ti."index", 0.0) + 0.0625::DOUBLE * COALESCE(di."index", 0.0) AS p
+            FROM clean c LEFT JOIN ti ON c.property_type = ti.label LEFT JOIN di ON c.district = di.label)
+      SELECT listing_id, CASE WHEN p > 0 OR p IS NULL THEN COALESCE(p, 0.0) ELSE 0.0 END AS predicted_price,
+             CASE WHEN area_m2 > 0 THEN CASE WHEN p > 0 THEN p ELSE 0.0 END / area_m2 * 1000 ELSE 0.0 END AS predicted_price_per_m2 FROM s"""
+    sql["sample_500"] = with_ctes("clean") + f""", {FILTERED}
+      SELECT listing_id, price_billion, area_m2, property_type FROM f ORDER BY md5(listing_id), listing_id LIMIT 500"""
     sql["ml_string_index"] = with_ctes("clean") + f", {MODEL}, {_index_cte('district', 'di')} SELECT * FROM di"
 
     # 2.11 streaming
     ts = "CAST(strptime(scraped_at, '%Y-%m-%dT%H:%M:%S') AS TIMESTAMP)"
-    sql["stream_parse"] = with_ctes("clean") + f"SELECT {clean_cols}, {ts} AS kafka_timestamp FROM clean"
+    sql["stream_parse"] = with_ctes("messages") + f"SELECT {clean_cols}, {ts} AS kafka_timestamp FROM messages"
     sql["stream_enrich"] = with_ctes("speed") + f"SELECT {_cols(SPEED_COLUMNS)} FROM speed"
     sql["stream_append"] = with_ctes("speed") + f"SELECT {_cols(SPEED_COLUMNS[:-1])} FROM speed"
     sql["sink_stream_parquet"] = sql["stream_append"]
+    sql["src_kafka_stream"] = with_ctes("messages") + (
+        "SELECT listing_id AS key, CAST(to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in CLEAN_COLUMNS)
+        + f")) AS VARCHAR) AS value, {ts} AS timestamp FROM messages")
+    sql["stream_run"] = with_ctes("speed") + "SELECT COUNT(*) AS rows FROM speed"
+    sql["flow_speed"] = with_ctes("speed") + """
+      SELECT 'speed' AS output, COUNT(*) AS rows FROM speed
+      UNION ALL SELECT 'live_groups', COUNT(*) FROM (SELECT DISTINCT district, property_type FROM speed)"""
+    sql["flow_serve"] = sql["merge_by_district"]
+    counted = {
+        "cleaned": "SELECT COUNT(*) FROM clean", "by_type": "SELECT COUNT(*) FROM bt", "by_district": "SELECT COUNT(*) FROM bd",
+        "price_dist": "SELECT COUNT(*) FROM (SELECT DISTINCT price_tier FROM clean)",
+        "by_legal": "SELECT COUNT(*) FROM (SELECT DISTINCT legal_status FROM clean)",
+        "by_direction": "SELECT COUNT(*) FROM (SELECT DISTINCT direction FROM clean)",
+        "clustered": f"SELECT COUNT(*) FROM clean WHERE {feats}", "cluster_stats": "SELECT 5", "lr_metrics": "SELECT 5",
+        "lr_coefficients": "SELECT 6", "lr_model_params": "SELECT 1",
+        "lr_predictions": "SELECT least(800, COUNT(*)) FROM keyed WHERE NOT in_train AND property_type IN (SELECT label FROM ti) "
+                          "AND district IN (SELECT label FROM di)",
+        "lr_category_map": "SELECT (SELECT COUNT(*) FROM ti) + (SELECT COUNT(*) FROM di)",
+    }
+    warehouse = {
+        "listings": "SELECT COUNT(*) FROM clean", "district_stats": f"SELECT COUNT(*) FROM ({_district_stats('clean')})",
+        "type_stats": "SELECT COUNT(*) FROM bt",
+        "price_distribution": "SELECT COUNT(DISTINCT price_tier) FROM clean",
+        "legal_stats": "SELECT COUNT(DISTINCT legal_status) FROM clean WHERE legal_status <> 'None'",
+    }
+    outputs = counted | {f"wh.{k}": v for k, v in warehouse.items()} | {f"export.{k}": v for k, v in counted.items()}
+    base = with_ctes("clean") + f", {BY_DISTRICT}, {BY_TYPE}, {train} "
+    sql["flow_batch"] = base + " UNION ALL ".join(f"SELECT '{k}' AS output, CAST(({v}) AS BIGINT) AS rows" for k, v in outputs.items())
+    sql["sink_export_views"] = base + " UNION ALL ".join(
+        f"SELECT '{k}' AS view, CAST(({v}) AS BIGINT) AS rows, 'ok' AS status" for k, v in counted.items() if k != "by_direction"
+    ) + " UNION ALL SELECT 'by_direction', NULL, 'missing'"
+    named = "IS NOT NULL AND {0} <> 'None'"
+    charts = []
+    for state in ("merged", "batch", "none"):
+        table, kind, count = {"merged": ("md", "mt", "merged_listings"), "batch": ("bd", "bt", "total_listings"), "none": ("", "", "")}[state]
+        if state == "none":
+            charts += [
+                ("district", "district, COUNT(listing_id), AVG(price_billion) FROM f WHERE district IS NOT NULL GROUP BY district"),
+                ("type", "property_type, COUNT(*), NULL FROM f WHERE property_type IS NOT NULL GROUP BY property_type"),
+                ("price_tier", "price_tier, COUNT(*), NULL FROM f WHERE price_tier IS NOT NULL GROUP BY price_tier"),
+                ("type_ppm", "property_type, NULL, AVG(price_per_m2_million) FROM f GROUP BY property_type HAVING AVG(price_per_m2_million) IS NOT NULL"),
+                ("legal", "legal_status, COUNT(*), NULL FROM f WHERE legal_status " + named.format("legal_status") + " GROUP BY legal_status"),
+                ("direction", "direction, COUNT(listing_id), AVG(price_per_m2_million) FROM f WHERE direction " + named.format("direction") + " GROUP BY direction"),
+            ]
+        else:
+            price = "merged_avg_price" if state == "merged" else "avg_price_billion"
+            charts += [
+                ("district", f"district, {count}, {price} FROM {table}"), ("type", f"property_type, {count}, NULL FROM {kind}"),
+                ("price_tier", "price_tier, COUNT(*), NULL FROM clean GROUP BY price_tier"),
+                ("type_ppm", f"property_type, NULL, avg_price_per_m2 FROM {kind} WHERE avg_price_per_m2 IS NOT NULL"),
+                ("legal", "legal_status, COUNT(*), NULL FROM clean WHERE legal_status " + named.format("legal_status") + " GROUP BY legal_status"),
+                ("direction", f"direction, COUNT(*), {rnd('AVG(price_per_m2_million)', 1)} FROM clean WHERE direction "
+                              + named.format("direction") + " GROUP BY direction"),
+            ]
+        charts[-6:] = [(state, *c) for c in charts[-6:]]
+    one_of = [f"SELECT '{state}' AS state, '{chart}' AS chart, x.* FROM (SELECT {body}) x(key, n, value)" for state, chart, body in charts]
+    sql["dash_chart_sources"] = with_ctes("speed") + (
+        f", {MERGED_DISTRICT}, {MERGED_TYPE}, {FILTERED} SELECT state, chart, key, CAST(n AS BIGINT) AS n, CAST(value AS DOUBLE) AS value FROM ("
+        + " UNION ALL ".join(one_of) + ")")
     live = (f"SELECT district, property_type, COUNT(*) AS new_listings, {rnd('AVG(price_billion)', 3)} AS avg_price, "
             f"{rnd('AVG(price_per_m2_million)', 1)} AS avg_price_m2 FROM speed GROUP BY district, property_type")
     sql["stream_agg_complete"] = with_ctes("speed") + live

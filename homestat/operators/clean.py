@@ -37,17 +37,6 @@ def cast_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(exprs)
 
 
-def fill_ppm(df: DataFrame) -> DataFrame:
-    return df.withColumn("price_per_m2_million", derive_ppm())
-
-
-def add_tiers(df: DataFrame, null_as_top: bool = False) -> DataFrame:
-    return df.withColumns({
-        "price_tier": price_tier("price_billion", null_as_top),
-        "area_tier": area_tier("area_m2", null_as_top),
-    })
-
-
 def normalize_columns(df: DataFrame, columns: list[str] = TEXT_NORMALIZED) -> DataFrame:
     return df.withColumns({c: normalize_text(c) for c in columns if c in df.columns})
 
@@ -65,10 +54,7 @@ def dedup_first(df: DataFrame, key: str = "listing_id", order: str = ORDER_COL)
     the whole group, to its reducer.
     """
     if order not in df.columns:
-        # input order: file, split start, position inside the split
-        df = df.withColumn(order, F.struct(F.input_file_name().alias("f"),
-                                           F.input_file_block_start().alias("b"),
-                                           F.monotonically_increasing_id().alias("i")))
+        raise ValueError(f"{order!r} is missing: 'first' needs a column that gives the input order")
     cols = [c for c in df.columns if c != order]
     w = Window.partitionBy(key).orderBy(F.col(order).asc())
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= 1).select(*cols)
@@ -81,8 +67,7 @@ def filter_outliers(df: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX)
 def typed_columns(df: DataFrame) -> DataFrame:
     """cast -> price/m² -> tiers -> normalised text as one projection.
 
-    Same result as ``cast_columns``, ``fill_ppm``, ``add_tiers`` and
-    ``normalize_columns`` in turn, composed into a single select so the plan
+    The steps in turn, composed into a single select so the plan
     is analysed once.
     """
     cast = {}
@@ -105,10 +90,9 @@ def typed_columns(df: DataFrame) -> DataFrame:
 
 def clean_listings(raw: DataFrame) -> DataFrame:
     """Raw listings (typed or all-text) -> the 22-column cleaned table."""
-    has_order = ORDER_COL in raw.columns
     df = typed_columns(drop_unnamed(raw))
     df = drop_missing(df, ["listing_id", "title", "price_billion"])
-    df = dedup_first(df, "listing_id", ORDER_COL) if has_order else dedup_first(df)
+    df = dedup_first(df)
     df = filter_outliers(df)
     return df.select(*CLEAN_COLUMNS)
 

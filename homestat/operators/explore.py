@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homestat.constants import (
@@ -84,9 +84,10 @@ def filter_facets(clean: DataFrame, facets: Facets) -> DataFrame:
     return df
 
 
-def kpi_cards(filtered: DataFrame, speed: DataFrame | None) -> DataFrame:
+def kpi_cards(filtered: DataFrame, speed: DataFrame | None, recent: DataFrame | None = None) -> DataFrame:
     """One row: total (filtered + stream), mean price, mean price/m², most listed
-    district (ties -> smallest name), stream total and latest feed size.
+    district (ties -> smallest name), stream total and latest feed size: the rows
+    of the ``recent`` files, or the stream total when there are none.
 
     Two-level aggregation: per-district partial sums (map-side combined), then
     one small fold; the speed count is stacked in, not joined.
@@ -109,6 +110,10 @@ def kpi_cards(filtered: DataFrame, speed: DataFrame | None) -> DataFrame:
         rows = batch.unionByName(stream, allowMissingColumns=True)
     else:
         rows = batch.withColumn("stream_total", F.lit(0).cast("bigint"))
+    if recent is not None:
+        rows = rows.unionByName(recent.agg(F.count(F.lit(1)).alias("recent_rows")), allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("recent_rows", F.lit(None).cast("bigint"))
     return rows.agg(
         (F.coalesce(F.sum("filtered_rows"), F.lit(0)) + F.coalesce(F.sum("stream_total"), F.lit(0)))
         .cast("bigint").alias("total_listings"),
@@ -116,7 +121,7 @@ def kpi_cards(filtered: DataFrame, speed: DataFrame | None) -> DataFrame:
         F.max("avg_price_per_m2").alias("avg_price_per_m2"),
         F.max("top_district").alias("top_district"),
         F.coalesce(F.sum("stream_total"), F.lit(0)).cast("bigint").alias("stream_total"),
-        F.coalesce(F.sum("stream_total"), F.lit(0)).cast("bigint").alias("latest_feed_rows"),
+        F.coalesce(F.nullif(F.max("recent_rows"), F.lit(0)), F.sum("stream_total"), F.lit(0)).cast("bigint").alias("latest_feed_rows"),
     )
 
 
@@ -253,11 +258,44 @@ def top_n(df: DataFrame, order: list, n: int) -> DataFrame:
 def sample_rows(filtered: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     """A repeatable pseudo-random sample of at most ``n`` rows (hash order)."""
     return (
-        filtered.orderBy(F.xxhash64("listing_id"), "listing_id")
+        filtered.orderBy(F.md5("listing_id"), "listing_id")
         .limit(n)
         .select("listing_id", "price_billion", "area_m2", "property_type")
     )
 
 
-def rank_rows(df: DataFrame, partition: list[str], order: list) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+def _has_rows(df: DataFrame | None) -> bool:
+    return df is not None and not df.isEmpty()
+
+
+def _sizes(filtered: DataFrame, column: str, name: str) -> DataFrame:
+    return filtered.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(name))
+
+
+def _named(df: DataFrame, column: str) -> DataFrame:
+    return df.where(F.col(column).isNotNull() & (F.col(column) != "None"))
+
+
+def chart_sources(views: dict[str, DataFrame | None], filtered: DataFrame) -> dict[str, DataFrame]:
+    """The table behind each chart: the published view if it has rows (the merged one before the
+    batch one), else the same figures from the filtered listings.
+
+    ``views`` may hold merged_by_district, by_district, merged_by_type, by_type, price_dist,
+    by_legal and by_direction.
+    """
+    def first(*names: str) -> DataFrame | None:
+        return next((views[n] for n in names if _has_rows(views.get(n))), None)
+
+    def either(view: DataFrame | None, other) -> DataFrame:
+        return view if view is not None else other()
+
+    by_type = first("merged_by_type", "by_type")
+    return {
+        "district": either(first("merged_by_district", "by_district"), lambda: district_fallback(filtered)),
+        "type": either(by_type, lambda: _sizes(filtered, "property_type", "merged_listings")),
+        "price_tier": sort_tiers(either(first("price_dist"), lambda: _sizes(filtered, "price_tier", "count"))),
+        "type_ppm": either(by_type.where(F.col("avg_price_per_m2").isNotNull()).orderBy("avg_price_per_m2", "property_type")
+                           if by_type is not None else None, lambda: type_ppm(filtered)),
+        "legal": _named(either(first("by_legal"), lambda: _sizes(filtered, "legal_status", "count")), "legal_status"),
+        "direction": _named(either(first("by_direction"), lambda: direction_fallback(filtered)), "direction"),
+    }

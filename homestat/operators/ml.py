@@ -14,13 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from homestat.constants import COEF_FEATURES, FEATURE_LABELS, METRIC_NAMES, PREDICTION_ROWS, SEGMENT_NAMES
+from homestat.constants import COEF_FEATURES, FEATURE_LABELS, METRIC_NAMES, SEGMENT_NAMES
+from homestat.operators.quantiles import exact_quantile
 from homestat.operators.views import cluster_stats
 from homestat.schema import KMEANS_FEATURES, LR_CAT_FEATURES, LR_LABEL, LR_NUM_FEATURES
 
@@ -41,11 +41,12 @@ def assemble_scale(df: DataFrame) -> Pipeline:
 
 
 def zscores(df: DataFrame) -> DataFrame:
-    """The standardisation as plain columns (what the scaler computes)."""
+    """The standardisation as plain columns (what the scaler computes; 0 for a constant column)."""
     stats = df.agg(*[x for c in KMEANS_FEATURES for x in (F.avg(c).alias(f"{c}_mean"),
                                                             F.stddev_samp(c).alias(f"{c}_std"))]).first()
     return df.select("listing_id", *[
-        ((F.col(c) - F.lit(stats[f"{c}_mean"])) / F.lit(stats[f"{c}_std"])).alias(f"{c}_z")
+        (((F.col(c) - F.lit(stats[f"{c}_mean"])) / F.lit(stats[f"{c}_std"])) if stats[f"{c}_std"]
+         else F.when(F.col(c).isNotNull(), F.lit(0.0))).alias(f"{c}_z")
         for c in KMEANS_FEATURES])
 
 
@@ -88,7 +89,7 @@ def segments(clean: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 30) -
 
 
 def model_input(clean: DataFrame) -> DataFrame:
-    return clean.select(*LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL).dropna()
+    return clean.select("listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL).dropna()
 
 
 def string_index(df: DataFrame, column: str) -> DataFrame:
@@ -107,10 +108,11 @@ def string_index(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def split(df: DataFrame, seed: int = 42, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Seeded random 80/20 split."""
-    a, b = df.randomSplit([train, 1 - train], seed=seed)
-    return a, b
+def split(df: DataFrame, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+    """80/20 split by a hash of the listing id: the same rows whatever the partitions."""
+    digits = F.conv(F.substring(F.md5(F.col("listing_id").cast("string")), 1, 8), 16, 10).cast("long")
+    in_train = digits % 10 < train_tenths
+    return df.where(in_train), df.where(~in_train)
 
 
 def fit_regression(train: DataFrame, max_iter: int = 100, reg: float = 0.1, elastic: float = 0.0) -> PipelineModel:
@@ -136,9 +138,8 @@ class PriceModel:
         return self.model.stages[-1]
 
 
-def train_price_model(clean: DataFrame, seed: int = 42) -> PriceModel:
-    data = model_input(clean)
-    train, test = split(data, seed)
+def train_price_model(clean: DataFrame) -> PriceModel:
+    train, test = split(model_input(clean))
     model = fit_regression(train)
     return PriceModel(model, train, test, model.transform(test))
 
@@ -162,11 +163,6 @@ def metrics(pm: PriceModel) -> DataFrame:
     return p.sparkSession.createDataFrame(list(zip(METRIC_NAMES, vals)), "metric string, value double")
 
 
-def evaluator_metric(pm: PriceModel, name: str) -> float:
-    return RegressionEvaluator(labelCol=LR_LABEL, predictionCol="prediction", metricName=name).evaluate(
-        pm.predictions)
-
-
 def coefficients(pm: PriceModel) -> DataFrame:
     coefs = [float(x) for x in pm.lr.coefficients.toArray()]
     spark = pm.predictions.sparkSession
@@ -182,12 +178,14 @@ def sorted_coefficients(coef: DataFrame) -> DataFrame:
     }).orderBy("coefficient", "feature")
 
 
-def predictions(pm: PriceModel, n: int = PREDICTION_ROWS) -> DataFrame:
-    return pm.predictions.select(
+def predictions(pm: PriceModel, n: int | None = None) -> DataFrame:
+    """Actual and predicted price of the test rows; the first ``n`` by listing id if given."""
+    rows = pm.predictions if n is None else pm.predictions.orderBy("listing_id", *LR_NUM_FEATURES, LR_LABEL).limit(n)
+    return rows.select(
         F.col(LR_LABEL).alias("actual"),
         F.round("prediction", 3).alias("predicted"),
         "property_type", "district", "area_m2",
-    ).limit(n)
+    )
 
 
 def category_map(pm: PriceModel) -> DataFrame:
@@ -209,7 +207,6 @@ def model_params(pm: PriceModel) -> DataFrame:
 
 def plot_filter(preds: DataFrame) -> DataFrame:
     """Rows with actual ≤ p95(actual) and predicted ≤ 1.5 · p95."""
-    from homestat.operators.quantiles import exact_quantile
     p95 = exact_quantile(preds, "actual", 0.95)
     return preds.where((F.col("actual") <= p95) & (F.col("predicted") <= 1.5 * p95))
 
@@ -217,27 +214,39 @@ def plot_filter(preds: DataFrame) -> DataFrame:
 # ---- scoring -----------------------------------------------------------------------
 
 
-def score(listings: DataFrame, params: dict[str, float], category_index: DataFrame) -> DataFrame:
-    """price = max(0, intercept + Σ coef·x + coef_type·idx(type) + coef_district·idx(district));
-    price/m² = price / area · 1000 (0 when area ≤ 0).  Unknown labels index 0.0.
+#: Label tables up to this many rows are broadcast; larger ones are joined by shuffle.
+MAX_BROADCAST_LABELS = 100_000
+
 
-    ``category_index`` is (feature, label, index); it is joined per feature on
-    the label (a left join keeps every listing).
+def with_category_index(listings: DataFrame, category_index: DataFrame) -> DataFrame:
+    """``listings`` with property_type_idx and district_idx; unknown labels index 0.0.
+
+    ``category_index`` is (feature, label, index).  It is counted first: a label
+    table within ``MAX_BROADCAST_LABELS`` is broadcast, so the listings aren't
+    shuffled on a key of a few values.
     """
-    def idx(feature: str, column: str) -> DataFrame:
-        return category_index.where(F.col("feature") == feature).select(
+    small = category_index.limit(MAX_BROADCAST_LABELS + 1).count() <= MAX_BROADCAST_LABELS
+    df = listings
+    for column in ("property_type", "district"):
+        own = category_index.where(F.col("feature") == column).select(
             F.col("label").alias(column), F.col("index").alias(f"{column}_idx"))
+        df = df.join(F.broadcast(own) if small else own, column, "left")
+    return df.fillna(0.0, ["property_type_idx", "district_idx"])
+
 
-    df = listings.join(idx("property_type", "property_type"), "property_type", "left") \
-                 .join(idx("district", "district"), "district", "left")
+def score(listings: DataFrame, params: dict[str, float], category_index: DataFrame) -> DataFrame:
+    """price = max(0, intercept + Σ coef·x + coef_type·idx(type) + coef_district·idx(district));
+    price/m² = price / area · 1000 (0 when area ≤ 0).  Unknown labels index 0.0.
+    """
+    df = with_category_index(listings, category_index)
     raw = (
         F.lit(params["intercept"])
         + F.lit(params["coef_area_m2"]) * F.col("area_m2")
         + F.lit(params["coef_bedrooms"]) * F.col("bedrooms")
         + F.lit(params["coef_bathrooms"]) * F.col("bathrooms")
         + F.lit(params["coef_floors"]) * F.col("floors")
-        + F.lit(params["coef_property_type"]) * F.coalesce(F.col("property_type_idx"), F.lit(0.0))
-        + F.lit(params["coef_district"]) * F.coalesce(F.col("district_idx"), F.lit(0.0))
+        + F.lit(params["coef_property_type"]) * F.col("property_type_idx")
+        + F.lit(params["coef_district"]) * F.col("district_idx")
     )
     price = F.greatest(F.lit(0.0), raw)
     return df.select(

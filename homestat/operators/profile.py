@@ -19,9 +19,11 @@ def _visible(df: DataFrame) -> list[str]:
 
 
 def shape(raw: DataFrame) -> DataFrame:
-    """Rows and columns."""
+    """Rows and columns, and the columns' names and types."""
     cols = _visible(raw)
-    return raw.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(cols)).alias("columns"))
+    types = dict(raw.dtypes)
+    return raw.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(cols)).alias("columns"),
+                   F.lit(cols).alias("names"), F.lit([types[c] for c in cols]).alias("dtypes"))
 
 
 def head(raw: DataFrame, n: int = 10) -> DataFrame:
@@ -43,7 +45,7 @@ def nulls(raw: DataFrame) -> DataFrame:
         long.select(
             "column_name",
             F.col("null_count").cast("bigint").alias("null_count"),
-            F.round(F.col("null_count") / F.col("__n") * 100, 2).alias("null_pct"),
+            F.round(F.try_divide("null_count", "__n") * 100, 2).alias("null_pct"),
             (F.col("__n") - F.col("null_count")).cast("bigint").alias("non_null"),
             "dtype",
         )
@@ -79,35 +81,11 @@ def describe(raw: DataFrame, columns: list[str] = PROFILE_NUMERIC) -> DataFrame:
     return raw.sparkSession.createDataFrame(rows, schema)
 
 
-def histogram(raw: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Values ≤ p95, ``bins`` equal-width bins over their [min, max]; the last bin is closed.
-
-    The cut-off comes from an exact distributed quantile; binning is one
-    aggregate keyed by bin number.
-    """
-    (p95,) = exact_quantiles(raw, column, [0.95])
-    kept = raw.select(F.col(column).cast("double").alias("x")).where(F.col("x") <= F.lit(p95))
-    bounds = kept.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        return raw.sparkSession.createDataFrame([], "column_name string, bin int, bin_lo double, bin_hi double, count bigint")
-    width = (hi - lo) / bins if hi > lo else 1.0
-    b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    return (
-        kept.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            F.lit(column).alias("column_name"), "bin",
-            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
-            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
-            "count",
-        )
-        .orderBy("bin")
-    )
-
-
 def histograms(raw: DataFrame, columns: list[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """``histogram`` for several columns at once: one exact-quantile pass for all
-    cut-offs, one aggregate for all bounds, one aggregate over (column, bin)."""
+    """Values ≤ p95 of each column in ``bins`` equal-width bins over their [min, max]; the last bin is closed.
+
+    One exact-quantile search for all cut-offs, one aggregate for all bounds,
+    one aggregate over (column, bin)."""
     p95 = {c: q[0] for c, q in exact_quantiles_by_column(raw, columns, [0.95]).items()}
     present = [c for c in columns if p95[c] is not None]
     if not present:
@@ -171,17 +149,23 @@ def topk_categories(raw: DataFrame, columns: list[str] = PROFILE_CATEGORIES, k:
 
 
 def duplicates(raw: DataFrame, key: str = "listing_id") -> DataFrame:
-    """Rows beyond the first per key (NULL keys count as one key) and their share."""
-    agg = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct(key).alias("ids"),
-        F.max(F.col(key).isNull().cast("int")).alias("has_null"),
-    )
+    """Rows beyond the first per key (NULL keys count as one key) and their share; without
+    the key column, rows beyond the first of each whole row."""
+    if key in raw.columns:
+        agg = raw.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.countDistinct(key).alias("ids"),
+            F.max(F.col(key).isNull().cast("int")).alias("has_null"),
+        )
+    else:
+        groups = raw.groupBy(*[F.col(f"`{c}`") for c in _visible(raw)]).agg(F.count(F.lit(1)).alias("n"))
+        agg = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("ids"),
+                         F.lit(0).alias("has_null"))
     dup = F.col("rows") - F.col("ids") - F.coalesce(F.col("has_null"), F.lit(0))
     return agg.select(
         "rows",
         dup.cast("bigint").alias("duplicates"),
-        F.round(dup / F.col("rows") * 100, 1).alias("duplicate_pct"),
+        F.round(F.try_divide(dup, F.col("rows")) * 100, 1).alias("duplicate_pct"),
     )
 
 

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from homestat import session as S
+from homestat.constants import PREDICTION_ROWS
 from homestat.operators import clean as C
 from homestat.operators import ml as M
 from homestat.operators import serve as SV
@@ -21,50 +21,58 @@ from homestat.sources import files as SF
 from homestat.sources import sinks as SK
 from homestat.streaming import speed as ST
 
-BATCH_VIEWS = ["by_type", "by_district", "price_dist", "by_legal", "by_direction"]
+#: Every batch output that the export copies, in the order of the jobs that write them.
+EXPORTED = [
+    "by_district", "by_type", "price_dist", "cluster_stats", "clustered", "by_legal", "by_direction",
+    "lr_metrics", "lr_coefficients", "lr_predictions", "lr_category_map", "lr_model_params",
+]
 
 
 def _report(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "output string, rows bigint")
 
 
+def batch_outputs(clean: DataFrame, with_models: bool = True) -> dict[str, DataFrame]:
+    """The named batch outputs over the cleaned table."""
+    out = {name: report.over(clean) for name, report in V.BATCH_VIEWS.items()}
+    if with_models:
+        seg = M.segments(clean)
+        pm = M.train_price_model(clean)
+        out |= {"clustered": seg.clustered, "cluster_stats": seg.stats_named,
+                "lr_metrics": M.metrics(pm), "lr_coefficients": M.coefficients(pm),
+                "lr_predictions": M.predictions(pm, PREDICTION_ROWS), "lr_category_map": M.category_map(pm),
+                "lr_model_params": M.model_params(pm)}
+    return out
+
+
 def batch(spark: SparkSession, raw: DataFrame, root: str, with_models: bool = True) -> DataFrame:
-    """clean -> EDA views -> (K-Means, regression) -> warehouse; returns output row counts."""
+    """clean -> EDA views -> K-Means -> regression -> warehouse -> export; returns output row counts."""
     cleaned_path = f"{root}/cleaned"
     SK.write_parquet(C.clean_listings(raw), cleaned_path)
     clean = SF.read_clean(spark, cleaned_path)
     counts = {"cleaned": clean.count()}
-    views = {
-        "by_type": V.by_type(clean), "by_district": V.by_district(clean), "price_dist": V.price_dist(clean),
-        "by_legal": V.by_legal(clean), "by_direction": V.by_direction(clean),
-    }
-    for name, df in views.items():
+    for name, df in batch_outputs(clean, with_models).items():
         SK.write_parquet(df, f"{root}/batch/{name}")
         counts[name] = spark.read.parquet(f"{root}/batch/{name}").count()
-    if with_models:
-        seg = M.segments(clean)
-        SK.write_parquet(seg.clustered, f"{root}/batch/clustered")
-        SK.write_parquet(seg.stats_named, f"{root}/batch/cluster_stats")
-        for name in ("clustered", "cluster_stats"):
-            counts[name] = spark.read.parquet(f"{root}/batch/{name}").count()
-        pm = M.train_price_model(clean)
-        outputs = {"lr_metrics": M.metrics(pm), "lr_coefficients": M.coefficients(pm),
-                   "lr_predictions": M.predictions(pm), "lr_category_map": M.category_map(pm),
-                   "lr_model_params": M.model_params(pm)}
-        for name, df in outputs.items():
-            SK.write_parquet(df, f"{root}/batch/{name}")
-            counts[name] = spark.read.parquet(f"{root}/batch/{name}").count()
     db = f"listings_{uuid.uuid4().hex[:10]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/warehouse'")
-    counts.update({f"wh.{k}": v for k, v in W.publish(spark, db, cleaned_path, None).items()})
+    counts.update({f"wh.{k}": v for k, v in W.publish(spark, db, cleaned_path, None, f"{root}/warehouse").items()})
+    report = export(spark, root, f"{root}/export")
+    counts.update({f"export.{r['view']}": r["rows"] for r in report.collect() if r["status"] == "ok"})
     return _report(spark, counts)
 
 
-def speed(spark: SparkSession, clean: DataFrame, root: str) -> DataFrame:
+def export(spark: SparkSession, root: str, target: str) -> DataFrame:
+    """Copy the cleaned table and all batch outputs to the serving location; what is missing is skipped."""
+    views = {"cleaned": f"{root}/cleaned"} | {name: f"{root}/batch/{name}" for name in EXPORTED}
+    return SK.export_views(spark, views, target)
+
+
+def speed(spark: SparkSession, clean: DataFrame, root: str, files_per_batch: int | None = None) -> DataFrame:
     """Publish listings as envelope files, run the stream (availableNow) into the
-    speed folder plus the live aggregate; returns row counts."""
+    speed folder plus the live aggregate; returns row counts.  ``files_per_batch``
+    bounds a micro-batch; unset, one batch takes what is there."""
     ST.publish_files(clean, f"{root}/topic")
-    src = ST.read_envelope_files(spark, f"{root}/topic", max_files_per_trigger=ST.TOPIC_PARTITIONS)
+    src = ST.read_envelope_files(spark, f"{root}/topic", max_files_per_trigger=files_per_batch)
     name = f"live_{uuid.uuid4().hex[:10]}"
     ST.run_speed_layer(spark, src, f"{root}/speed", f"{root}/ckpt", trigger=None,
                        aggregate_sink="memory", aggregate_name=name)
@@ -100,21 +108,4 @@ def serve(spark: SparkSession, root: str) -> dict[str, int]:
     return counts
 
 
-def publish_warehouse(spark: SparkSession, clean: DataFrame, speed_df: DataFrame) -> tuple[str, dict]:
-    """Write cleaned and speed tables, then create the catalog objects over them."""
-    root = S.scratch_path(spark, "warehouse")
-    SK.write_parquet(clean, f"{root}/listings")
-    SK.write_parquet(speed_df, f"{root}/streaming")
-    db = f"listings_{uuid.uuid4().hex[:10]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/db'")
-    counts = W.publish(spark, db, f"{root}/listings", f"{root}/streaming")
-    return db, counts
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder (reliable, survives executor loss)."""
-    S.checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-__all__ = ["batch", "speed", "serve", "publish_warehouse", "checkpointed"]
+__all__ = ["batch", "batch_outputs", "export", "speed", "serve"]

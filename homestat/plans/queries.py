@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,28 @@ from homestat.operators import serve as SV
 from homestat.operators import views as V
 from homestat.plans import flows
 from homestat.plans import warehouse as W
-from homestat.schema import DETAIL_COLUMNS, NUMERIC_TYPES, RAW_COLUMNS
+from homestat.constants import PREDICTION_ROWS, RECENT_FILES
+from homestat.schema import (
+    CLEAN_SCHEMA,
+    DETAIL_COLUMNS,
+    LR_CAT_FEATURES,
+    LR_LABEL,
+    LR_NUM_FEATURES,
+    NUMERIC_TYPES,
+    RAW_COLUMNS,
+    SPEED_SCHEMA,
+)
 from homestat.sources import files as SF
 from homestat.sources import sinks as SK
 from homestat.sources.tables import LISTING_BASE_URL, listing_cards, raw_listings, table
 from homestat.streaming import speed as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Envelope files that a micro-batch of the stream queries takes.
+STREAM_FILES = 64
+#: Given parameters of the scoring query.
+SCORE_PARAMS = {"intercept": 1.5, "coef_area_m2": 0.03, "coef_bedrooms": 0.25, "coef_bathrooms": -0.5,
+                "coef_floors": 0.125, "coef_property_type": -1.75, "coef_district": 0.0625}
 REGISTRY: dict[str, Query] = {}
 
 
@@ -70,13 +86,32 @@ def raw_once(spark, sf) -> DataFrame:
     return S.materialize(raw(spark, sf), "raw")
 
 
-def clean_once(spark, sf) -> DataFrame:
-    """The cleaned table written once, for queries that read it in several jobs."""
-    return S.materialize(clean(spark, sf), "clean")
+def clean_once(spark, sf, *columns: str) -> DataFrame:
+    """The cleaned table written once, for queries that read it in several jobs; given
+    columns only, so that a narrow query doesn't copy the whole table."""
+    c = clean(spark, sf)
+    return S.materialize(c.select(*columns) if columns else c, "clean")
+
+
+#: What the filters, reports and merges of the dashboard read.
+DASHBOARD = ("listing_id", "property_type", "district", "city", "price_billion", "area_m2", "price_per_m2_million",
+             "price_tier", "legal_status", "direction", "scraped_at")
+
+
+def messages(c: DataFrame) -> DataFrame:
+    """What the stream brings: not the batch rows again.  One region never arrives, rows of one region
+    carry district names that the batch lacks, and the second line of every order is delivered twice."""
+    arrived = c.where(F.coalesce(F.col("city") != "AFRICA", F.lit(True))).withColumn(
+        "district", F.when(F.col("city") == "ASIA", F.concat(F.lit("NEW "), "district")).otherwise(F.col("district")))
+    return arrived.unionByName(arrived.where(F.col("listing_id").endswith("-2")))
+
+
+def replayed(c: DataFrame, **how) -> DataFrame:
+    return ST.replay(messages(c), **how)
 
 
 def speed(spark, sf) -> DataFrame:
-    return ST.replay(clean(spark, sf))
+    return replayed(clean(spark, sf))
 
 
 def cards(spark, sf) -> DataFrame:
@@ -84,17 +119,17 @@ def cards(spark, sf) -> DataFrame:
 
 
 def merged_district(spark, sf, c: DataFrame | None = None) -> DataFrame:
-    c = c if c is not None else clean_once(spark, sf)
-    return SV.merge_by_district(V.by_district(c), V.speed_by_district(ST.replay(c)))
+    c = c if c is not None else clean_once(spark, sf, *DASHBOARD)
+    return SV.merge_by_district(V.by_district(c), V.speed_by_district(replayed(c)))
 
 
 def merged_type(spark, sf) -> DataFrame:
-    c = clean_once(spark, sf)
-    return SV.merge_by_type(V.by_type(c), V.speed_by_type(ST.replay(c)))
+    c = clean_once(spark, sf, *DASHBOARD)
+    return SV.merge_by_type(V.by_type(c), V.speed_by_type(replayed(c)))
 
 
-def default_filtered(spark, sf) -> DataFrame:
-    c = clean_once(spark, sf)
+def default_filtered(spark, sf, *columns: str) -> DataFrame:
+    c = clean_once(spark, sf, *columns)
     return E.filter_facets(c, E.default_facets(c))
 
 
@@ -150,7 +185,7 @@ def src_speed_parquet(spark, sf):
 @query("src_recent_files")
 def src_recent_files(spark, sf):
     path = S.scratch_path(spark, "speed_files")
-    speed(spark, sf).repartition(16).write.parquet(path)
+    speed(spark, sf).write.parquet(path)
     return SF.recent_files(spark, path)
 
 
@@ -158,30 +193,43 @@ def src_recent_files(spark, sf):
 def src_kafka_stream(spark, sf):
     """Envelope records arriving as files, read by a stream into Parquet."""
     root = S.scratch_path(spark, "stream_src")
-    ST.publish_files(clean(spark, sf), f"{root}/in")
-    src = ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=ST.TOPIC_PARTITIONS)
+    ST.publish_files(messages(clean(spark, sf)), f"{root}/in")
+    src = ST.read_envelope_files(spark, f"{root}/in")
     q = (src.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(src.schema).parquet(f"{root}/out").select("key", "timestamp")
+    return spark.read.schema(src.schema).parquet(f"{root}/out").select("key", "value", "timestamp")
 
 
-def _publish(spark, sf):
-    c = clean_once(spark, sf)
-    return flows.publish_warehouse(spark, c, ST.replay(c))
+def _database(spark) -> str:
+    root = S.scratch_path(spark, "db")
+    db = f"listings_{uuid.uuid4().hex[:10]}"
+    W.create_database(spark, db, root)
+    return db
+
+
+def _listings_table(spark, sf, db) -> DataFrame:
+    path = S.scratch_path(spark, "listings")
+    SK.write_parquet(clean(spark, sf), path)
+    return W.external_table(spark, db, "listings", CLEAN_SCHEMA, path)
+
+
+def _streaming_table(spark, sf, db) -> DataFrame:
+    path = S.scratch_path(spark, "streaming")
+    SK.write_parquet(speed(spark, sf), path)
+    return W.external_table(spark, db, "streaming_listings", SPEED_SCHEMA, path)
 
 
 @query("src_warehouse_table")
 def src_warehouse_table(spark, sf):
-    db, paths = _publish(spark, sf)
-    return spark.table(f"{db}.listings")
+    return _listings_table(spark, sf, _database(spark))
 
 
 @query("src_fallback_view")
 def src_fallback_view(spark, sf):
-    c = clean_once(spark, sf)
+    c = clean_once(spark, sf, *DASHBOARD)
     merged = merged_district(spark, sf, c)
-    return SV.first_non_empty(merged, V.by_district(c), E.district_fallback(c))
+    return SV.first_non_empty(merged, V.by_district(c), E.district_fallback(E.filter_facets(c, E.default_facets(c))))
 
 
 # ---- 2.2 sinks ---------------------------------------------------------------------
@@ -202,12 +250,14 @@ def sink_parquet_overwrite(spark, sf):
 
 @query("sink_export_views")
 def sink_export_views(spark, sf):
-    src = S.scratch_path(spark, "batch")
-    c = clean_once(spark, sf)
-    SK.write_parquet(V.by_type(c), f"{src}/by_type")
-    SK.write_parquet(V.by_legal(c), f"{src}/by_legal")
-    views = {"by_type": f"{src}/by_type", "by_legal": f"{src}/by_legal", "cluster_stats": f"{src}/cluster_stats"}
-    return SK.export_views(spark, views, S.scratch_path(spark, "export"))
+    """All batch outputs and the cleaned table, and one view that was never written."""
+    root = S.scratch_path(spark, "batch")
+    SK.write_parquet(clean(spark, sf), f"{root}/cleaned")
+    c = SF.read_clean(spark, f"{root}/cleaned")
+    for name, df in flows.batch_outputs(c).items():
+        if name != "by_direction":
+            SK.write_parquet(df, f"{root}/batch/{name}")
+    return flows.export(spark, root, S.scratch_path(spark, "export"))
 
 
 @query("sink_stream_parquet")
@@ -227,26 +277,28 @@ def sink_kafka_json(spark, sf):
 
 @query("sink_ctas")
 def sink_ctas(spark, sf):
-    db, _ = _publish(spark, sf)
-    return spark.table(f"{db}.district_stats")
+    db = _database(spark)
+    _listings_table(spark, sf, db)
+    return W.report_table(spark, db, "district_stats", V.WAREHOUSE_TABLES["district_stats"], "listings")
 
 
 @query("sink_external_table")
 def sink_external_table(spark, sf):
-    db, _ = _publish(spark, sf)
-    return spark.table(f"{db}.streaming_listings")
+    return _streaming_table(spark, sf, _database(spark))
 
 
 @query("sink_view")
 def sink_view(spark, sf):
-    db, _ = _publish(spark, sf)
-    return spark.table(f"{db}.merged_listings")
+    db = _database(spark)
+    _listings_table(spark, sf, db)
+    _streaming_table(spark, sf, db)
+    return W.merged_view(spark, db)
 
 
 @query("sink_speed_summary")
 def sink_speed_summary(spark, sf):
-    c = clean_once(spark, sf)
-    return V.speed_summary(c, ST.replay(c))
+    c = clean_once(spark, sf, *DASHBOARD)
+    return V.speed_summary(c, replayed(c))
 
 
 # ---- 2.3 parsing and cleaning ------------------------------------------------------
@@ -367,7 +419,12 @@ def area_tier(spark, sf):
 
 @query("normalize_text")
 def normalize_text(spark, sf):
-    return _visible(C.normalize_columns(raw(spark, sf))).select(
+    """With padding (also no-break spaces) and the text 'nan' in some rows."""
+    padded = raw(spark, sf).withColumns({
+        "ward": F.when(F.col("bedrooms") == 2, F.concat(F.lit("\u00a0 "), "ward", F.lit("\t"))).otherwise(F.col("ward")),
+        "direction": F.when(F.col("floors") == 4, F.lit(" nan")).otherwise(F.col("direction")),
+    })
+    return _visible(C.normalize_columns(padded)).select(
         "listing_id", "city", "district", "ward", "property_type", "direction", "legal_status")
 
 
@@ -397,14 +454,24 @@ def clean_summary(spark, sf):
     return C.clean_summary(clean(spark, sf))
 
 
+def gapped(c: DataFrame) -> DataFrame:
+    """Cleaned rows with the gaps that the warehouse filters look for: a missing price in every
+    fifth floor class, a missing or 'None' legal status in others."""
+    gap = F.col("floors") == 5
+    return c.withColumns({
+        "price_billion": F.when(~gap, F.col("price_billion")), "price_tier": F.when(~gap, F.col("price_tier")),
+        "legal_status": F.when(F.col("floors") == 2, "None").when(F.col("floors") != 3, F.col("legal_status")),
+    })
+
+
 @query("filter_not_null")
 def filter_not_null(spark, sf):
-    return clean(spark, sf).where(F.col("price_billion").isNotNull() & F.col("price_tier").isNotNull())
+    return gapped(clean(spark, sf)).where(F.col("price_billion").isNotNull() & F.col("price_tier").isNotNull())
 
 
 @query("filter_legal")
 def filter_legal(spark, sf):
-    return clean(spark, sf).where(F.col("legal_status").isNotNull() & (F.col("legal_status") != "None"))
+    return gapped(clean(spark, sf)).where(F.col("legal_status").isNotNull() & (F.col("legal_status") != "None"))
 
 
 @query("filter_facets")
@@ -462,41 +529,41 @@ def eda_by_direction(spark, sf):
     return V.by_direction(clean(spark, sf))
 
 
-def _wh(template):
+def _wh(table):
     def run(spark, sf):
-        return W.run(spark, lambda src: template(src), src=clean(spark, sf))
+        return V.WAREHOUSE_TABLES[table].over(gapped(clean(spark, sf)))
     return run
 
 
-REGISTRY["wh_district_stats"] = _wh(W.district_stats_sql)
-REGISTRY["wh_type_stats"] = _wh(W.type_stats_sql)
-REGISTRY["wh_price_distribution"] = _wh(W.price_distribution_sql)
-REGISTRY["wh_legal_stats"] = _wh(W.legal_stats_sql)
+REGISTRY["wh_district_stats"] = _wh("district_stats")
+REGISTRY["wh_type_stats"] = _wh("type_stats")
+REGISTRY["wh_price_distribution"] = _wh("price_distribution")
+REGISTRY["wh_legal_stats"] = _wh("legal_stats")
 
 
 def merged_listings(spark, sf) -> DataFrame:
-    c = clean_once(spark, sf)
-    return W.merged_listings(spark, c, ST.replay(c))
+    c = clean(spark, sf)
+    return W.merged_listings(c, replayed(c))
 
 
 @query("wh_merged_district_stats")
 def wh_merged_district_stats(spark, sf):
-    return W.run(spark, W.merged_district_stats_sql, src=merged_listings(spark, sf))
+    return V.MERGED_TABLES["merged_district_stats"].over(merged_listings(spark, sf))
 
 
 @query("wh_merged_type_stats")
 def wh_merged_type_stats(spark, sf):
-    return W.run(spark, W.merged_type_stats_sql, src=merged_listings(spark, sf))
+    return V.MERGED_TABLES["merged_type_stats"].over(merged_listings(spark, sf))
 
 
 @query("wh_source_counts")
 def wh_source_counts(spark, sf):
-    return W.run(spark, W.source_counts_sql, src=merged_listings(spark, sf))
+    return V.SOURCE_COUNTS.over(merged_listings(spark, sf))
 
 
 @query("wh_stream_count")
 def wh_stream_count(spark, sf):
-    return W.run(spark, W.stream_count_sql, src=speed(spark, sf))
+    return V.stream_count(speed(spark, sf))
 
 
 @query("speed_by_district")
@@ -521,15 +588,22 @@ def cluster_stats(spark, sf):
 
 @query("kpi_cards")
 def kpi_cards(spark, sf):
-    c = clean_once(spark, sf)
-    return E.kpi_cards(E.filter_facets(c, E.default_facets(c)), ST.replay(c))
+    c = clean_once(spark, sf, *DASHBOARD)
+    root = S.scratch_path(spark, "speed")
+    SK.write_parquet(speed(spark, sf).coalesce(RECENT_FILES), root)
+    stream = SF.read_speed(spark, root)
+    cards_ = E.kpi_cards(E.filter_facets(c, E.default_facets(c)), stream, SF.recent_files(spark, root))
+    # means of doubles depend on the order of addition in their last digits
+    return cards_.withColumns({m: F.round(m, 6) for m in ("avg_price", "avg_price_per_m2")})
 
 
 @query("layer_status")
 def layer_status(spark, sf):
-    c = clean_once(spark, sf)
-    s = ST.replay(c)
-    return E.layer_status(c, s, SV.merge_by_district(V.by_district(c), V.speed_by_district(s)))
+    c = clean_once(spark, sf, *DASHBOARD)
+    s = replayed(c)
+    # presence needs the merged keys only, not their statistics
+    keys = [df.select("district", "city").distinct() for df in (c, s)]
+    return E.layer_status(c, s, keys[0].join(keys[1], ["district", "city"], "full"))
 
 
 @query("facet_values")
@@ -539,27 +613,55 @@ def facet_values(spark, sf):
 
 @query("facet_price_range")
 def facet_price_range(spark, sf):
-    return E.price_range(clean_once(spark, sf))
+    return E.price_range(clean_once(spark, sf, "price_billion"))
 
 
 @query("dash_district_fallback")
 def dash_district_fallback(spark, sf):
-    return E.district_fallback(default_filtered(spark, sf))
+    return E.district_fallback(default_filtered(spark, sf, *DASHBOARD))
 
 
 @query("dash_direction_fallback")
 def dash_direction_fallback(spark, sf):
-    return E.direction_fallback(default_filtered(spark, sf))
+    return E.direction_fallback(default_filtered(spark, sf, *DASHBOARD))
 
 
 @query("dash_group_sizes")
 def dash_group_sizes(spark, sf):
-    return E.group_sizes(default_filtered(spark, sf))
+    return E.group_sizes(default_filtered(spark, sf, *DASHBOARD))
 
 
 @query("dash_type_ppm")
 def dash_type_ppm(spark, sf):
-    return E.type_ppm(default_filtered(spark, sf))
+    return E.type_ppm(default_filtered(spark, sf, *DASHBOARD))
+
+
+@query("dash_chart_sources")
+def dash_chart_sources(spark, sf):
+    """The rows behind the six charts, with the published views and without any."""
+    c = clean_once(spark, sf, *DASHBOARD)
+    s = replayed(c)
+    views = {name: report.over(c) for name, report in V.BATCH_VIEWS.items()}
+    states = {
+        "merged": views | {"merged_by_district": SV.merge_by_district(views["by_district"], V.speed_by_district(s)),
+                           "merged_by_type": SV.merge_by_type(views["by_type"], V.speed_by_type(s))},
+        "batch": views, "none": {name: df.limit(0) for name, df in views.items()},
+    }
+    filtered = E.filter_facets(c, E.default_facets(c))
+    rows = []
+    for state, given in states.items():
+        for chart, df in E.chart_sources(given, filtered).items():
+            key = next(k for k in ("district", "property_type", "price_tier", "legal_status", "direction") if k in df.columns)
+            n = next((k for k in ("merged_listings", "total_listings", "count") if k in df.columns and chart != "type_ppm"), None)
+            value = next((k for k in ("merged_avg_price", "avg_price_billion") if k in df.columns), None) if chart == "district" else \
+                "avg_price_per_m2" if chart in ("type_ppm", "direction") else None
+            rows.append(df.select(F.lit(state).alias("state"), F.lit(chart).alias("chart"), F.col(key).alias("key"),
+                                  (F.col(n) if n else F.lit(None)).cast("bigint").alias("n"),
+                                  (F.col(value) if value else F.lit(None)).cast("double").alias("value")))
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 # ---- 2.5 profiling -------------------------------------------------------------------
@@ -639,16 +741,9 @@ def weighted_merge_avg(spark, sf):
 
 @query("lookup_category_index")
 def lookup_category_index(spark, sf):
-    c = clean_once(spark, sf)
-    data = M.model_input(c)
-    index = M.string_index(data, "property_type").unionByName(M.string_index(data, "district"))
-    t = index.where(F.col("feature") == "property_type").select(
-        F.col("label").alias("property_type"), F.col("index").alias("type_idx"))
-    d = index.where(F.col("feature") == "district").select(
-        F.col("label").alias("district"), F.col("index").alias("dist_idx"))
-    return (c.join(t, "property_type", "left").join(d, "district", "left")
-            .select("listing_id", F.coalesce("type_idx", F.lit(0.0)).alias("type_idx"),
-                    F.coalesce("dist_idx", F.lit(0.0)).alias("dist_idx")))
+    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+    return M.with_category_index(c, category_index(c)).select(
+        "listing_id", F.col("property_type_idx").alias("type_idx"), F.col("district_idx").alias("dist_idx"))
 
 
 @query("union_merged_listings")
@@ -656,10 +751,14 @@ def union_merged_listings(spark, sf):
     return merged_listings(spark, sf)
 
 
+def category_index(c: DataFrame) -> DataFrame:
+    data = M.model_input(c)
+    return M.string_index(data, "property_type").unionByName(M.string_index(data, "district"))
+
+
 @query("union_category_map")
 def union_category_map(spark, sf):
-    data = M.model_input(clean(spark, sf))
-    return M.string_index(data, "property_type").unionByName(M.string_index(data, "district"))
+    return category_index(clean(spark, sf))
 
 
 @query("union_recent_files")
@@ -691,7 +790,7 @@ def detail_top100(spark, sf):
 
 @query("stats_top10")
 def stats_top10(spark, sf):
-    stats = W.run(spark, W.district_stats_sql, src=clean(spark, sf))
+    stats = V.WAREHOUSE_TABLES["district_stats"].over(clean(spark, sf))
     return E.top_n(stats, [F.desc("total_listings"), F.asc_nulls_first("district"), F.asc_nulls_first("city")], 10)
 
 
@@ -702,12 +801,12 @@ def sort_coefficients(spark, sf):
 
 @query("sample_500")
 def sample_500(spark, sf):
-    return E.sample_rows(default_filtered(spark, sf))
+    return E.sample_rows(default_filtered(spark, sf, *DASHBOARD))
 
 
 @query("limit_predictions")
 def limit_predictions(spark, sf):
-    return M.predictions(M.train_price_model(clean_once(spark, sf)))
+    return M.predictions(M.train_price_model(clean_once(spark, sf)), PREDICTION_ROWS)
 
 
 # ---- 2.10 machine learning -----------------------------------------------------------
@@ -771,7 +870,15 @@ def ml_model_params(spark, sf):
 
 @query("score_listings")
 def score_listings(spark, sf):
-    c = clean_once(spark, sf)
+    """Scored with given parameters, so that the arithmetic can be compared row by row."""
+    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+    return M.score(c, SCORE_PARAMS, category_index(c)).select("listing_id", "predicted_price", "predicted_price_per_m2")
+
+
+@query("score_fitted")
+def score_fitted(spark, sf):
+    """Scored with the fitted model's parameters and labels."""
+    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
     pm = M.train_price_model(c)
     return M.score(c, M.params_dict(M.model_params(pm)), M.category_map(pm)) \
         .select("listing_id", "predicted_price", "predicted_price_per_m2")
@@ -779,31 +886,32 @@ def score_listings(spark, sf):
 
 @query("pred_plot_filter")
 def pred_plot_filter(spark, sf):
-    return M.plot_filter(M.predictions(M.train_price_model(clean_once(spark, sf))))
+    # written once: the quantile and the filter must see the same rows
+    sample = S.materialize(M.predictions(M.train_price_model(clean_once(spark, sf)), PREDICTION_ROWS), "predictions")
+    return M.plot_filter(sample)
 
 
 # ---- 2.11 streaming --------------------------------------------------------------------
 
 @query("stream_parse")
 def stream_parse(spark, sf):
-    return ST.parse(ST.to_envelope(clean(spark, sf)))
+    return ST.parse(ST.to_envelope(messages(clean(spark, sf))))
 
 
 @query("stream_enrich")
 def stream_enrich(spark, sf):
-    return ST.replay(clean(spark, sf), through_json=True)
+    return replayed(clean(spark, sf), through_json=True)
 
 
 def _stream_files(spark, sf) -> tuple[str, DataFrame]:
     root = S.scratch_path(spark, "stream")
-    # 3 x 8 input files, 8 per trigger -> three micro-batches, each 8 tasks wide
-    ST.publish_files(clean(spark, sf), f"{root}/in")
-    return root, ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=ST.TOPIC_PARTITIONS)
+    ST.publish_files(messages(clean(spark, sf)), f"{root}/in")
+    return root, ST.read_envelope_files(spark, f"{root}/in", max_files_per_trigger=STREAM_FILES)
 
 
 @query("stream_append")
 def stream_append(spark, sf):
-    """Envelope files -> stream parse/enrich -> Parquet append (availableNow, 4 micro-batches)."""
+    """Envelope files -> stream parse/enrich -> Parquet append (availableNow)."""
     root, src = _stream_files(spark, sf)
     q = ST.start_append(ST.enrich(ST.parse(src)), f"{root}/out", f"{root}/ckpt", trigger=None)
     q.awaitTermination()
@@ -830,7 +938,7 @@ def stream_agg_complete(spark, sf):
 def stream_run(spark, sf):
     root, src = _stream_files(spark, sf)
     ST.run_speed_layer(spark, src, f"{root}/out", f"{root}/ckpt", trigger=None,
-                       aggregate_sink="memory", aggregate_name=f"live_{root.rsplit('-', 1)[-1]}")
+                       aggregate_sink="memory", aggregate_name=f"live_{uuid.uuid4().hex[:10]}")
     return SF.read_speed(spark, f"{root}/out").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -838,12 +946,12 @@ def stream_run(spark, sf):
 
 @query("flow_batch")
 def flow_batch(spark, sf):
-    return flows.batch(spark, raw(spark, sf), S.scratch_path(spark, "flow_batch"), with_models=False)
+    return flows.batch(spark, raw(spark, sf), S.scratch_path(spark, "flow_batch"))
 
 
 @query("flow_speed")
 def flow_speed(spark, sf):
-    return flows.speed(spark, clean(spark, sf), S.scratch_path(spark, "flow_speed"))
+    return flows.speed(spark, messages(clean(spark, sf)), S.scratch_path(spark, "flow_speed"), STREAM_FILES)
 
 
 @query("flow_serve")
@@ -853,7 +961,7 @@ def flow_serve(spark, sf):
     SK.write_parquet(c, f"{root}/cleaned")
     SK.write_parquet(V.by_district(c), f"{root}/batch/by_district")
     SK.write_parquet(V.by_type(c), f"{root}/batch/by_type")
-    SK.write_parquet(ST.replay(c), f"{root}/speed")
+    SK.write_parquet(replayed(c), f"{root}/speed")
     flows.serve(spark, root)
     return spark.read.parquet(f"{root}/serve/merged_by_district")
 

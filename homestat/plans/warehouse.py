@@ -1,178 +1,71 @@
-"""Warehouse (serving) layer: tables, CTAS statistics and the merged view, in SQL.
+"""Warehouse (serving) layer: external tables, statistics tables and the merged view.
 
-The statistic queries are written once as templates and rendered for Spark
-(``spark_round``) or for the DuckDB oracle (its rounding helper), so both
-engines run the same statement text.  ``publish`` creates the catalog objects:
-external Parquet tables over the cleaned and speed folders, CTAS statistics
-and a persistent ``merged_listings`` view (batch UNION ALL speed).
+The catalog objects are a database with external Parquet tables over the
+cleaned and speed folders, one managed table per report (declared once in
+``operators.views``) and a persistent ``merged_listings`` view.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from homestat.operators.views import MERGED_TABLES, WAREHOUSE_TABLES, Report
 from homestat.schema import CLEAN_SCHEMA, MERGED_COLUMNS, SPEED_SCHEMA, ddl
 
-Rounder = Callable[[str, int], str]
-
-
-def spark_round(expr: str, scale: int) -> str:
-    return f"ROUND({expr}, {scale})"
-
-
-def district_stats_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT district, city,
-           COUNT(*) AS total_listings,
-           {r('AVG(price_billion)', 3)} AS avg_price_billion,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2,
-           {r('MIN(price_billion)', 3)} AS min_price,
-           {r('MAX(price_billion)', 3)} AS max_price,
-           {r('AVG(area_m2)', 1)} AS avg_area_m2
-    FROM {src}
-    WHERE price_billion IS NOT NULL
-    GROUP BY district, city
-    ORDER BY total_listings DESC, district, city"""
-
-
-def type_stats_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT property_type,
-           COUNT(*) AS total_listings,
-           {r('AVG(price_billion)', 3)} AS avg_price,
-           {r('AVG(area_m2)', 1)} AS avg_area,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2,
-           {r('AVG(bedrooms)', 1)} AS avg_bedrooms
-    FROM {src}
-    WHERE price_billion IS NOT NULL
-    GROUP BY property_type
-    ORDER BY total_listings DESC, property_type"""
-
-
-def price_distribution_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT price_tier,
-           COUNT(*) AS count,
-           {r('AVG(area_m2)', 1)} AS avg_area,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2
-    FROM {src}
-    WHERE price_tier IS NOT NULL
-    GROUP BY price_tier"""
-
-
-def legal_stats_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT legal_status,
-           COUNT(*) AS count,
-           {r('AVG(price_billion)', 3)} AS avg_price,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2
-    FROM {src}
-    WHERE legal_status IS NOT NULL AND legal_status != 'None'
-    GROUP BY legal_status
-    ORDER BY count DESC, legal_status"""
-
-
-def merged_listings_sql(batch: str, stream: str) -> str:
-    cols = ", ".join(MERGED_COLUMNS)
-    return f"""
-    SELECT {cols}, 'batch' AS data_source FROM {batch}
-    UNION ALL
-    SELECT {cols}, 'stream' AS data_source FROM {stream}"""
-
 
-def merged_district_stats_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT district, city, data_source,
-           COUNT(*) AS total_listings,
-           {r('AVG(price_billion)', 3)} AS avg_price_billion,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2,
-           {r('AVG(area_m2)', 1)} AS avg_area_m2
-    FROM {src}
-    WHERE price_billion IS NOT NULL
-    GROUP BY district, city, data_source
-    ORDER BY total_listings DESC, district, city, data_source"""
+def merged_listings(clean: DataFrame, speed: DataFrame) -> DataFrame:
+    """The shared columns of batch and stream rows, each with its source; no row is removed."""
+    tagged = [df.select(*MERGED_COLUMNS, F.lit(name).alias("data_source")) for name, df in (("batch", clean), ("stream", speed))]
+    return tagged[0].unionByName(tagged[1])
 
 
-def merged_type_stats_sql(src: str, r: Rounder = spark_round) -> str:
-    return f"""
-    SELECT property_type, data_source,
-           COUNT(*) AS total_listings,
-           {r('AVG(price_billion)', 3)} AS avg_price_billion,
-           {r('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2
-    FROM {src}
-    WHERE price_billion IS NOT NULL
-    GROUP BY property_type, data_source
-    ORDER BY total_listings DESC, property_type, data_source"""
-
-
-def source_counts_sql(src: str) -> str:
-    return f"SELECT data_source, COUNT(*) AS records FROM {src} GROUP BY data_source"
-
-
-def stream_count_sql(src: str) -> str:
-    return f"SELECT COUNT(*) AS cnt FROM {src}"
-
-
-def top_sql(src: str, order: str, n: int | None) -> str:
-    limit = f" LIMIT {n}" if n else ""
-    return f"SELECT * FROM {src} ORDER BY {order}{limit}"
+def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
 
 
-# ---- the same statements over DataFrames (no catalog needed) --------------------------
-
-def run(spark: SparkSession, template: Callable[..., str], **frames: DataFrame) -> DataFrame:
-    """Render a template with DataFrame placeholders and run it."""
-    names = {k: "{" + k + "}" for k in frames}
-    return spark.sql(template(**names), **frames)
-
+def external_table(spark: SparkSession, db: str, name: str, schema, path: str) -> DataFrame:
+    """An external Parquet table over ``path`` with a declared schema."""
+    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+    spark.sql(f"CREATE TABLE {db}.{name} ({ddl(schema)}) USING PARQUET LOCATION '{path}'")
+    return spark.table(f"{db}.{name}")
 
-def merged_listings(spark: SparkSession, clean: DataFrame, speed: DataFrame) -> DataFrame:
-    return run(spark, lambda batch, stream: merged_listings_sql(batch, stream), batch=clean, stream=speed)
 
+def report_table(spark: SparkSession, db: str, name: str, report: Report, source: str) -> DataFrame:
+    """A managed table with a report's rows over the table or view ``source``."""
+    report.over(spark.table(f"{db}.{source}")).write.mode("overwrite").format("parquet").saveAsTable(f"{db}.{name}")
+    return spark.table(f"{db}.{name}")
 
-# ---- catalog publication ---------------------------------------------------------------
 
-STAT_TABLES = {
-    "district_stats": district_stats_sql,
-    "type_stats": type_stats_sql,
-    "price_distribution": price_distribution_sql,
-    "legal_stats": legal_stats_sql,
-}
+def merged_view(spark: SparkSession, db: str) -> DataFrame:
+    """The persistent view over both external tables."""
+    columns = ", ".join(MERGED_COLUMNS)
+    parts = [f"SELECT {columns}, '{name}' AS data_source FROM {db}.{source}"
+             for name, source in (("batch", "listings"), ("stream", "streaming_listings"))]
+    spark.sql(f"CREATE OR REPLACE VIEW {db}.merged_listings AS {' UNION ALL '.join(parts)}")
+    return spark.table(f"{db}.merged_listings")
 
 
 def publish(spark: SparkSession, db: str, listings_path: str, speed_path: str | None,
             location: str | None = None) -> dict[str, int]:
-    """Create database, external tables, CTAS statistics and the merged view.
+    """Create database, external tables, statistics tables and the merged view.
 
-    ``location`` places the database (and its CTAS tables) in a given folder;
+    ``location`` places the database (and its managed tables) in a given folder;
     by default the catalog's warehouse is used.  Only a missing speed folder is
     treated as "no stream yet"; any other error propagates.  Returns row
     counts of what was created.
     """
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
-    spark.sql(f"DROP TABLE IF EXISTS {db}.listings")
-    spark.sql(f"CREATE TABLE {db}.listings ({ddl(CLEAN_SCHEMA)}) USING PARQUET LOCATION '{listings_path}'")
-    counts = {"listings": spark.table(f"{db}.listings").count()}
-    for name, template in STAT_TABLES.items():
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        spark.sql(f"CREATE TABLE {db}.{name} USING PARQUET AS {template(f'{db}.listings')}")
-        counts[name] = spark.table(f"{db}.{name}").count()
+    create_database(spark, db, location)
+    counts = {"listings": external_table(spark, db, "listings", CLEAN_SCHEMA, listings_path).count()}
+    for name, report in WAREHOUSE_TABLES.items():
+        counts[name] = report_table(spark, db, name, report, "listings").count()
     if speed_path is None or not _exists(spark, speed_path):
         return counts
-    spark.sql(f"DROP TABLE IF EXISTS {db}.streaming_listings")
-    spark.sql(f"CREATE TABLE {db}.streaming_listings ({ddl(SPEED_SCHEMA)}) USING PARQUET LOCATION '{speed_path}'")
-    counts["streaming_listings"] = spark.table(f"{db}.streaming_listings").count()
-    spark.sql(f"DROP VIEW IF EXISTS {db}.merged_listings")
-    spark.sql(f"CREATE VIEW {db}.merged_listings AS "
-              f"{merged_listings_sql(f'{db}.listings', f'{db}.streaming_listings')}")
-    for name, template in {"merged_district_stats": merged_district_stats_sql,
-                           "merged_type_stats": merged_type_stats_sql}.items():
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        spark.sql(f"CREATE TABLE {db}.{name} USING PARQUET AS {template(f'{db}.merged_listings')}")
-        counts[name] = spark.table(f"{db}.{name}").count()
+    counts["streaming_listings"] = external_table(spark, db, "streaming_listings", SPEED_SCHEMA, speed_path).count()
+    merged_view(spark, db)
+    for name, report in MERGED_TABLES.items():
+        counts[name] = report_table(spark, db, name, report, "merged_listings").count()
     return counts
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,10 +56,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for one job's outputs."""
-    root = checkpoint_root(spark)
-    base = root if "://" in root else os.path.abspath(root.replace("file:", "", 1))
-    return f"{base.rstrip('/')}/homestat/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint root for one job's outputs, deleted when the driver ends."""
+    own = f"{checkpoint_root(spark).rstrip('/')}/homestat/{name}-{uuid.uuid4().hex[:12]}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return f"{own}/{name}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -71,5 +73,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the written table, which also cuts lineage.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

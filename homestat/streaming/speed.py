@@ -17,11 +17,9 @@ from homestat.schema import CLEAN_COLUMNS, ENVELOPE_SCHEMA, SPEED_COLUMNS, STREA
 
 SCRAPED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
-# File stand-in for a topic: one file per partition per "poll"; a micro-batch
-# takes TOPIC_PARTITIONS files, so it is as wide as a topic with that many
-# partitions.
-TOPIC_PARTITIONS = 8
-TOPIC_POLLS = 3
+# File stand-in for a topic: records per file at most.  The number of files
+# follows the input; how many a micro-batch takes is the reader's setting.
+RECORDS_PER_FILE = 1_000_000
 
 
 def to_envelope(listings: DataFrame, timestamp: Column | None = None) -> DataFrame:
@@ -42,13 +40,10 @@ def to_envelope(listings: DataFrame, timestamp: Column | None = None) -> DataFra
     )
 
 
-def publish_files(listings: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS,
-                  polls: int = TOPIC_POLLS) -> None:
-    """Write listings as envelope Parquet files, ``partitions * polls`` of them.
-
-    Rows are dealt round-robin, so a hot key cannot fill one file.
-    """
-    to_envelope(listings).repartition(partitions * polls).write.parquet(path)
+def publish_files(listings: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Write listings as envelope Parquet files: as many writers as the input has partitions,
+    no file with more than ``records_per_file`` messages."""
+    to_envelope(listings).write.option("maxRecordsPerFile", records_per_file).parquet(path)
 
 
 def parse(envelope: DataFrame) -> DataFrame:
@@ -79,7 +74,7 @@ def enrich(parsed: DataFrame, ingestion_time: Column | None = None) -> DataFrame
             "ingestion_time": ingest,
         })
         .dropna(subset=["listing_id", "price_billion"])
-        .select(*SPEED_COLUMNS)
+        .select(*[c for c in SPEED_COLUMNS if c in parsed.columns or c in ("price_tier", "area_tier", "price_per_m2_million", "ingestion_time")])
     )
 
 
@@ -100,13 +95,13 @@ def replay(clean: DataFrame, fixed_ingestion: bool = True, through_json: bool =
     skipped and only ``enrich`` runs; ``through_json`` keeps it (the stream
     parse queries and tests use it).  With ``fixed_ingestion`` the message time
     stands in for the wall-clock ingestion time, which makes the result
-    repeatable.
+    repeatable.  A cleaned table pruned to some columns gives those columns only.
     """
     if through_json:
         parsed = parse(to_envelope(clean))
     else:
         parsed = clean.where(F.col("listing_id").isNotNull()).select(
-            *CLEAN_COLUMNS, F.to_timestamp("scraped_at", SCRAPED_AT_FORMAT).alias("kafka_timestamp"))
+            *[c for c in CLEAN_COLUMNS if c in clean.columns], F.to_timestamp("scraped_at", SCRAPED_AT_FORMAT).alias("kafka_timestamp"))
     return enrich(parsed, F.col("kafka_timestamp") if fixed_ingestion else None)
 
 
