@@ -1,7 +1,6 @@
 r"""DuckDB twins of the queries that SQL can express, written on their own from the contract.
 
-op7 (fitted scores) and op10 (token ids) have none; op4 has none because its verdicts come from
-mined rules. Those are tested against brute force.
+op7 (fitted scores) and op10 (token ids) have none and are tested against brute force.
 """
 
 from __future__ import annotations
@@ -121,9 +120,89 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r) AS component_id,
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
 """
 
+# Templates and phrases of the licence scan, written out as rows.
+NOTICES = """(VALUES
+  (0, 'agpl', 'under the terms of the gnu affero general public license'),
+  (1, 'apache-2.0', 'licensed under the apache license version 2 0'),
+  (2, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted'),
+  (3, 'cc-by-nc', 'licensed under cc by nc 4 0'), (4, 'cc-by-nd', 'licensed under cc by nd 4 0'), (5, 'cc-by-sa', 'licensed under cc by sa 4 0'),
+  (6, 'cc0', 'creative commons cc0 1 0 universal'),
+  (7, 'gpl-2.0', 'licensed under the gnu general public license version 2'), (8, 'gpl-3.0', 'licensed under the gnu general public license version 3'),
+  (9, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
+  (10, 'lgpl', 'under the terms of the gnu lesser general public license'), (11, 'mit', 'released under the mit license'),
+  (12, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+  (13, 'mpl-2.0', 'subject to the terms of the mozilla public license v 2 0'),
+  (14, 'unlicense', 'this is free and unencumbered software released into the public domain')) n(t, label, text)"""
+MANDATORY = """(VALUES (0, 'affero general public license'), (1, 'apache license'), (1, 'version 2 0'), (2, 'source and binary forms'),
+  (2, 'with or without modification'), (3, 'cc by nc'), (4, 'cc by nd'), (5, 'cc by sa'), (6, 'cc0 1 0'), (7, 'gnu general public license version 2'),
+  (8, 'gnu general public license version 3'), (9, 'with or without fee'), (10, 'lesser general public license'), (11, 'mit license'),
+  (12, 'hereby granted free of charge'), (13, 'mozilla public license'), (14, 'unencumbered software')) m(t, phrase)"""
+OP3 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {TOKENS.format(lower("coalesce(text, '')"))} AS w FROM documents),
+pos AS (SELECT rid, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+base AS (SELECT rid, i, label FROM pos JOIN d USING (rid) JOIN (VALUES ('cc', 'cc by', 2, 'cc-by'),
+    ('general', 'general public license', 3, 'gpl'), ('all', 'all rights reserved', 3, 'reserved')) b(x, phrase, k, label) USING (x)
+  WHERE array_to_string(w[i + 1:i + k], ' ') = phrase),
+bases AS (SELECT rid, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY rid),
+tw AS (SELECT t, label, unnest(string_split(text, ' ')) AS x, unnest(range(len(string_split(text, ' ')))) AS p FROM {NOTICES}),
+df AS (SELECT v.x, count(DISTINCT rid) AS n FROM (SELECT DISTINCT x FROM tw) v LEFT JOIN pos USING (x) GROUP BY v.x),
+picked AS (SELECT t, x FROM (SELECT DISTINCT t, x, n FROM tw JOIN df USING (x)) QUALIFY row_number() OVER (PARTITION BY t ORDER BY n, x) <= 4),
+posted AS (SELECT tw.* FROM tw JOIN picked USING (t, x)),
+needs AS (SELECT t, any_value(label) AS label, count(*) AS places, CAST(ceil(count(*) / 2) AS BIGINT) AS least FROM posted GROUP BY t),
+seen AS (SELECT rid, x FROM (SELECT DISTINCT rid, x, n FROM pos JOIN df USING (x) WHERE x IN (SELECT x FROM posted))
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n, x) <= 24),
+votes AS (SELECT rid, t, i - p AS o, count(*) AS n FROM pos JOIN seen USING (rid, x) JOIN posted USING (x) GROUP BY 1, 2, 3),
+phrases AS (SELECT m.t, phrase, len(string_split(phrase, ' ')) AS k, min(p) AS place
+  FROM {MANDATORY} JOIN tw ON tw.t = m.t JOIN (SELECT t, string_split(text, ' ') AS ws FROM {NOTICES}) f ON f.t = m.t
+  WHERE array_to_string(ws[p + 1:p + len(string_split(phrase, ' '))], ' ') = phrase GROUP BY 1, 2, 3),
+fits AS (SELECT rid, v.t, o, n FROM votes v JOIN needs USING (t) JOIN d USING (rid) JOIN phrases f ON f.t = v.t WHERE n >= least
+  GROUP BY rid, v.t, o, n HAVING bool_and(o + place >= 0 AND array_to_string(w[greatest(o + place, 0) + 1:greatest(o + place, 0) + k], ' ') = phrase)),
+found AS (SELECT rid, list(DISTINCT label) AS labels, max(n / places) AS best FROM fits JOIN needs USING (t) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+  CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN bases b USING (rid) LEFT JOIN found f USING (rid)
+"""
+
+# Rules of up to three tokens are counted as token combinations; a rule with a part that does as well is redundant.
+OP4 = r"""
+WITH u AS (SELECT row_number() OVER () AS rid, page_id, url,
+    CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules AS (SELECT verdict, rh, rp, rh || rp AS rule FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) r(verdict, rh, rp)),
+listed AS (SELECT rid, rule, verdict FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY len(rule) DESC) = 1),
+parts AS (SELECT rid, 's:' || split_part(url, '://', 1) AS t FROM u WHERE contains(url, '://') AND split_part(url, '://', 1) <> ''
+  UNION ALL SELECT rid, 'h:' || x FROM (SELECT rid, unnest(string_split(host, '.')) AS x FROM h) WHERE x <> ''
+  UNION ALL SELECT rid, 'p:' || x FROM (SELECT rid, unnest(string_split(path, '/')) AS x FROM h) WHERE x <> ''
+  UNION ALL SELECT rid, 'q:' || split_part(x, '=', 1) FROM (SELECT rid, unnest(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1, 's'), '&')) AS x FROM u) WHERE split_part(x, '=', 1) <> ''
+  UNION ALL SELECT rid, 'f:' || regexp_extract(url, '^[^#]*#(.*)$', 1, 's') FROM u WHERE regexp_extract(url, '^[^#]*#(.*)$', 1, 's') <> ''),
+tokens AS (SELECT DISTINCT rid, t FROM parts),
+bags AS (SELECT h.rid, coalesce(list(t ORDER BY t) FILTER (t IS NOT NULL), []) AS bag FROM h LEFT JOIN tokens USING (rid) GROUP BY h.rid),
+lab AS (SELECT rid, t, verdict FROM tokens JOIN listed USING (rid)),
+size AS (SELECT count(*) AS n, ceil(0.01::DOUBLE * count(*)) AS least FROM listed),
+common AS (SELECT lab.* FROM lab JOIN (SELECT t FROM lab, size GROUP BY t, least HAVING count(*) >= least) USING (t)),
+combos AS (SELECT [t] AS c, verdict FROM common
+  UNION ALL SELECT [a.t, b.t], a.verdict FROM common a JOIN common b ON a.rid = b.rid AND a.t < b.t
+  UNION ALL SELECT [a.t, b.t, e.t], a.verdict FROM common a JOIN common b ON a.rid = b.rid AND a.t < b.t JOIN common e ON e.rid = a.rid AND b.t < e.t),
+counted AS (SELECT c, verdict, count(*) AS m, sum(count(*)) OVER (PARTITION BY c) AS total FROM combos GROUP BY c, verdict),
+strong AS (SELECT c, verdict, m, m::DOUBLE / total::DOUBLE AS conf FROM counted, size WHERE m >= least AND m::DOUBLE / total::DOUBLE >= 0.9),
+kept AS (SELECT * FROM strong r WHERE NOT EXISTS (SELECT 1 FROM strong k WHERE k.verdict = r.verdict AND k.conf >= r.conf
+  AND len(k.c) < len(r.c) AND list_has_all(r.c, k.c))),
+best AS (SELECT rid, verdict FROM bags JOIN kept ON list_has_all(bag, c)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY conf DESC, m DESC, len(c), c, verdict) = 1)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(listed.verdict, best.verdict, 'allow') AS verdict
+FROM h LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid)
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op2_decontamination": OP2,
+    "op3_license_scan": OP3,
+    "op4_url_filter": OP4,
     "op5_secret_scan": OP5,
     "op6_chat_formatting": OP6,
     "op8_line_dedup": OP8,
