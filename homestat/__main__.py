@@ -17,6 +17,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from homestat.constants import PREDICTION_ROWS
 from homestat.operators import clean as C
 from homestat.operators import ml as M
 from homestat.operators import views as V
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     a.add_argument("--input", required=True)
     a.add_argument("--output", required=True)
     a.add_argument("--csv", action="store_true", help="write CSV with header instead of Parquet")
-    a.add_argument("--multiline", action="store_true", help="raw CSV has quoted fields with line breaks")
+    a.add_argument("--splittable", action="store_true", help="no quoted field has a line break: Spark may split files")
 
     for name in ("eda", "kmeans", "regression"):
         a = sub.add_parser(name)
@@ -84,16 +85,15 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         spark = build_session(args.master, app=f"homestat-{args.job}")
 
     if args.job == "clean":
-        clean = C.clean_listings(SF.read_raw_csv(spark, args.input, multiline=args.multiline))
+        clean = C.clean_listings(SF.read_raw_csv(spark, args.input, multiline=not args.splittable))
         (SK.write_csv if args.csv else SK.write_parquet)(clean, args.output)
         written = SF.read_clean(spark, args.output, fmt="csv" if args.csv else "parquet")
         _print(C.clean_summary(written).first().asDict())
     elif args.job == "eda":
         clean = SF.read_clean(spark, args.input)
-        for name, fn in {"by_type": V.by_type, "by_district": V.by_district, "price_dist": V.price_dist,
-                         "by_legal": V.by_legal, "by_direction": V.by_direction}.items():
-            SK.write_parquet(fn(clean), f"{args.output}/{name}")
-        _print({"views": 5})
+        for name, report in V.BATCH_VIEWS.items():
+            SK.write_parquet(report.over(clean), f"{args.output}/{name}")
+        _print({"views": len(V.BATCH_VIEWS)})
     elif args.job == "kmeans":
         seg = M.segments(SF.read_clean(spark, args.input))
         SK.write_parquet(seg.clustered, f"{args.output}/clustered")
@@ -102,7 +102,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
     elif args.job == "regression":
         pm = M.train_price_model(SF.read_clean(spark, args.input))
         outs = {"lr_metrics": M.metrics(pm), "lr_coefficients": M.coefficients(pm),
-                "lr_predictions": M.predictions(pm), "lr_category_map": M.category_map(pm),
+                "lr_predictions": M.predictions(pm, PREDICTION_ROWS), "lr_category_map": M.category_map(pm),
                 "lr_model_params": M.model_params(pm)}
         for name, df in outs.items():
             SK.write_parquet(df, f"{args.output}/{name}")

@@ -158,8 +158,8 @@ def duplicates(raw: DataFrame, key: str = "listing_id") -> DataFrame:
             F.max(F.col(key).isNull().cast("int")).alias("has_null"),
         )
     else:
-        groups = raw.groupBy(*[F.col(f"`{c}`") for c in _visible(raw)]).agg(F.count(F.lit(1)).alias("n"))
-        agg = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("ids"),
+        groups = raw.groupBy(*[F.col(f"`{c}`") for c in _visible(raw)]).agg(F.count(F.lit(1)).alias("__n"))
+        agg = groups.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("ids"),
                          F.lit(0).alias("has_null"))
     dup = F.col("rows") - F.col("ids") - F.coalesce(F.col("has_null"), F.lit(0))
     return agg.select(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# ---- fixed values: the listing's columns, their order and types ------------------------
 RAW_COLUMNS = [
     "listing_id", "title", "property_type", "price_raw", "price_billion",
     "area_m2", "price_per_m2_million", "city", "district", "ward", "address",
@@ -21,6 +22,7 @@ NUMERIC_TYPES = {
 TEXT_NORMALIZED = ["city", "district", "ward", "property_type", "direction", "legal_status"]
 
 CLEAN_COLUMNS = RAW_COLUMNS + ["price_tier", "area_tier"]
+# ---- end of fixed values ---------------------------------------------------------------
 
 # Raw CSV as written by the collector: all text.
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])

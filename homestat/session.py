@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +34,28 @@ def build_session(master: str | None = None, app: str = "homestat",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of a cluster, whose Python functions import it.
+
+    Not needed in local mode, nor where the package is installed on the workers
+    (see pyproject.toml); done once per application.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or getattr(sc, "_homestat_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="homestat-pkg-")) / "homestat.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in package.rglob("*.py"):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._homestat_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 

@@ -60,17 +60,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan whose file layout yields fewer tasks than there are cores.
+    """Hash-spread a scan over ``spark.homestat.scanPartitions`` tasks, if that is set.
 
-    A large table arrives in many splits and passes through untouched; a small
-    single-row-group file would otherwise push every expression up to the
-    first shuffle through one task.  Hashing on ``keys`` (not round-robin)
-    keeps the row placement the same when a lost task is recomputed.
+    Meant for tables in a few single-row-group files, whose rows would go through
+    as few tasks up to the first shuffle; unset, the scan stays as it is.  Hashing
+    on ``keys`` (not round-robin) keeps the row placement the same when a lost
+    task is recomputed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *keys)
-    return df
+    n = df.sparkSession.conf.get("spark.homestat.scanPartitions", None)
+    return df.repartition(int(n), *keys) if n else df
 
 
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,36 @@ def test_filter_facets_equalities(spark):
     f = E.filter_facets(df, E.Facets(property_type="A", price_lo=0.5, price_hi=5.0))
     assert sorted(r.city for r in f.collect()) == ["C1", "C2"]
     assert E.filter_facets(df, E.Facets(city="C1")).count() == 2
+
+
+def test_latest_feed_size_is_the_recent_rows_or_the_total(spark):
+    schema = "district string, price_billion double, price_per_m2_million double"
+    some = spark.createDataFrame([("a", 1.0, 2.0)] * 5, schema)
+    for recent, want in ((some.limit(2), 2), (some.limit(0), 5), (None, 5)):
+        assert E.kpi_cards(some, some, recent).first().latest_feed_rows == want
+    assert E.kpi_cards(some, None).first().latest_feed_rows == 0
+
+
+def test_profiles_of_empty_and_keyless_tables(spark):
+    from homestat.operators import ml as M
+    from homestat.operators import profile as P
+    from homestat.schema import KMEANS_FEATURES
+    empty = spark.createDataFrame([], "listing_id string, city string")
+    assert P.duplicates(empty).first().asDict() == {"rows": 0, "duplicates": 0, "duplicate_pct": None}
+    assert {r.null_pct for r in P.nulls(empty).collect()} == {None}
+    keyless = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None), ("c", 1)], "city string, n int")
+    assert P.duplicates(keyless).first().duplicates == 2
+    shape = P.shape(keyless).first()
+    assert (shape.rows, shape.columns, shape.names, shape.dtypes) == (5, 2, ["city", "n"], ["string", "int"])
+    flat = spark.createDataFrame([("x", *[3.0] * len(KMEANS_FEATURES))] * 3, "listing_id string, " + ", ".join(f"{c} double" for c in KMEANS_FEATURES))
+    assert {v for r in M.zscores(flat).collect() for v in r[1:]} == {0.0}
+
+
+def test_charts_prefer_published_views(spark):
+    filtered = spark.createDataFrame([("i", "T", "D", "tier", "None", "N", 1.0, 2.0)],
+                                     "listing_id string, property_type string, district string, price_tier string, legal_status string, "
+                                     "direction string, price_billion double, price_per_m2_million double")
+    view = spark.createDataFrame([("V", 7, 3.5)], "property_type string, total_listings long, avg_price_per_m2 double")
+    given = E.chart_sources({"by_type": view, "merged_by_type": view.limit(0)}, filtered)
+    assert given["type"].first().total_listings == 7 and given["type_ppm"].first().avg_price_per_m2 == 3.5
+    assert given["district"].first().merged_listings == 1 and given["legal"].count() == 0 and given["direction"].first()["count"] == 1

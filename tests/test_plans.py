@@ -1,7 +1,5 @@
 """Physical-plan properties the design relies on at scale."""
 
-from pyspark.sql import functions as F
-
 from homestat.operators import clean as C
 from homestat.operators import explore as E
 from homestat.operators import views as V
@@ -18,9 +16,10 @@ def plan(df) -> str:
 
 def test_dedup_limits_each_map_task_before_the_shuffle(spark):
     p = plan(C.clean_listings(raw_listings(spark, SF_SMALL)))
-    partial = p.index("WindowGroupLimit")  # printed top-down: Final first, Partial below the Exchange
-    assert "Partial" in p and "Final" in p
-    assert p.count("WindowGroupLimit") == 2 and partial >= 0
+    assert p.count("WindowGroupLimit") == 2
+    # printed top-down: Final, the exchange on the id, Partial
+    final, partial = p.index("Final"), p.index("Partial")
+    assert final < p.index("hashpartitioning(listing_id") < partial
 
 
 def test_statistics_aggregate_partially_before_shuffle(spark):
@@ -63,7 +62,15 @@ def test_kpi_has_no_cross_join(spark):
     from homestat.streaming.speed import replay
     p = plan(E.kpi_cards(c, replay(c)))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert F is not None
+
+
+def test_scoring_does_not_shuffle_listings(spark, tmp_dir):
+    from homestat.operators import ml as M
+    write_parquet(C.clean_listings(raw_listings(spark, SF_SMALL)), f"{tmp_dir}/clean")
+    clean = SF.read_clean(spark, f"{tmp_dir}/clean")
+    labels = spark.createDataFrame([("property_type", "a", 0.0), ("district", "b", 0.0)], "feature string, label string, index double")
+    p = plan(M.with_category_index(clean, labels))
+    assert p.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in p
 
 
 def test_stream_message_parsed_once(spark):
