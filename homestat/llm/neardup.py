@@ -302,14 +302,16 @@ def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> D
     Buckets of three and more that still hold several components are compared in blocks.
     """
     keyed = classes.select(F.explode("bands").alias("key"), "doc")
-    firsts = keyed.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
+    # aggregates are written before they are joined: Spark can then split the rows of a hot key, or
+    # broadcast a table that it sees is small without dealing out the other side first
+    firsts = stored(keyed.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1"), "firsts")
     members = stored(keyed.join(firsts, "key"), "buckets")
     pairs = members.where(F.col("doc") != F.col("first")).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
     links = verified(docs, pairs, classes, doc_id, text)
     roots = stored(components(links), "roots")
     parts = members.where("size > 2").select("key", "doc").join(roots.withColumnRenamed("node", "doc"), "doc", "left") \
         .select("key", "doc", F.coalesce("root", "doc").alias("part"))
-    mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    mixed = stored(parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "mixed")
     still = stored(parts.join(mixed, "key"), "open-buckets")
     wanted = still.select("doc").distinct().join(classes.select("doc", "set_key"), "doc")
     sets = stored(full_sets(docs, wanted, doc_id, text).dropDuplicates(["doc"]), "open-sets")
@@ -328,15 +330,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     rows = stored(signatures(docs, doc_id, text), "signatures")
     with_set = rows.where(F.col("set_key").isNotNull())
-    firsts = with_set.groupBy("set_key").agg(F.min("doc").alias("first"))
+    firsts = stored(with_set.groupBy("set_key").agg(F.min("doc").alias("first")), "set-firsts")
     # one row per class: joined on the id too, so that a large group of copies is no hot key
     classes = stored(with_set.join(firsts.withColumnRenamed("first", "doc"), ["set_key", "doc"], "left_semi")
                      .dropDuplicates(["doc", "set_key"]), "classes")
     roots = near_links(docs, classes, doc_id, text)
-    own = with_set.select("doc", "set_key").join(firsts, "set_key").select("doc", "first")
+    own = stored(with_set.select("doc", "set_key").join(firsts, "set_key").select("doc", "first"), "own")
     # ids that several rows share tie their classes together
     shared = own.groupBy("doc").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc")
-    own = stored(own, "own")
     ties = own.join(shared, "doc").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     of_first = own.join(roots.withColumnRenamed("node", "first"), "first", "left") \
         .select("doc", F.coalesce("root", "first").alias("root"))
