@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a bracket that are sorted rather than narrowed further.
-BAND_ROWS = 10_000
+BAND_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -83,10 +83,16 @@ def _read(long: DataFrame, searches: list[_Search]) -> None:
     for s in searches:
         groups.setdefault((s.column, s.lo, s.hi), []).append(s)
     for same in groups.values():
-        top = max(s.rank - s.below for s in same)
-        rows = long.where(same[0].inside()).select("x").orderBy("x").limit(top + 1).collect()
+        # from the nearer end; the rows before the wanted ones are skipped where they are sorted
+        ranks = sorted(s.rank - s.below for s in same)
+        up = ranks[-1] + 1 <= same[0].size - ranks[0]
+        n = ranks[-1] + 1 if up else same[0].size - ranks[0]
+        skip = ranks[0] if up else same[0].size - 1 - ranks[-1]
+        order = F.col("x").asc() if up else F.col("x").desc()
+        rows = long.where(same[0].inside()).select("x").orderBy(order).limit(n).offset(skip).collect()
         for s in same:
-            s.value = rows[s.rank - s.below]["x"]
+            r = s.rank - s.below
+            s.value = rows[(r if up else same[0].size - 1 - r) - skip]["x"]
 
 
 def values_at_ranks(long: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int],
