@@ -1,7 +1,7 @@
 """License scans with a positional rare-token index.
 
 Template words get an IDF from all documents. The rarest words of each template are posted with
-their positions. A document's rarest licence words are looked up, the postings are intersected by
+their positions. All posted words of a document are looked up, the postings are intersected by
 relative position, and a template counts if enough of its rare words line up and its mandatory
 phrases stand at the implied places. Everything is DataFrame code.
 """
@@ -55,8 +55,8 @@ TEMPLATES = (
 class Matching:
     #: a template's rarest distinct words that are posted
     anchors: int = 4
-    #: a document's rarest distinct licence words that are looked up, at all their places
-    lookups: int = 24
+    #: a document's rarest distinct licence words that are looked up, at all their places; None looks up all
+    lookups: int | None = None
     #: percent of a template's posted places that must line up
     aligned_pct: int = 50
 
@@ -129,9 +129,11 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] =
         return at
 
     base = [F.filter(F.col(hits), stands(p)) for p, _ in PHRASES]
-    # the rarest licence words first: their ranks, cut to the number of lookups
+    # the rarest licence words first
     ranks = F.array(*[F.lit(x) for x in index["words"]])
-    rarest = F.slice(F.array_intersect(ranks, F.transform(F.col(hits), lambda i: F.get(w, i))), 1, how.lookups)
+    rarest = F.array_intersect(ranks, F.transform(F.col(hits), lambda i: F.get(w, i)))
+    if how.lookups is not None:
+        rarest = F.slice(rarest, 1, how.lookups)
     postings = F.from_json(F.lit(json.dumps(index["postings"])), f"map<string,{POSTING}>")
     found = F.flatten(F.transform(
         F.filter(F.col(hits), lambda i: F.array_contains(F.col(seen), F.get(w, i))),

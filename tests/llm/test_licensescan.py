@@ -49,3 +49,24 @@ def test_clashing_columns_and_repeated_notices(spark):
     assert out.columns[3:] == ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels_", "score_"]
     rows = {r.score: r for r in out.collect()}
     assert rows[1].labels_ == "mit" and rows[1].score_ == 1.0 and rows[2].labels_ == "" and rows[2].n_words == 0
+
+
+def phrase_search(text):
+    """Labels of templates that stand in the text in full, and of base phrases; no index."""
+    w = " " + " ".join(words(text)) + " "
+    return ",".join(sorted({t.label for t in L.TEMPLATES if f" {t.text} " in w} | {label for p, label in L.PHRASES if f" {p} " in w}))
+
+
+def test_bundled_notices_lose_no_label(spark):
+    notices = [t.text for t in L.TEMPLATES]
+    texts = [" ".join(notices), ". Filler words. ".join(reversed(notices)), " / ".join(notices[1:10]), " ".join(notices[::2] * 40)]
+    # common words of the notices, as in the given tables, are not the same as the rarest of a short list
+    texts += ["released under the terms of the license 2 0 version public software"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in L.scan(docs).collect()}
+    assert rows[0].labels.split(",") == sorted({t.label for t in L.TEMPLATES} | {"cc-by", "gpl"})
+    assert [rows[i].labels for i in range(len(texts))] == [phrase_search(t) for t in texts]
+    index = L.index_of({v: sum(v in words(t) for t in texts) for v in L.template_words(L.TEMPLATES)})
+    assert len(index["words"]) > 24
+    capped = {r.doc_id: r.labels for r in L.scan(docs, how=L.Matching(lookups=24)).collect()}
+    assert set(capped[0].split(",")) < set(rows[0].labels.split(","))
