@@ -168,8 +168,8 @@ def surviving(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, shingles) of the wanted classes (doc, set_key), made again from the text."""
+def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, by: str = "doc") -> DataFrame:
+    """(doc, shingles) of the wanted classes (doc, set_key), made again from the text; ``by`` has the id of a row with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,8 +180,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["doc", "shingles"])
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    rows = wanted.join(texts, "doc").select("doc", "set_key", "text")
+    texts = docs.select(F.col(doc_id).cast("long").alias(by), F.col(text).cast("string").alias("text"))
+    rows = wanted.join(texts, by).select("doc", "set_key", "text")
     return rows.mapInArrow(run, "doc long, shingles binary")
 
 
@@ -207,8 +207,8 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, doc_id: str,
     """Candidate pairs through the sequential test and the exact check."""
     left = stored(surviving(pairs, classes), "survivors")
     involved = left.select(F.col("a").alias("doc")).union(left.select(F.col("b").alias("doc"))).distinct()
-    wanted = involved.join(classes.select("doc", "set_key"), "doc")
-    sets = stored(full_sets(docs, wanted, doc_id, text).dropDuplicates(["doc"]), "sets")
+    wanted = involved.join(classes.select("doc", "id", "set_key"), "doc")
+    sets = stored(full_sets(docs, wanted, doc_id, text, "id").dropDuplicates(["doc"]), "sets")
     return stored(linked(left, sets), "links")
 
 
@@ -295,7 +295,7 @@ def block_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
 
 
 def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The components (node, root) that links between classes make.
+    """The components (node, root) that links between classes make; ``doc`` is a class's number, ``id`` its smallest id.
 
     First every bucket member is compared with the bucket's smallest class. Members of one
     component need no further comparison, so large groups of near copies cost one pair a member.
@@ -313,8 +313,8 @@ def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> D
         .select("key", "doc", F.coalesce("root", "doc").alias("part"))
     mixed = stored(parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "mixed")
     still = stored(parts.join(mixed, "key"), "open-buckets")
-    wanted = still.select("doc").distinct().join(classes.select("doc", "set_key"), "doc")
-    sets = stored(full_sets(docs, wanted, doc_id, text).dropDuplicates(["doc"]), "open-sets")
+    wanted = still.select("doc").distinct().join(classes.select("doc", "id", "set_key"), "doc")
+    sets = stored(full_sets(docs, wanted, doc_id, text, "id").dropDuplicates(["doc"]), "open-sets")
     more = stored(block_links(still, classes, sets), "block-links")
     if more.isEmpty():
         return roots
@@ -331,21 +331,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = stored(signatures(docs, doc_id, text), "signatures")
     with_set = rows.where(F.col("set_key").isNotNull())
     firsts = stored(with_set.groupBy("set_key").agg(F.min("doc").alias("first")), "set-firsts")
-    # one row per class: joined on the id too, so that a large group of copies is no hot key
+    # one row per class: joined on the id too, so that a large group of copies is no hot key. Classes go by a
+    # number, as several classes may have the same smallest id
     classes = stored(with_set.join(firsts.withColumnRenamed("first", "doc"), ["set_key", "doc"], "left_semi")
-                     .dropDuplicates(["doc", "set_key"]), "classes")
+                     .dropDuplicates(["doc", "set_key"]).withColumnRenamed("doc", "id")
+                     .withColumn("doc", F.monotonically_increasing_id()), "classes")
     roots = near_links(docs, classes, doc_id, text)
-    own = stored(with_set.select("doc", "set_key").join(firsts, "set_key").select("doc", "first"), "own")
+    own = stored(with_set.select("doc", "set_key").join(classes.select("set_key", F.col("doc").alias("node"), "id"), "set_key")
+                 .select("doc", "node", "id"), "own")
     # ids that several rows share tie their classes together
-    shared = own.groupBy("doc").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("doc")
-    ties = own.join(shared, "doc").select(F.col("doc").alias("a"), F.col("first").alias("b"))
-    of_first = own.join(roots.withColumnRenamed("node", "first"), "first", "left") \
-        .select("doc", F.coalesce("root", "first").alias("root"))
-    if not ties.isEmpty():
-        again = components(ties.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-                           .unionByName(own.select(F.col("doc").alias("a"), F.col("first").alias("b"))))
-        of_first = again.select(F.col("node").alias("doc"), "root")
-    of_doc = of_first.groupBy("doc").agg(F.min("root").alias("component_id"))
+    shared = stored(own.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").select("doc", "a"), "shared")
+    if not shared.isEmpty():
+        ties = own.join(shared, "doc").select("a", F.col("node").alias("b"))
+        roots = stored(components(ties.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "tied-roots")
+    # a component is named by its smallest id
+    least = stored(roots.join(classes.select(F.col("doc").alias("node"), "id"), "node").groupBy("root").agg(F.min("id").alias("least")), "least")
+    named = stored(roots.join(least, "root").select("node", "least"), "named")
+    of_doc = own.join(named, "node", "left").groupBy("doc").agg(F.min(F.coalesce("least", "id")).alias("component_id"))
     out = rows.select("doc", "n").join(of_doc, "doc", "left")
     component = F.coalesce("component_id", "doc")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),

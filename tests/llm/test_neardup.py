@@ -51,6 +51,22 @@ def test_matches_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_each_text_of_a_shared_id_keeps_its_links(spark):
+    own = random.Random(12)
+    rows = []
+    for k in range(6):  # the id is the smallest of all its classes; near copies of each text, at two distances
+        texts = [prose(own, 120) for _ in range(3)]
+        rows += [(10 * k, t) for t in texts]
+        for j, t in enumerate(texts):
+            words = t.split()
+            rows += [(10 * k + 2 * j + 1, " ".join(words[:-1])), (10 * k + 2 * j + 2, " ".join(words[3:]))]
+    own.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted([tuple(r) for r in N.near_duplicates(docs).collect()], key=repr)
+    assert got == brute(rows) and {r[2] for r in got} == {0, 10, 20, 30, 40, 50}
+    assert {r.doc_id for r in N.keep_one(docs).collect()} == {0, 10, 20, 30, 40, 50}
+
+
 def test_blocks_of_large_buckets_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK_SHINGLES", 300)
     rows = variants()
