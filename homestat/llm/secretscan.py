@@ -40,7 +40,7 @@ BASE = (
     Rule("hex", r"[0-9a-f]{32,}", 32, ()),
 )
 EXTRA = (
-    Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]+=*", 27, ("earer", "EARER")),
+    Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]+=*", 27, ()),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]+", 40, ("gho_", "ghp_", "ghs_", "ghu_")),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 32, ("eyJ",)),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 27, ("PRIVATE KEY-----",)),

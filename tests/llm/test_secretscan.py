@@ -46,3 +46,11 @@ def test_clashing_columns(spark):
     out = S.scan(docs)
     assert out.columns == ["_blob", "text", "spans", "spans_"]
     assert [tuple(s) for s in out.first().spans_] == [(0, 1, "access", 24)]
+
+
+def test_bearer_in_any_casing(spark):
+    texts = [f"{w} {'a1B2' * 6}" for w in ("Bearer", "BEARER", "BeArEr", "BEArer", "bEaReR", "bearer", "bearr")]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in S.scan(docs).collect()}
+    rank = [r.kind for r in S.RULES].index("bearer")
+    assert got == {i: [] if texts[i].startswith("bearr") else [(0, rank, "bearer", 31)] for i in range(len(texts))}
