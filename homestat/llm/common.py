@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +98,35 @@ def extend(df: DataFrame, fields: list[tuple[str, T.DataType]],
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[f.name for f in schema])
 
     return df.mapInArrow(run, schema)
+
+
+def in_slices(batch: pa.RecordBatch, text: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts hold about ``limit`` bytes; a longer text is a run of its own."""
+    sizes = np.fromiter((0 if t is None else len(t) for t in byte_rows(batch.column(text))), np.int64, len(batch))
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def words_in_order(texts: list[bytes | None], kinds: np.ndarray, shown: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, row, piece) of all words of ``texts``, without a step per word.
+
+    ``kinds`` says of each byte whether it belongs to a word (0), separates words (1) or ends a
+    piece (2); ``shown`` is the byte that stands for it. Pieces never reach beyond their text.
+    """
+    raw = np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)
+    starts = np.cumsum([0] + [len(t or b"") + 1 for t in texts], dtype=np.int64)[:-1]
+    ends = starts[1:] - 1  # the added line ends always close a piece
+    kind = kinds[raw].copy()
+    kind[ends], kind[-1] = 2, 2
+    inside = kind == 0
+    edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    offsets = np.concatenate(([0], np.cumsum(last - first))).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(shown[raw[inside]]))])
+    row = np.searchsorted(starts, first, "right") - 1
+    return words, row, np.searchsorted(np.flatnonzero(kind == 2), first)
