@@ -198,6 +198,49 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, co
 FROM h LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid)
 """
 
+OP11 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+f AS (SELECT rid, vec_id, i, floor(1024 * e[i]::DOUBLE)::BIGINT AS x FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM v)),
+products AS (SELECT q.rid AS q, c.rid AS c, sum(q.x * c.x)::BIGINT AS score FROM f q JOIN f c ON q.i = c.i AND q.rid <> c.rid
+  WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(score, 0) AS score,
+  row_number() OVER (PARTITION BY q.rid ORDER BY coalesce(score, 0) DESC, c.vec_id NULLS LAST, c.rid) AS rank
+  FROM v q JOIN v c ON q.rid <> c.rid LEFT JOIN products p ON p.q = q.rid AND p.c = c.rid WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, {lower("coalesce(text, '')")} AS t FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, w[i:i + k - 1] AS ws
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, any_value(ws) AS ws, count(*) AS f FROM grams GROUP BY lang, k, g),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+inside AS (SELECT lang, part, max(f) AS longer FROM (SELECT lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM c WHERE k = 3) GROUP BY lang, part),
+open AS (SELECT c.* FROM c LEFT JOIN inside i ON c.k = 2 AND i.lang = c.lang AND i.part = c.g WHERE longer IS NULL OR 100 * longer < 50 * f),
+cuts AS (SELECT lang, g, f AS a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM open)),
+scored AS (SELECT cuts.lang, cuts.g, a, j, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.g = x AND l.k = j JOIN f r ON r.lang = cuts.lang AND r.g = y
+  WHERE r.k = len(string_split(cuts.g, ' ')) - j QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.g ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM scored)
+SELECT lang, rank::INTEGER AS rank, g AS phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {TOKENS.format(lower("coalesce(text, '')"))} AS w FROM documents),
+size AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+q AS (SELECT row_number() OVER () AS qid, item_id, {TOKENS.format(lower("coalesce(text, '')"))} AS w FROM benchmark),
+qt AS (SELECT DISTINCT qid, item_id, t FROM (SELECT qid, item_id, unnest(w) AS t FROM q)),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM qt) GROUP BY rid, t),
+weight AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY t, docs),
+scores AS (SELECT qid, item_id, doc_id, sum(weight.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.w) * docs) // words))))::BIGINT AS score
+  FROM qt JOIN tf USING (t) JOIN weight USING (t) JOIN d USING (rid), size GROUP BY qid, item_id, rid, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op2_decontamination": OP2,
@@ -207,4 +250,7 @@ ORACLES = {
     "op6_chat_formatting": OP6,
     "op8_line_dedup": OP8,
     "op9_near_dedup": OP9,
+    "op11_top_k_search": OP11,
+    "op12_phrase_mining": OP12,
+    "op13_lexical_search": OP13,
 }

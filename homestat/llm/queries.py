@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from homestat.llm import chat, decontam, licensescan, linededup, neardup, packing, quality, secretscan, toxicity, urlfilter
+from homestat.llm import (chat, decontam, lexical, licensescan, linededup, neardup, packing, phrases, quality, secretscan, topk, toxicity,
+                          urlfilter)
 from homestat.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": linededup.op8,
     "op9_near_dedup": neardup.op9,
     "op10_packing": packing.op10,
+    "op11_top_k_search": topk.op11,
+    "op12_phrase_mining": phrases.op12,
+    "op13_lexical_search": lexical.op13,
 }
 
 

@@ -18,7 +18,7 @@ def test_query_matches_sql_on_awkward_rows(spark, corpus, plain_corpus, sql, nam
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables_give_no_rows(spark, corpus, tmp_path, name):
-    for table in ("documents", "benchmark", "pages", "conversations"):
+    for table in ("documents", "benchmark", "pages", "conversations", "embeddings"):
         spark.read.parquet(f"{corpus}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     left = QUERIES[name](spark, str(tmp_path)).collect()
