@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homestat.llm.common import WORD_BYTES, byte_rows, in_slices, scratch, stored, table, words_in_order
+from homestat.llm.common import WORD_BYTES, byte_rows, in_slices, ranges, scratch, stored, table, words_in_order
 
 K = 50
 #: Terms of the items that go through at once; a larger set of items goes through in blocks.
@@ -109,12 +109,6 @@ class Shard:
         return cls(names.fill_null(0).to_numpy(), names.is_null().to_numpy(zero_copy_only=False), start, term, impact, owner, order, place, list_start)
 
 
-def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """first[i], first[i] + 1, ... (sizes[i] numbers), one run after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
-
-
 def best_positions(shard: Shard, terms: np.ndarray, list_of: np.ndarray, k: int, need: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(documents, scores, positions read) of the documents met before the threshold falls below the k-th score.
 

@@ -3,8 +3,8 @@
 A prefix word keys one stripe: an associative counter of its next words, each with the counter of
 the words after that. Tasks count stripes for slices of the texts, equal stripes are merged
 elementwise, and one merged stripe gives the word's total, its extensions by one and two words
-and the most frequent extension of each. Words so frequent that their stripes would weigh on one
-task have them cut by the hash of the words that follow.
+and the most frequent extension of each. Stripes travel in buckets of many prefixes; those of
+words so frequent that they would weigh on one task are cut by the hash of the words that follow.
 """
 
 from __future__ import annotations
@@ -17,20 +17,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homestat.llm.common import byte_objects, byte_rows, stored, table, words_in_order
+from homestat.llm.common import byte_objects, byte_rows, ranges, stored, table, words_in_order
 
 LEAST, PERCENT, K = 10, 50, 2000
 NO_LANGUAGE = "und"
 #: Text bytes counted into stripes at once, and stripe entries merged at once.
-SLICE_BYTES, MERGE_ENTRIES = 8_000_000, 1_000_000
-#: Occurrences of a word that one slice of its stripe holds: at least this, or this share of all words.
-SLICE_WORDS, SLICE_SHARE = 200_000, 1 / 100_000
+SLICE_BYTES, MERGE_ENTRIES = 8_000_000, 400_000
+#: Words of the texts that one bucket holds; also the occurrences in one slice of a frequent
+#: word's stripe, unless this share of all words is more.
+BUCKET_WORDS, SLICE_SHARE = 200_000, 1 / 100_000
+#: Groups of a language whose best phrases are taken before those of the language.
+TOP_GROUPS = 256
 #: Bytes that end a piece, bytes that separate words within it.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b" \t"
 KINDS = np.array([2 if b in PIECE_ENDS else 1 if b in BLANKS else 0 for b in range(256)], np.uint8)
 SHOWN = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
-STRIPES = ("lang string, word string, slice int, ends long, next string, counts binary, fans binary, "
+STRIPES = ("lang string, bucket long, word string, sizes binary, ends binary, next string, counts binary, fans binary, "
            "after string, after_counts binary")
 COUNTS = "lang string, w1 string, w2 string, w3 string, f long, most long"
 
@@ -62,8 +65,8 @@ class Tokens:
         self.lang = number[row]
 
 
-def frequent_words(docs: DataFrame) -> dict[tuple[str, str], int]:
-    """Slices of the stripe of every (language, word) that needs more than one.
+def frequent_words(docs: DataFrame) -> tuple[int, dict[tuple[str, str], int]]:
+    """(buckets, slices of the stripe of every (language, word) that needs more than one).
 
     Words below the share in all slices of text are not counted: they can need only one slice. What
     reaches the driver is bounded: at most 1 / SLICE_SHARE words. The results do not depend on it.
@@ -81,8 +84,9 @@ def frequent_words(docs: DataFrame) -> dict[tuple[str, str], int]:
 
     counts = stored(docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "frequent")
     total = counts.where("word is null").agg(F.sum("n").alias("n")).first().n or 0
-    room = max(SLICE_WORDS, total * SLICE_SHARE)
-    return {(r.lang, r.word): int(-(-r.n // room)) for r in counts.where(F.col("word").isNotNull() & (F.col("n") > room)).collect()}
+    room = max(BUCKET_WORDS, total * SLICE_SHARE)
+    found = counts.where(F.col("word").isNotNull() & (F.col("n") > room)).collect()
+    return max(1, -(-total // BUCKET_WORDS)), {(r.lang, r.word): int(-(-r.n // room)) for r in found}
 
 
 def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -96,24 +100,32 @@ def joined(words: pa.Array, codes: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.take(pa.array(codes))), " ")
 
 
-def stripe_rows(t: Tokens, key: np.ndarray, piece: np.ndarray, word: np.ndarray, count: np.ndarray, fan: np.ndarray,
+def stripe_rows(t: Tokens, key: np.ndarray, bucket: np.ndarray, word: np.ndarray, count: np.ndarray, fan: np.ndarray,
                 after: np.ndarray, after_count: np.ndarray) -> pa.RecordBatch:
-    """Stripes of entries that are sorted by (key, slice). An entry's next word ``len(words)`` is a piece's end."""
+    """Stripes of entries that are sorted by (language, bucket, key): a row per language and bucket.
+
+    A key is a language and a word; an entry's next word ``len(words)`` is a piece's end.
+    """
     size = len(t.words)
-    new = np.flatnonzero(np.diff(key, prepend=-1) | np.diff(piece, prepend=-1))
+    lang = key // size
+    new_row = (np.diff(lang, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0)
+    new_key = new_row | (np.diff(key, prepend=-1) != 0)
+    keys, first = np.flatnonzero(new_key), np.flatnonzero(new_row)
     is_end = word == size
-    ends = np.add.reduceat(np.where(is_end, count, 0), new) if len(new) else count[:0]
-    bounds = np.concatenate(([0], np.cumsum(~is_end)))[np.append(new, len(key))]
-    fans = np.concatenate(([0], np.cumsum(fan)))[np.append(new, len(key))]
-    first = key[new]
+    ends = np.add.reduceat(np.where(is_end, count, 0), keys) if len(keys) else count[:0]
+    at_key = lambda total: total[np.append(keys, len(key))]
+    at_row = lambda total: total[np.append(first, len(key))]
+    nexts, fans = np.concatenate(([0], np.cumsum(~is_end))), np.concatenate(([0], np.cumsum(fan)))
+    heads = np.concatenate(([0], np.cumsum(new_key)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(t.langs[first // size], pa.string()), t.words.take(pa.array(first % size)), pa.array(piece[new], pa.int32()), pa.array(ends, pa.int64()),
-         joined(t.words, word[~is_end], bounds), packed(count[~is_end], bounds), packed(fan[~is_end], bounds),
-         joined(t.words, after, fans), packed(after_count, fans)],
-        names=["lang", "word", "slice", "ends", "next", "counts", "fans", "after", "after_counts"])
+        [pa.array(t.langs[lang[first]], pa.string()), pa.array(bucket[first]), joined(t.words, key[keys] % size, at_row(heads)),
+         packed(np.diff(at_key(nexts)), at_row(heads)), packed(ends, at_row(heads)),
+         joined(t.words, word[~is_end], at_row(nexts)), packed(count[~is_end], at_row(nexts)), packed(fan[~is_end], at_row(nexts)),
+         joined(t.words, after, at_row(fans)), packed(after_count, at_row(fans))],
+        names=["lang", "bucket", "word", "sizes", "ends", "next", "counts", "fans", "after", "after_counts"])
 
 
-def count_stripes(langs: list[str], texts: list[bytes | None], slices: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+def count_stripes(langs: list[str], texts: list[bytes | None], buckets: int, slices: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
     """The stripes of some texts."""
     import xxhash
 
@@ -128,37 +140,43 @@ def count_stripes(langs: list[str], texts: list[bytes | None], slices: dict[tupl
     at = np.flatnonzero(after_next)
     triples, after_count = np.unique(which[at] * size + t.word[at + 2], return_counts=True)
     of_pair, after = triples // size, triples % size
+    del which, second, follows, after_next, at, triples
     key, word = pairs // (size + 1), pairs % (size + 1)
+    fan = np.bincount(of_pair, minlength=len(pairs))
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) >> 8 for w in byte_objects(t.words)] + [0], np.int64)
     # slices of the stripes of frequent words
     many = np.ones(len(t.langs) * size, np.int64)
     number = {lang: i for i, lang in enumerate(t.langs)}
     names = [(number[lang] * size, w, n) for (lang, w), n in slices.items() if lang in number]
-    codes = pc.index_in(pa.array([w for _, w, _ in names], pa.string()), t.words).to_numpy(zero_copy_only=False) if names else []
+    codes = pc.index_in(pa.array([w for _, w, _ in names], pa.string()), t.words).fill_null(-1).to_numpy() if names else []
     for (base, _, n), code in zip(names, codes):
-        if code == code:  # not NaN: the word stands in these texts
-            many[base + int(code)] = n
+        if code >= 0:
+            many[base + code] = n
     wide = many[key] > 1
-    fan = np.bincount(of_pair, minlength=len(pairs))
     slim = ~wide[of_pair]
-    yield stripe_rows(t, key[~wide], np.zeros(int((~wide).sum()), np.int64), word[~wide], count[~wide], fan[~wide], after[slim], after_count[slim])
+    bucket = hashes[key % size] % buckets
+    order = np.flatnonzero(~wide)
+    order = order[np.lexsort((bucket[order], key[order] // size))]
+    starts = np.cumsum(fan) - fan
+    run = ranges(starts[order], fan[order])
+    yield stripe_rows(t, key[order], bucket[order], word[order], count[order], fan[order], after[run], after_count[run])
     if not wide.any():
         return
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) >> 8 for w in byte_objects(t.words)] + [0], np.int64)
+    # the words after a frequent word are dealt to its slices; those after a frequent pair, too
     home = hashes[word] % many[key]
-    # a frequent word after a frequent word: the words that follow both are spread too
     both = wide & (many[(key // size) * size + np.minimum(word, size - 1)] > 1) & (word < size)
-    broad = ~slim
-    pair, third, n3 = of_pair[broad], after[broad], after_count[broad]
+    pair, third, n3 = of_pair[~slim], after[~slim], after_count[~slim]
     place = np.where(both[pair], (hashes[word[pair]] // 7 + hashes[third]) % many[key[pair]], home[pair])
     at = np.flatnonzero(wide)
     all_key, all_place = np.concatenate((key[at], key[pair])), np.concatenate((home[at], place))
+    all_bucket = (bucket[np.concatenate((at, pair))] + all_place) % buckets
     all_word, all_third = np.concatenate((word[at], word[pair])), np.concatenate((np.full(len(at), -1), third))
     all_count = np.concatenate((count[at], n3))
-    order = np.lexsort((all_third, all_word, all_place, all_key))
-    all_key, all_place, all_word, all_third, all_count = (x[order] for x in (all_key, all_place, all_word, all_third, all_count))
-    first = np.flatnonzero(np.diff(all_key, prepend=-1) | np.diff(all_place, prepend=-1) | np.diff(all_word, prepend=-1))
+    order = np.lexsort((all_third, all_word, all_key, all_bucket, all_key // size))
+    all_key, all_bucket, all_word, all_third, all_count = (x[order] for x in (all_key, all_bucket, all_word, all_third, all_count))
+    first = np.flatnonzero(np.diff(all_key, prepend=-1) | np.diff(all_bucket, prepend=-1) | np.diff(all_word, prepend=-1))
     is_third = all_third >= 0
-    yield stripe_rows(t, all_key[first], all_place[first], all_word[first], np.add.reduceat(np.where(is_third, 0, all_count), first),
+    yield stripe_rows(t, all_key[first], all_bucket[first], all_word[first], np.add.reduceat(np.where(is_third, 0, all_count), first),
                       np.add.reduceat(is_third.astype(np.int64), first), all_third[is_third], all_count[is_third])
 
 
@@ -181,38 +199,55 @@ def split(column: pa.Array, sizes: np.ndarray) -> pa.Array:
 
 
 def merge_stripes(rows: pa.Table, least: int) -> pa.RecordBatch:
-    """Totals, pairs and triples of stripes that are sorted by (lang, word, slice), whole groups of them."""
+    """Totals, pairs and triples of stripes that are sorted by (lang, bucket), whole groups of them."""
     rows = rows.combine_chunks()
-    lang, word, piece = (rows.column(c).combine_chunks() for c in ("lang", "word", "slice"))
-    steps = [np.diff(c.dictionary_encode().indices.to_numpy(), prepend=-1) for c in (lang, word)]
-    new = (steps[0] != 0) | (steps[1] != 0) | (np.diff(piece.to_numpy(), prepend=-1) != 0)
+    column = lambda name: rows.column(name).combine_chunks()
+    lang = column("lang")
+    new = (np.diff(lang.dictionary_encode().indices.to_numpy(), prepend=-1) != 0) | (np.diff(column("bucket").to_numpy(), prepend=-1) != 0)
     group, first = np.cumsum(new) - 1, np.flatnonzero(new)
-    counts, n_next = numbers(rows.column("counts").combine_chunks())
-    fans, _ = numbers(rows.column("fans").combine_chunks())
-    after_counts, n_after = numbers(rows.column("after_counts").combine_chunks())
-    both = pa.concat_arrays([split(rows.column("next").combine_chunks(), n_next), split(rows.column("after").combine_chunks(), n_after)]).dictionary_encode()
-    codes, size = both.indices.to_numpy().astype(np.int64), max(1, len(both.dictionary))
-    pairs, which, f2 = summed(np.repeat(group, n_next) * size + codes[:len(counts)], counts)
-    triples, _, f3 = summed(np.repeat(which, fans) * size + codes[len(counts):], after_counts)
-    total = np.zeros(len(first), np.int64)
-    np.add.at(total, group, rows.column("ends").to_numpy())
+    sizes, n_words = numbers(column("sizes"))
+    counts, n_next = numbers(column("counts"))
+    fans, _ = numbers(column("fans"))
+    after_counts, n_after = numbers(column("after_counts"))
+    every = pa.concat_arrays([split(column("word"), n_words), split(column("next"), n_next), split(column("after"), n_after)]).dictionary_encode()
+    codes, size = every.indices.to_numpy().astype(np.int64), max(1, len(every.dictionary))
+    head, second, third = np.split(codes, [len(sizes), len(sizes) + len(counts)])
+    heads, of_head, total = summed(np.repeat(group, n_words) * size + head, numbers(column("ends"))[0])
+    pairs, of_pair, f2 = summed(np.repeat(of_head, sizes) * size + second, counts)
+    triples, _, f3 = summed(np.repeat(of_pair, fans) * size + third, after_counts)
     np.add.at(total, pairs // size, f2)
     triples, f3 = triples[f3 >= least], f3[f3 >= least]
     most = np.zeros(len(pairs), np.int64)
     np.maximum.at(most, triples // size, f3)
     good = np.flatnonzero((f2 >= least) | (most > 0))
-    of, third = triples // size, triples % size
-    names = both.dictionary
-    heads = np.concatenate((np.arange(len(first)), pairs[good] // size, pairs[of] // size))
-    none = pa.nulls(len(first), pa.string())
+    pair = triples // size
+    words = every.dictionary
+    of = np.concatenate((np.arange(len(heads)), pairs[good] // size, pairs[pair] // size))
+    none = lambda n: pa.nulls(n, pa.string())
     return pa.RecordBatch.from_arrays(
-        [lang.take(pa.array(first[heads])), word.take(pa.array(first[heads])),
-         pa.concat_arrays([none, names.take(pa.array(pairs[good] % size)), names.take(pa.array(pairs[of] % size))]),
-         pa.concat_arrays([none, pa.nulls(len(good), pa.string()), names.take(pa.array(third))]),
-         pa.array(np.concatenate((total, f2[good], f3))), pa.array(np.concatenate((np.zeros(len(first), np.int64), most[good], np.zeros(len(of), np.int64))))],
+        [lang.take(pa.array(first[heads[of] // size])), words.take(pa.array(heads[of] % size)),
+         pa.concat_arrays([none(len(heads)), words.take(pa.array(pairs[good] % size)), words.take(pa.array(pairs[pair] % size))]),
+         pa.concat_arrays([none(len(heads)), none(len(good)), words.take(pa.array(triples % size))]),
+         pa.array(np.concatenate((total, f2[good], f3))), pa.array(np.concatenate((np.zeros(len(heads), np.int64), most[good], np.zeros(len(pair), np.int64))))],
         names=["lang", "w1", "w2", "w3", "f", "most"])
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted stripes in tables of about MERGE_ENTRIES entries that end with a bucket's last row."""
+    held, entries = [], 0
+    key = lambda b, i: (b.column(0)[i].as_py(), b.column(1)[i].as_py())
+    for batch in batches:
+        ends = np.cumsum((pc.binary_length(batch.column(6)).to_numpy() + pc.binary_length(batch.column(9)).to_numpy()) // 4 + 1)
+        for i in range(len(batch)):
+            if held and entries >= MERGE_ENTRIES and key(batch, i) != held[-1][1]:
+                yield pa.Table.from_batches([b for b, _ in held])
+                held, entries = [], 0
+            held.append((batch.slice(i, 1), key(batch, i)))
+            entries += int(ends[i] - (ends[i - 1] if i else 0))
+    if held:
+        yield pa.Table.from_batches([b for b, _ in held])
+
+
 def stripes(docs: DataFrame, least: int) -> DataFrame:
     """(lang, w1, w2, w3, f, most) of ``docs`` (lang, text), from merged stripes.
 
@@ -223,28 +258,14 @@ def stripes(docs: DataFrame, least: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in text_runs(batches):
-            yield from count_stripes(langs, texts, shared.value)
+            yield from count_stripes(langs, texts, *shared.value)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, entries = [], 0
-        key = lambda b, i: tuple(b.column(c)[i].as_py() for c in range(3))
-        for batch in batches:
-            if not len(batch):
-                continue
-            size = int(pc.sum(pc.add(pc.binary_length(batch.column(5)), pc.binary_length(batch.column(8)))).as_py()) // 4
-            if held and entries + size > MERGE_ENTRIES and key(batch, 0) != key(batch, len(batch) - 1):
-                # the group that was open ends within this batch
-                last = key(held[-1], len(held[-1]) - 1)
-                cut = next(i for i in range(len(batch)) if key(batch, i) != last)
-                yield merge_stripes(pa.Table.from_batches([*held, batch.slice(0, cut)]), least)
-                held, entries, batch = [], 0, batch.slice(cut)
-            held.append(batch)
-            entries += size
-        if held:
-            yield merge_stripes(pa.Table.from_batches(held), least)
+        for rows in whole_groups(batches):
+            yield merge_stripes(rows, least)
 
     counted = docs.mapInArrow(count, STRIPES)
-    dealt = counted.repartition("lang", "word", "slice").sortWithinPartitions("lang", "word", "slice")
+    dealt = counted.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket")
     return stored(dealt.mapInArrow(merge, COUNTS), "stripes")
 
 
@@ -284,10 +305,15 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     first = F.col("s1") <= F.col("s2")
     of_three = cuts.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                            F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = of_two.unionByName(of_three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = ranked(ranked(of_two.unionByName(of_three), k, F.pmod(F.xxhash64("phrase"), F.lit(TOP_GROUPS))), k)
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def ranked(phrases: DataFrame, k: int, *group: Column) -> DataFrame:
+    """The ``k`` best phrases of each language, or of each group of it."""
+    order = Window.partitionBy("lang", *group).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    return phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents", ["lang", "text"]))

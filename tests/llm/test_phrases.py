@@ -47,12 +47,11 @@ def result(spark, rows, **how):
     return sorted(tuple(r) for r in M.collocations(df, **how).collect())
 
 
-@pytest.mark.parametrize("slice_bytes,slice_words,entries", [(8_000_000, 200_000, 1_000_000), (2000, 40, 100), (2000, 300, 1)])
+@pytest.mark.parametrize("slice_bytes,slice_words,entries", [(8_000_000, 200_000, 1_000_000), (2000, 40, 100), (2000, 300, 1), (8_000_000, 40, 1)])
 def test_matches_brute_force(spark, monkeypatch, slice_bytes, slice_words, entries):
     monkeypatch.setattr(M, "SLICE_BYTES", slice_bytes)
-    monkeypatch.setattr(M, "SLICE_WORDS", slice_words)
+    monkeypatch.setattr(M, "BUCKET_WORDS", slice_words)
     monkeypatch.setattr(M, "MERGE_ENTRIES", entries)
-    monkeypatch.setitem(M.collocations.__globals__, "SLICE_SHARE", 1e-5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
     try:
         rows = corpus()
