@@ -203,15 +203,6 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Candidate pairs through the sequential test and the exact check."""
-    left = stored(surviving(pairs, classes), "survivors")
-    involved = left.select(F.col("a").alias("doc")).union(left.select(F.col("b").alias("doc"))).distinct()
-    wanted = involved.join(classes.select("doc", "id", "set_key"), "doc")
-    sets = stored(full_sets(docs, wanted, doc_id, text, "id").dropDuplicates(["doc"]), "sets")
-    return stored(linked(left, sets), "links")
-
-
 def group_links(docs: list[int], parts: list[int], chunks: list[int], checks: np.ndarray,
                 sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that join parts of one block: pairs of different parts (and, in a block of two chunks, of
@@ -295,11 +286,11 @@ def block_links(members: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
 
 
 def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The components (node, root) that links between classes make; ``doc`` is a class's number, ``id`` its smallest id.
+    """Links (a, b) between ids of classes, enough of them to join all classes that are alike.
 
-    First every bucket member is compared with the bucket's smallest class. Members of one
-    component need no further comparison, so large groups of near copies cost one pair a member.
-    Buckets of three and more that still hold several components are compared in blocks.
+    ``doc`` is a class's number, ``id`` its smallest id. First every bucket member is compared with
+    the bucket's smallest class, so large groups of near copies cost one pair a member. Buckets of
+    three and more whose members these links tie to different classes are compared in blocks.
     """
     keyed = classes.select(F.explode("bands").alias("key"), "doc")
     # aggregates are written before they are joined: Spark can then split the rows of a hot key, or
@@ -307,18 +298,20 @@ def near_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> D
     firsts = stored(keyed.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1"), "firsts")
     members = stored(keyed.join(firsts, "key"), "buckets")
     pairs = members.where(F.col("doc") != F.col("first")).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
-    links = verified(docs, pairs, classes, doc_id, text)
-    roots = stored(components(links), "roots")
-    parts = members.where("size > 2").select("key", "doc").join(roots.withColumnRenamed("node", "doc"), "doc", "left") \
-        .select("key", "doc", F.coalesce("root", "doc").alias("part"))
+    left = stored(surviving(pairs, classes), "survivors")
+    # one pass over the texts makes the sets of both steps
+    involved = left.select(F.col("a").alias("doc")).union(left.select("b")).union(members.where("size > 2").select("doc")).distinct()
+    wanted = involved.join(classes.select("doc", "id", "set_key"), "doc")
+    sets = stored(full_sets(docs, wanted, doc_id, text, "id").dropDuplicates(["doc"]), "sets")
+    links = stored(linked(left, sets), "links")
+    star = links.groupBy("b").agg(F.min("a").alias("part")).select(F.col("b").alias("doc"), "part")
+    parts = stored(members.where("size > 2").select("key", "doc").join(star, "doc", "left").select(
+        "key", "doc", F.coalesce("part", "doc").alias("part")), "parts")
     mixed = stored(parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "mixed")
     still = stored(parts.join(mixed, "key"), "open-buckets")
-    wanted = still.select("doc").distinct().join(classes.select("doc", "id", "set_key"), "doc")
-    sets = stored(full_sets(docs, wanted, doc_id, text, "id").dropDuplicates(["doc"]), "open-sets")
-    more = stored(block_links(still, classes, sets), "block-links")
-    if more.isEmpty():
-        return roots
-    return stored(components(links.unionByName(more)), "all-roots")
+    found = links.unionByName(stored(block_links(still, classes, sets), "block-links"))
+    name = lambda c, to: classes.select(F.col("doc").alias(c), F.col("id").alias(to))
+    return found.join(name("a", "ia"), "a").join(name("b", "ib"), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -330,26 +323,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     rows = stored(signatures(docs, doc_id, text), "signatures")
     with_set = rows.where(F.col("set_key").isNotNull())
-    firsts = stored(with_set.groupBy("set_key").agg(F.min("doc").alias("first")), "set-firsts")
-    # one row per class: joined on the id too, so that a large group of copies is no hot key. Classes go by a
-    # number, as several classes may have the same smallest id
-    classes = stored(with_set.join(firsts.withColumnRenamed("first", "doc"), ["set_key", "doc"], "left_semi")
-                     .dropDuplicates(["doc", "set_key"]).withColumnRenamed("doc", "id")
-                     .withColumn("doc", F.monotonically_increasing_id()), "classes")
-    roots = near_links(docs, classes, doc_id, text)
-    own = stored(with_set.select("doc", "set_key").join(classes.select("set_key", F.col("doc").alias("node"), "id"), "set_key")
-                 .select("doc", "node", "id"), "own")
-    # ids that several rows share tie their classes together
-    shared = stored(own.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").select("doc", "a"), "shared")
-    if not shared.isEmpty():
-        ties = own.join(shared, "doc").select("a", F.col("node").alias("b"))
-        roots = stored(components(ties.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "tied-roots")
-    # a component is named by its smallest id
-    least = stored(roots.join(classes.select(F.col("doc").alias("node"), "id"), "node").groupBy("root").agg(F.min("id").alias("least")), "least")
-    named = stored(roots.join(least, "root").select("node", "least"), "named")
-    of_doc = own.join(named, "node", "left").groupBy("doc").agg(F.min(F.coalesce("least", "id")).alias("component_id"))
-    out = rows.select("doc", "n").join(of_doc, "doc", "left")
-    component = F.coalesce("component_id", "doc")
+    # one row per class of equal sets, folded in the map tasks first, so that a large group of copies is no
+    # hot key. Classes go by a number, as several classes may have the same smallest id
+    classes = stored(with_set.groupBy("set_key").agg(
+        F.min("doc").alias("id"), F.max("doc").alias("last"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+        F.first("checks").alias("checks")).withColumn("doc", F.monotonically_increasing_id()), "classes")
+    links = near_links(docs, classes, doc_id, text)
+    # the graph's nodes are ids: a class ties its rows to its smallest id, and an id ties its rows' classes
+    copies = with_set.select("set_key", F.col("doc").alias("b")).join(
+        classes.where("id < last").select("set_key", F.col("id").alias("a")), "set_key").select("a", "b")
+    roots = components(links.unionByName(copies))
+    out = rows.select("doc", "n").join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    component = F.coalesce("root", "doc")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
