@@ -27,8 +27,11 @@ END_ID = 1
 CACHE_CHUNKS = 700_000
 #: Rows whose chunks are looked up at once.
 SLICE_ROWS = 2000
-#: Last code point of the letters that take the short way (Latin scripts).
-LATIN_END = "\u024f"
+#: Last code points of the letters that take the short way (Latin), and of those that end a run of
+#: letters before marks for sure (Latin, Greek and Cyrillic: letters to every version of Unicode).
+LATIN_END, LETTER_END = "\u024f", "\u052f"
+#: Texts that are encoded as a whole.
+WHOLE = "<\\||\u0307"
 
 
 def byte_letters() -> dict[int, str]:
@@ -44,7 +47,8 @@ class ChunkTokenizer(dict):
     The vocabulary lower-cases and never matches across white space, so a text's ids are those
     of its lower-cased chunks in order. Chunks repeat a lot: Arrow numbers the distinct ones of a
     slice of rows, and this dict (chunk -> its ids as bytes) remembers the latest generations of
-    them, a bounded number. A text that may hold a special token is encoded as a whole.
+    them, a bounded number. A text that may hold a special token is encoded as a whole, as is one
+    with a combining dot: it makes another letter of a capital I than of a small one.
     """
 
     #: ASCII marks but the apostrophe, which some patterns join to letters
@@ -57,6 +61,7 @@ class ChunkTokenizer(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.normal = self.tokenizer.normalizer
         self.letters = byte_letters()
         self.old: dict[bytes, bytes] = {}
 
@@ -64,20 +69,26 @@ class ChunkTokenizer(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def chunk_ids(self, chunk: bytes) -> bytes:
-        word, last = chunk.rstrip(self.MARKS), b""
+        word = chunk.rstrip(self.MARKS)
         if word != chunk:
-            if not word or not word.decode()[-1].isalpha():
-                return self.encode(chunk.decode())
-            last = self[chunk[len(word):]]  # a run of letters ends before the marks
+            # a run of letters ends before the marks
+            return self[word] + self[chunk[len(word):]] if self.ends_in_letter(word) else self.encode(chunk.decode())
         if word.isalpha() and word.islower():
             shown = word.decode()
         else:
             plain = word.decode()
             if not (plain.isalpha() and max(plain) <= LATIN_END and plain == plain.lower()):
-                return self.encode(plain) + last
+                return self.encode(plain)
             shown = word.decode("latin-1").translate(self.letters)
         # one run of lower-case composed letters is one word for the vocabulary's model
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes() + last
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def ends_in_letter(self, word: bytes) -> bool:
+        """Whether the vocabulary sees a letter at the word's end: some letters decompose into one and a mark."""
+        if word.isascii():
+            return word[-1:].isalpha()
+        end = (self.normal.normalize_str(word.decode()) if self.normal else word.decode())[-1:]
+        return end.isalpha() and end <= LETTER_END
 
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
@@ -94,7 +105,7 @@ class ChunkTokenizer(dict):
         for at in range(0, len(texts), SLICE_ROWS):
             part = pc.fill_null(texts.slice(at, SLICE_ROWS), "")
             whole = {i: self.encode(part[i].as_py())
-                     for i in np.flatnonzero(pc.match_substring(part, "<|").to_numpy(zero_copy_only=False)).tolist()}
+                     for i in np.flatnonzero(pc.match_substring_regex(part, WHOLE).to_numpy(zero_copy_only=False)).tolist()}
             chunks = pc.ascii_split_whitespace(pc.ascii_lower(part))
             words = chunks.flatten().dictionary_encode()
             ids = [self[w] if w else b"" for w in byte_objects(words.dictionary)]

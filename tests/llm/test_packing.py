@@ -34,6 +34,23 @@ def test_token_ids_equal_the_tokenizer(corpus, spark):
         assert np.frombuffer(raw, "<u4").tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
+def test_token_ids_equal_the_tokenizer_on_any_letters():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(P.vocabulary_path())
+    own = P.tokenizer(P.vocabulary_path())
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(0x80, 0x20000)) if c.isalpha()]
+    # every letter alone and before a mark; then words of letters, marks and blanks
+    texts = ["K\u0130\u015e\u0130. \u0130STANBUL'DAK\u0130, EV\u0130"] + [" ".join(f"{c}. a{c}, {c}" for c in letters[i:i + 200]) for i in range(0, len(letters), 200)]
+    texts += ["iI\u0338\u0307", "I\u093c\u0307 K\u0130\u0307."]
+    few = "\u0130\u0130\u0131iI\u015e\u0958\u0915\u093c\u0301\u0307\u0338e\u00e9\u03a3\u03c3\u1e9e\ufb01\ufb4e"
+    for _ in range(6000):
+        kinds = rng.choice([few, few + "aB", rng.sample(letters, 12)])
+        texts.append("".join(rng.choice([rng.choice(kinds), rng.choice(kinds), rng.choice(" .,!'=<>-\"9\t\u00a0")]) for _ in range(rng.randint(1, 25))))
+    for t, raw in zip(texts, own.texts(P.pa.array(texts, P.pa.string()))):
+        assert np.frombuffer(raw, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
 def test_pieces_cover_documents_and_sequences_are_gapless(corpus, spark):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(P.vocabulary_path())
