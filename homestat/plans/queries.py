@@ -151,12 +151,17 @@ def awkward(df: DataFrame) -> DataFrame:
 
 @query("src_csv_raw")
 def src_csv_raw(spark, sf):
-    """Written with a spreadsheet index column and NA tokens, read back as the cleaner reads it."""
-    path = S.scratch_path(spark, "raw_csv")
+    """Written with a spreadsheet index column and NA tokens, read back as the cleaner reads it.
+
+    Half of the files order their columns the other way round and lack the index column.
+    """
+    paths = [S.scratch_path(spark, "raw_csv"), S.scratch_path(spark, "raw_csv_reversed")]
     listings = awkward(raw(spark, sf)).withColumn("direction", F.when(F.col("floors") == 1, F.lit("N/A")).otherwise(F.col("direction")))
     text = listings.select(F.lit("0").alias("Unnamed: 0"), *[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
-    SK.write_csv(text, path)
-    return C.cast_columns(SF.read_raw_csv(spark, path)).select(*RAW_COLUMNS)
+    first = F.pmod(F.xxhash64("listing_id"), F.lit(2)) == 0
+    SK.write_csv(text.where(first), paths[0])
+    SK.write_csv(text.where(~first).select(*RAW_COLUMNS[::-1]), paths[1])
+    return C.cast_columns(SF.read_raw_csv(spark, paths)).select(*RAW_COLUMNS)
 
 
 @query("src_csv_clean")
