@@ -474,6 +474,10 @@ def build() -> dict[str, str]:
     sql["stream_enrich"] = with_ctes("speed") + f"SELECT {_cols(SPEED_COLUMNS)} FROM speed"
     sql["stream_append"] = with_ctes("speed") + f"SELECT {_cols(SPEED_COLUMNS[:-1])} FROM speed"
     sql["sink_stream_parquet"] = sql["stream_append"]
+    steps = "steps AS (SELECT greatest(10, CAST(ceil(COUNT(*) / 100000.0) AS BIGINT)) AS n FROM messages), " \
+        "late AS (SELECT speed.*, n - ('0x' || substring(md5(listing_id), 1, 8))::BIGINT % n AS age FROM speed, steps)"
+    sql["src_recent_files"] = with_ctes("speed") + f", {steps} SELECT {_cols(SPEED_COLUMNS[:-1])} FROM late WHERE age <= 8"
+    sql["union_recent_files"] = with_ctes("speed") + f", {steps} SELECT district, property_type, COUNT(*) AS rows FROM late WHERE age <= 4 GROUP BY ALL"
     sql["src_kafka_stream"] = with_ctes("messages") + (
         "SELECT listing_id AS key, CAST(to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in CLEAN_COLUMNS)
         + f")) AS VARCHAR) AS value, {ts} AS timestamp FROM messages")

@@ -41,6 +41,7 @@ from homestat.schema import (
 from homestat.sources import files as SF
 from homestat.sources import sinks as SK
 from homestat.sources.tables import LISTING_BASE_URL, listing_cards, raw_listings, table
+from homestat.streaming import published as PB
 from homestat.streaming import speed as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,11 +188,35 @@ def src_speed_parquet(spark, sf):
     return SF.read_speed(spark, path)
 
 
+#: Messages of one envelope file of the stepwise stream, and the fewest files.
+STEP_MESSAGES, LEAST_STEPS = 100_000, 10
+
+
+def stepwise_stream(spark, sf, columns: tuple[str, ...] = ()) -> str:
+    """The output folder of a stream whose batches each bring one envelope file, dealt by a hash of the
+    listing id and taken in the order of the hash; a file of an attempt that never committed stands
+    in the folder, too."""
+    root = S.scratch_path(spark, "steps")
+    arriving = S.materialize(messages(clean(spark, sf)), "messages")
+    steps = max(LEAST_STEPS, -(-arriving.count() // STEP_MESSAGES))
+    step = F.conv(F.substring(F.md5("listing_id"), 1, 8), 16, 10).cast("long") % steps
+    dealt = arriving.withColumn("step", step.cast("int")).repartition(steps, "step")
+    envelopes = ST.to_envelope(dealt).withColumn("step", F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("long") % steps)
+    envelopes.write.partitionBy("step").parquet(f"{root}/in")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for k in range(steps):  # the file source takes older files first
+        for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/in/step={k}/*.parquet")):
+            fs.setTimes(found.getPath(), 1_700_000_000_000 + 60_000 * k, -1)
+    src = ST.read_envelope_files(spark, f"{root}/in/*", max_files_per_trigger=1)
+    ST.start_append(ST.enrich(ST.parse(src)), f"{root}/out", f"{root}/ckpt", trigger=None).awaitTermination()
+    SF.read_speed(spark, f"{root}/out").limit(5).write.mode("append").parquet(f"{root}/out")
+    return f"{root}/out"
+
+
 @query("src_recent_files")
 def src_recent_files(spark, sf):
-    path = S.scratch_path(spark, "speed_files")
-    speed(spark, sf).write.parquet(path)
-    return SF.recent_files(spark, path)
+    """The rows of the eight files that the stream committed last."""
+    return SF.recent_files(spark, stepwise_stream(spark, sf)).drop("ingestion_time")
 
 
 @query("src_kafka_stream")
@@ -267,12 +292,23 @@ def sink_export_views(spark, sf):
 
 @query("sink_stream_parquet")
 def sink_stream_parquet(spark, sf):
-    return stream_append(spark, sf)
+    """A stream's many files, compacted in two runs and read as one table."""
+    out = stepwise_stream(spark, sf)
+    table = PB.CompactedStream(spark, out, f"{out}-compacted", run_files=LEAST_STEPS // 2)
+    table.compact()
+    table.compact()
+    return table.read(SPEED_SCHEMA).drop("ingestion_time")
 
 
 @query("sink_stream_complete")
 def sink_stream_complete(spark, sf):
-    return stream_agg_complete(spark, sf)
+    """Versions of a growing aggregate: replaying the last one changes nothing."""
+    table = PB.Snapshots(spark, S.scratch_path(spark, "versions"))
+    c = S.materialize(replayed(clean_once(spark, sf, *DASHBOARD)), "speed")
+    table.write(ST.live_aggregate(c.where("price_billion < 5")), 0)
+    table.write(ST.live_aggregate(c), 1)
+    table.write(ST.live_aggregate(c.limit(0)), 1)
+    return table.read()
 
 
 @query("sink_kafka_json")
@@ -768,7 +804,9 @@ def union_category_map(spark, sf):
 
 @query("union_recent_files")
 def union_recent_files(spark, sf):
-    return src_recent_files(spark, sf)
+    """The newest committed files put together, counted by district and type."""
+    recent = SF.recent_files(spark, stepwise_stream(spark, sf), RECENT_FILES // 2)
+    return recent.groupBy("district", "property_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---- 2.8 sort / limit ------------------------------------------------------------------
@@ -925,18 +963,11 @@ def stream_append(spark, sf):
 
 @query("stream_agg_complete")
 def stream_agg_complete(spark, sf):
-    """Live aggregate in complete mode; each trigger's full result overwrites a Parquet table."""
+    """Live aggregate in complete mode; each trigger's full result is published as a version."""
     root, src = _stream_files(spark, sf)
-    out = f"{root}/agg"
-
-    def write(batch: DataFrame, _id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (ST.live_aggregate(ST.enrich(ST.parse(src))).writeStream.outputMode("complete")
-         .option("checkpointLocation", f"{root}/ckpt").foreachBatch(write)
-         .trigger(availableNow=True).start())
+    q = PB.start_snapshots(ST.live_aggregate(ST.enrich(ST.parse(src))), f"{root}/agg", f"{root}/ckpt", trigger=None)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return PB.Snapshots(spark, f"{root}/agg").read()
 
 
 @query("stream_run")

@@ -19,16 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homestat.session import materialize
+from homestat.sources.paths import one_name
 
 HEAD_THREADS = 16
 SPLIT = ["file", "block"]
 
 
-def one_name(file: Column) -> Column:
-    """Local files are listed with three slashes and read with one."""
-    return F.regexp_replace(file, "^file:/+", "file:/")
-
-
 def input_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, block, value, quotes) of every line; ``block`` is where the line's split starts in its file."""
     lines = spark.read.option("lineSep", "\n").text(path)
