@@ -1,8 +1,7 @@
 """DuckDB SQL twin of each registered query (same column names and meaning).
 
-Queries whose result depends on a fitted model, a random split, file
-modification times or an unordered limit have no entry here; they are checked
-by row count and by the unit tests instead.
+Queries whose rows the data alone do not define (an unordered head) have no
+entry here; they are checked by row count and by the unit tests instead.
 """
 
 from __future__ import annotations
@@ -17,13 +16,18 @@ from homestat.checks.duckdb_sql import (
     rnd,
     with_ctes,
 )
+from homestat.checks.model_sql import kmeans_ctes, predicted, regression_ctes
 from homestat.constants import (
+    COEF_FEATURES,
     EMPTY_TITLE,
+    FEATURE_LABELS,
+    METRIC_NAMES,
     NULL_BAD_PCT,
     NULL_WARN_PCT,
     PRICE_MAX,
     PRICE_MIN,
     PRICE_TIER_LABELS,
+    SEGMENT_NAMES,
     TITLE_MAX_CHARS,
     UNIT_BILLION,
     UNIT_MILLION,
@@ -458,6 +462,40 @@ def build() -> dict[str, str]:
     sql["ml_split"] = with_ctes("clean") + f", {keyed} SELECT * EXCLUDE (in_train), CASE WHEN in_train THEN 'train' ELSE 'test' END AS part FROM keyed"
     train = f"{keyed}, model AS (SELECT * FROM keyed WHERE in_train), {_index_cte('property_type', 'ti')}, {_index_cte('district', 'di')}"
     sql["ml_category_map"] = with_ctes("clean") + f", {train} SELECT * FROM ti UNION ALL SELECT * FROM di"
+    fit = with_ctes("clean") + f", {train}, {regression_ctes()}"
+    labelled = "CASE feature " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in FEATURE_LABELS.items()) + " ELSE feature END"
+    nine = lambda c: f"{rnd(c, 9)} AS {c}"
+    coef = f"coef AS (SELECT unnest([{', '.join(q(n) for n in COEF_FEATURES)}]) AS feature, unnest([{', '.join(f'c{i}' for i in range(1, 7))}]) AS coefficient FROM fitted)"
+    sql["ml_coefficients"] = fit + f", {coef} SELECT feature, {nine('coefficient')} FROM coef"
+    sql["sort_coefficients"] = fit + f", {coef} SELECT feature, {nine('coefficient')}, {labelled} AS label, CASE WHEN coefficient < 0 THEN 'negative' ELSE 'positive' END AS sign FROM coef"
+    parameters = ["intercept", "coef_area_m2", "coef_bedrooms", "coef_bathrooms", "coef_floors", "coef_property_type", "coef_district"]
+    sql["ml_model_params"] = sql["ml_linreg"] = fit + " SELECT " + ", ".join(
+        f"{rnd(c, 9)} AS {p}" for c, p in zip(["intercept", *[f"c{i}" for i in range(1, 7)]], parameters)) + " FROM fitted"
+    tested = f"""tested AS (SELECT keyed.*, price_billion AS actual, {predicted()} AS prediction FROM keyed, fitted, ti, di
+        WHERE NOT in_train AND property_type = ti.label AND district = di.label)"""
+    shown = f"actual, {rnd('prediction', 3)} AS predicted, property_type, district, area_m2"
+    first = f"SELECT {shown} FROM tested ORDER BY listing_id, {_cols(LR_NUM_FEATURES)}, price_billion LIMIT 800"
+    sql["ml_predictions"] = fit + f", {tested} SELECT {shown} FROM tested"
+    sql["limit_predictions"] = fit + f", {tested} {first}"
+    sql["pred_plot_filter"] = fit + f", {tested}, sampled AS MATERIALIZED ({first}), top AS (SELECT quantile_cont(actual, 0.95) AS p FROM sampled) " \
+        "SELECT sampled.* FROM sampled, top WHERE actual <= p AND predicted <= 1.5 * p"
+    values = ["round(1 - mse / v, 4)", "round(sqrt(mse), 3)", "round(mae, 3)", "(SELECT COUNT(*) FROM keyed WHERE in_train)", "(SELECT COUNT(*) FROM keyed WHERE NOT in_train)"]
+    sql["ml_eval"] = fit + f""", {tested}, e AS (SELECT AVG((prediction - actual) * (prediction - actual)) AS mse, AVG(abs(prediction - actual)) AS mae, var_pop(actual) AS v FROM tested)
+      SELECT unnest([{', '.join(q(m) for m in METRIC_NAMES)}]) AS metric, unnest([{', '.join(f'{v}::DOUBLE' for v in values)}]) AS value FROM e"""
+    raw_price = predicted(kind='COALESCE(ti."index", 0.0)', district='COALESCE(di."index", 0.0)')
+    sql["score_fitted"] = fit + f""", s AS (SELECT listing_id, area_m2, {raw_price} AS p FROM clean c CROSS JOIN fitted
+        LEFT JOIN ti ON c.property_type = ti.label LEFT JOIN di ON c.district = di.label),
+      priced AS (SELECT *, CASE WHEN p > 0 THEN p ELSE 0.0 END AS price FROM s)
+      SELECT listing_id, {rnd('price', 6)} AS predicted_price, {rnd('CASE WHEN area_m2 > 0 THEN price / area_m2 * 1000 ELSE 0.0 END', 6)} AS predicted_price_per_m2 FROM priced"""
+    clusters = with_ctes("clean") + f", {kmeans_ctes()}"
+    stats = f"""stats AS (SELECT cluster, COUNT(*) AS count, {rnd('AVG(price_billion)', 3)} AS avg_price, {rnd('AVG(area_m2)', 1)} AS avg_area,
+        {rnd('AVG(price_per_m2_million)', 1)} AS avg_price_per_m2 FROM clustered GROUP BY cluster)"""
+    segment = f"segment AS (SELECT cluster, [{', '.join(q(n) for n in SEGMENT_NAMES)}][row_number() OVER (ORDER BY avg_price, cluster)] AS segment FROM stats)"
+    sql["ml_kmeans"] = clusters + " SELECT * FROM clustered"
+    sql["cluster_stats"] = clusters + f", {stats} SELECT * FROM stats"
+    sql["ml_segments"] = clusters + f", {stats}, {segment} SELECT * FROM clustered JOIN segment USING (cluster)"
+    sql["map_lookup"] = clusters + f", {stats}, {segment} SELECT listing_id, cluster, segment FROM clustered JOIN segment USING (cluster)"
+    sql["join_cluster_names"] = clusters + f", {stats}, {segment} SELECT * FROM stats JOIN segment USING (cluster)"
     sql["score_listings"] = with_ctes("clean") + f""", {MODEL}, {_index_cte('property_type', 'ti')}, {_index_cte('district', 'di')},
       s AS (SELECT listing_id, area_m2, 1.5::DOUBLE + 0.03::DOUBLE * area_m2 + 0.25::DOUBLE * bedrooms + (-0.5)::DOUBLE * bathrooms
               + 0.125::DOUBLE * floors + (-1.75)::DOUBLE * COALESCE(ti."index", 0.0) + 0.0625::DOUBLE * COALESCE(di."index", 0.0) AS p

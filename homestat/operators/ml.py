@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.constants import COEF_FEATURES, FEATURE_LABELS, METRIC_NAMES, SEGMENT_NAMES
+from homestat.operators import kmeans
 from homestat.operators.quantiles import exact_quantile
 from homestat.operators.views import cluster_stats
 from homestat.schema import KMEANS_FEATURES, LR_CAT_FEATURES, LR_LABEL, LR_NUM_FEATURES
@@ -51,6 +52,7 @@ def zscores(df: DataFrame) -> DataFrame:
 
 
 def fit_kmeans(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 30) -> PipelineModel:
+    """Spark ML's fit (random seeds by partition); ``kmeans.fit`` is the repeatable one."""
     stages = assemble_scale(df).getStages() + [
         KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed, maxIter=max_iter)]
     return Pipeline(stages=stages).fit(df)
@@ -73,11 +75,10 @@ class Segments:
     stats_named: DataFrame
 
 
-def segments(clean: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 30) -> Segments:
-    """Fit, assign, name clusters; drop the vector columns."""
+def segments(clean: DataFrame, k: int = 5, max_iter: int = 30) -> Segments:
+    """Fit, assign, name clusters.  ``clean`` is scanned once a step: hand in a written table."""
     data = kmeans_input(clean)
-    model = fit_kmeans(data, k, seed, max_iter)
-    assigned = model.transform(data).drop("raw_features", "features")
+    assigned = kmeans.fit(data, k, max_iter).assign(data)
     stats = cluster_stats(assigned)
     names = segment_table(stats)
     # names has k rows (k is a parameter, not data-dependent): safe to broadcast.

@@ -21,6 +21,7 @@ from homestat.functions import parse as FP
 from homestat.operators import clean as C
 from homestat.operators import explore as E
 from homestat.operators import html as H
+from homestat.operators import kmeans
 from homestat.operators import ml as M
 from homestat.operators import profile as P
 from homestat.operators import serve as SV
@@ -31,6 +32,7 @@ from homestat.constants import PREDICTION_ROWS, RECENT_FILES
 from homestat.schema import (
     CLEAN_SCHEMA,
     DETAIL_COLUMNS,
+    KMEANS_FEATURES,
     LR_CAT_FEATURES,
     LR_LABEL,
     LR_NUM_FEATURES,
@@ -99,6 +101,10 @@ DASHBOARD = ("listing_id", "property_type", "district", "city", "price_billion",
              "price_tier", "legal_status", "direction", "scraped_at")
 
 
+MODEL_COLUMNS = ("listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+KMEANS_COLUMNS = ("listing_id", "property_type", "district", "city", *KMEANS_FEATURES)
+
+
 def messages(c: DataFrame) -> DataFrame:
     """What the stream brings: not the batch rows again.  One region never arrives, rows of one region
     carry district names that the batch lacks, and the second line of every order is delivered twice."""
@@ -527,7 +533,7 @@ def select_columns(spark, sf):
 
 @query("map_lookup")
 def map_lookup(spark, sf):
-    seg = M.segments(clean_once(spark, sf))
+    seg = M.segments(clean_once(spark, sf, *KMEANS_COLUMNS))
     return seg.clustered.select("listing_id", "cluster", "segment")
 
 
@@ -624,7 +630,7 @@ def speed_latest(spark, sf):
 
 @query("cluster_stats")
 def cluster_stats(spark, sf):
-    return M.segments(clean_once(spark, sf)).stats
+    return M.segments(clean_once(spark, sf, *KMEANS_COLUMNS)).stats
 
 
 @query("kpi_cards")
@@ -762,7 +768,7 @@ def prof_summary(spark, sf):
 
 @query("join_cluster_names")
 def join_cluster_names(spark, sf):
-    return M.segments(clean_once(spark, sf)).stats_named
+    return M.segments(clean_once(spark, sf, *KMEANS_COLUMNS)).stats_named
 
 
 @query("merge_by_district")
@@ -782,7 +788,7 @@ def weighted_merge_avg(spark, sf):
 
 @query("lookup_category_index")
 def lookup_category_index(spark, sf):
-    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+    c = clean_once(spark, sf, *MODEL_COLUMNS)
     return M.with_category_index(c, category_index(c)).select(
         "listing_id", F.col("property_type_idx").alias("type_idx"), F.col("district_idx").alias("dist_idx"))
 
@@ -837,9 +843,14 @@ def stats_top10(spark, sf):
     return E.top_n(stats, [F.desc("total_listings"), F.asc_nulls_first("district"), F.asc_nulls_first("city")], 10)
 
 
+def settled(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Fitted numbers to some digits: the last ones depend on the order of addition."""
+    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema.fields if f.dataType.typeName() == "double"})
+
+
 @query("sort_coefficients")
 def sort_coefficients(spark, sf):
-    return M.sorted_coefficients(M.coefficients(M.train_price_model(clean_once(spark, sf))))
+    return settled(M.sorted_coefficients(M.coefficients(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)))))
 
 
 @query("sample_500")
@@ -849,25 +860,25 @@ def sample_500(spark, sf):
 
 @query("limit_predictions")
 def limit_predictions(spark, sf):
-    return M.predictions(M.train_price_model(clean_once(spark, sf)), PREDICTION_ROWS)
+    return M.predictions(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)), PREDICTION_ROWS)
 
 
 # ---- 2.10 machine learning -----------------------------------------------------------
 
 @query("ml_assemble_scale")
 def ml_assemble_scale(spark, sf):
-    return M.zscores(M.kmeans_input(clean_once(spark, sf)))
+    return M.zscores(M.kmeans_input(clean_once(spark, sf, *KMEANS_COLUMNS)))
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
-    data = M.kmeans_input(clean_once(spark, sf))
-    return M.fit_kmeans(data).transform(data).drop("raw_features", "features")
+    data = M.kmeans_input(clean_once(spark, sf, *KMEANS_COLUMNS))
+    return kmeans.fit(data).assign(data)
 
 
 @query("ml_segments")
 def ml_segments(spark, sf):
-    return M.segments(clean_once(spark, sf)).clustered
+    return M.segments(clean_once(spark, sf, *KMEANS_COLUMNS)).clustered
 
 
 @query("ml_string_index")
@@ -883,54 +894,54 @@ def ml_split(spark, sf):
 
 @query("ml_linreg")
 def ml_linreg(spark, sf):
-    return M.model_params(M.train_price_model(clean_once(spark, sf)))
+    return settled(M.model_params(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS))))
 
 
 @query("ml_eval")
 def ml_eval(spark, sf):
-    return M.metrics(M.train_price_model(clean_once(spark, sf)))
+    return M.metrics(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)))
 
 
 @query("ml_coefficients")
 def ml_coefficients(spark, sf):
-    return M.coefficients(M.train_price_model(clean_once(spark, sf)))
+    return settled(M.coefficients(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS))))
 
 
 @query("ml_predictions")
 def ml_predictions(spark, sf):
-    return M.predictions(M.train_price_model(clean_once(spark, sf)))
+    return M.predictions(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)))
 
 
 @query("ml_category_map")
 def ml_category_map(spark, sf):
-    return M.category_map(M.train_price_model(clean_once(spark, sf)))
+    return M.category_map(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)))
 
 
 @query("ml_model_params")
 def ml_model_params(spark, sf):
-    return M.model_params(M.train_price_model(clean_once(spark, sf)))
+    return settled(M.model_params(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS))))
 
 
 @query("score_listings")
 def score_listings(spark, sf):
     """Scored with given parameters, so that the arithmetic can be compared row by row."""
-    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+    c = clean_once(spark, sf, *MODEL_COLUMNS)
     return M.score(c, SCORE_PARAMS, category_index(c)).select("listing_id", "predicted_price", "predicted_price_per_m2")
 
 
 @query("score_fitted")
 def score_fitted(spark, sf):
     """Scored with the fitted model's parameters and labels."""
-    c = clean_once(spark, sf, "listing_id", *LR_NUM_FEATURES, *LR_CAT_FEATURES, LR_LABEL)
+    c = clean_once(spark, sf, *MODEL_COLUMNS)
     pm = M.train_price_model(c)
-    return M.score(c, M.params_dict(M.model_params(pm)), M.category_map(pm)) \
-        .select("listing_id", "predicted_price", "predicted_price_per_m2")
+    return settled(M.score(c, M.params_dict(M.model_params(pm)), M.category_map(pm)).select(
+        "listing_id", "predicted_price", "predicted_price_per_m2"), 6)
 
 
 @query("pred_plot_filter")
 def pred_plot_filter(spark, sf):
     # written once: the quantile and the filter must see the same rows
-    sample = S.materialize(M.predictions(M.train_price_model(clean_once(spark, sf)), PREDICTION_ROWS), "predictions")
+    sample = S.materialize(M.predictions(M.train_price_model(clean_once(spark, sf, *MODEL_COLUMNS)), PREDICTION_ROWS), "predictions")
     return M.plot_filter(sample)
 
 
