@@ -1,8 +1,9 @@
 """URL filters by association rules.
 
 Pages that a listed host rule decides are the labelled ones. FP-growth mines combinations of URL
-tokens that go with a label; rules pruned by support, confidence and redundancy decide the other
-pages, found through an inverted index from token to rules. Everything is DataFrame code.
+tokens that go with a label, one length of combination after the other; rules pruned by support,
+confidence and redundancy decide the other pages, found through an inverted index from token to
+rules. Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestat.llm.common import LOWER, UPPER, fresh_name, table
+from homestat.llm.common import LOWER, UPPER, fresh_name, stored, table
 
 #: The listed rules (verdict, host, path).
 LISTED = (
@@ -34,6 +35,8 @@ class Mining:
     max_tokens: int = 3
     #: rules sent to the driver and compiled into the index; more is an error, never a cut
     max_rules: int = 5000
+    #: frequent combinations of one length; more is an error, never a cut
+    max_combinations: int = 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -67,36 +70,77 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.coalesce(all_, F.array().cast("array<string>")))
 
 
+def longer(known: Column, size: int) -> Column:
+    """Combinations of ``size`` tokens from pairs of known ones (sorted arrays) that differ in their last token only."""
+    def grown(p: Column) -> Column:
+        ends = F.filter(known, lambda q: (F.slice(q, 1, size - 2) == F.slice(p, 1, size - 2)) & (q[size - 2] > p[size - 2]))
+        return F.transform(ends, lambda q: F.array_append(p, q[size - 2]))
+
+    return F.flatten(F.transform(known, grown))
+
+
+def mine_level(combos: DataFrame, least: int, how: Mining) -> tuple[dict[tuple, int], set[tuple], list[tuple]]:
+    """FP-growth over (combination, label) pairs: (pages of each frequent combination, those that one
+    label does not decide alone, rules as (tokens, verdict, confidence, pages))."""
+    items = combos.select(F.array(F.to_json("combo"), F.concat(F.lit("label:"), F.col("verdict"))).alias("items"))
+    n = items.count()
+    if not n:
+        return {}, set(), []
+    # the support is a count of pages, not a share of the pairs: half below it, so that rounding cannot matter
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=how.min_confidence).fit(items)
+    one = F.get(F.filter("items", lambda t: ~t.isin(ALLOW, BLOCK)), 0)
+    sets = model.freqItemsets.select(F.from_json(one, "array<string>").alias("combo"), F.size("items").alias("size"), "freq") \
+        .where("combo is not null").limit(how.max_combinations + 1).collect()
+    if len(sets) > how.max_combinations:
+        raise ValueError(f"more than {how.max_combinations} combinations: raise min_support or max_combinations")
+    pages = {tuple(r.combo): r.freq for r in sets if r.size == 1}
+    mixed = {tuple(r.combo) for r in sets if r.size == 2 and r.freq < pages[tuple(r.combo)]}
+    left, right = F.col("antecedent")[0], F.col("consequent")[0]
+    rules = model.associationRules.where((F.size("antecedent") == 1) & right.isin(ALLOW, BLOCK)).select(
+        F.from_json(left, "array<string>").alias("tokens"), F.substring(right, 7, 5).alias("verdict"), "confidence",
+        F.round(F.col("support") * n).cast("long").alias("pages"))
+    return pages, mixed, [(tuple(r.tokens), r.verdict, r.confidence, r.pages) for r in rules.collect()]
+
+
 def mine(labelled: DataFrame, how: Mining = Mining()) -> list[tuple[list[str], str, float, int]]:
     """(tokens, verdict, confidence, pages) of the rules mined from (tokens, verdict) rows.
 
-    Only tokens that reach the support can be in a rule, so rarer ones are not sent to FP-growth.
     A rule is redundant if a part of its tokens gives the same verdict with no less confidence.
-    The best come first: confidence, then pages, then fewer tokens.
+    So a combination is grown only while its parts leave something to decide: a combination on
+    as many pages as one of its parts, or with pages of one label only, has no longer rule worth
+    keeping. No combination is longer than ``max_tokens``, however many tokens the pages share.
+    The best rules come first: confidence, then pages, then fewer tokens.
     """
+    labelled = stored(labelled.select(F.array_sort(F.array_distinct("tokens")).alias("tokens"), "verdict"), "labelled")
     n = labelled.count()
     if not n:
         return []
     least = max(1, -int(-how.min_support * n // 1))
-    common = labelled.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") >= least)
-    vocabulary = [r.t for r in common.select("t").collect()]  # at most tokens a page / min_support
-    items = F.array_append(F.filter("tokens", lambda t: t.isin(vocabulary)) if vocabulary else F.array().cast("array<string>"),
-                           F.concat(F.lit("label:"), F.col("verdict")))
-    model = FPGrowth(itemsCol="items", minSupport=how.min_support, minConfidence=how.min_confidence).fit(labelled.select(items.alias("items")))
-    left, right = F.col("antecedent"), F.col("consequent")[0]
-    rules = model.associationRules.where(right.isin(ALLOW, BLOCK) & (F.size(left) <= how.max_tokens)
-                                         & ~F.exists(left, lambda t: t.isin(ALLOW, BLOCK)))
-    found = rules.select(F.array_sort(left).alias("tokens"), F.substring(right, 7, 5).alias("verdict"), "confidence",
-                         F.round(F.col("support") * n).cast("long").alias("pages")).limit(how.max_rules + 1).collect()
-    if len(found) > how.max_rules:
-        raise ValueError(f"more than {how.max_rules} rules: raise min_support, min_confidence or max_rules")
-    order = sorted(found, key=lambda r: (len(r.tokens), r.tokens, r.verdict))
+    known = F.transform("tokens", lambda t: F.array(t))
+    found: list[tuple] = []
+    pages: dict[tuple, int] = {}
+    for size in range(1, how.max_tokens + 1):
+        combos = labelled.select(F.explode(known if size == 1 else longer(known, size)).alias("combo"), "verdict")
+        level, mixed, rules = mine_level(combos, least, how)
+        fewer = {c for c in level if all(level[c] < pages.get(c[:i] + c[i + 1:], n + 1) for i in range(size))}
+        found += [r for r in rules if r[0] in fewer]
+        if len(found) > how.max_rules:
+            raise ValueError(f"more than {how.max_rules} rules: raise min_support, min_confidence or max_rules")
+        pages |= level
+        grow = sorted(json.dumps(c, ensure_ascii=False, separators=(",", ":")) for c in fewer & mixed)
+        if not grow:
+            break
+        # the page's combinations that can still grow
+        keep = F.array(*[F.from_json(F.lit(c), "array<string>") for c in grow])
+        labelled = stored(labelled.select("tokens", "verdict", F.array_intersect(
+            known if size == 1 else longer(known, size), keep).alias("known")), "grown")
+        known = F.col("known")
     kept: list = []
-    for r in order:
-        if not any(k.verdict == r.verdict and k.confidence >= r.confidence and set(k.tokens) < set(r.tokens) for k in kept):
+    for r in sorted(found, key=lambda r: (len(r[0]), r[0], r[1])):
+        if not any(k[1] == r[1] and k[2] >= r[2] and set(k[0]) < set(r[0]) for k in kept):
             kept.append(r)
-    kept.sort(key=lambda r: (-r.confidence, -r.pages, len(r.tokens), r.tokens, r.verdict))
-    return [(list(r.tokens), r.verdict, r.confidence, r.pages) for r in kept]
+    kept.sort(key=lambda r: (-r[2], -r[3], len(r[0]), r[0], r[1]))
+    return [(list(t), verdict, confidence, m) for t, verdict, confidence, m in kept]
 
 
 def best_match(tokens: Column, rules: list[tuple[list[str], str, float, int]]) -> Column:
@@ -118,7 +162,9 @@ def best_match(tokens: Column, rules: list[tuple[list[str], str, float, int]]) -
         (index.setdefault(min(tokens_, key=lambda t: (uses[t], t)), []) if tokens_ else always).append(entry)
     entry = "array<struct<k:int,tokens:array<string>,verdict:string>>"
     postings = F.from_json(F.lit(json.dumps(index)), f"map<string,{entry}>")
-    candidates = F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(postings, t), F.array().cast(entry))))
+    # a hashed look-up first: a map is searched key by key
+    indexed = F.filter(tokens, lambda t: t.isin(list(index))) if index else tokens
+    candidates = F.flatten(F.transform(indexed, lambda t: F.coalesce(F.try_element_at(postings, t), F.array().cast(entry))))
     if always:
         candidates = F.concat(candidates, F.from_json(F.lit(json.dumps(always)), entry))
     fitting = F.filter(candidates, lambda r: F.size(F.array_except(r["tokens"], tokens)) == 0)

@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -57,6 +58,32 @@ def test_matches_brute_force(spark, corpus):
     assert {"allow", "block"} == {v for _, _, rule, v in want if rule is None}
 
 
+def judged(spark, urls):
+    out = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")).orderBy("page_id").collect()
+    return [(r.host, r.path, r.rule, r.verdict) for r in out]
+
+
+def test_many_shared_fields_stay_cheap(spark):
+    fields = "&".join(f"utm{i}=x" for i in range(40))
+    hosts = ["a.net", "b.example.com", "c.example.net", "d.org"]
+    paths = ["/de/x", "/en/y", "/fr/z"]
+    urls = [f"https://{hosts[i % 4]}{paths[i % 3]}?{fields}" for i in range(60)] + [f"http://other.dev/{p}?{fields}" for p in "ab"]
+    assert judged(spark, urls) == brute(urls)[0]
+
+
+def test_fields_on_some_pages_match_brute_force(spark):
+    own = random.Random(3)
+    hosts = ["a.net", "b.example.com", "c.example.net", "d.org", "e.dev", "f.dev"]
+    urls = []
+    for _ in range(150):
+        host = own.choice(hosts)
+        fields = [f"q{i}=1" for i in range(14) if own.random() < (0.95 if i < 5 else 0.3 + 0.5 * (host < "c"))]
+        urls.append(f"https://{host}/{own.choice(['de', 'en', 'fr'])}/p?{'&'.join(fields)}")
+    want, rules = brute(urls)
+    assert len({len(r[0]) for r in rules}) > 1
+    assert judged(spark, urls) == want
+
+
 def test_no_labelled_page_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "http://x.dev/a", "h"), (1, "http://x.dev/a", "h"), (None, None, None)], "page_id long, url string, host string")
     out = U.judge(pages)
