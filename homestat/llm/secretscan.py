@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homestat.llm.common import fresh_name, scratch, stored, table
@@ -42,41 +42,49 @@ BASE = (
 EXTRA = (
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]+=*", 27, ()),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]+", 40, ("gho_", "ghp_", "ghs_", "ghu_")),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 32, ("eyJ",)),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 32, ("eyJ",)),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 27, ("PRIVATE KEY-----",)),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15, ("xox",)),
-    Rule("urlauth", r"[a-z]+://[^\s/:@]+:[^\s/:@]+@", 8, ("://",)),
+    # from the start of a run of letters only: any later start would match up to the same end
+    Rule("urlauth", r"(?<![a-z])[a-z]++://[^\s/:@]++:[^\s/:@]++@", 8, ("://",)),
 )
 RULES = BASE + EXTRA
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 LEDGER = f"blob binary, scanned array<string>, spans array<{SPAN}>"
 
 
-def find(text: Column, rule: Rule, rank: int) -> Column:
-    """The rule's spans in code points. Gaps and matches alternate, so their lengths give the places."""
+STEPS = "array<struct<gap:int,size:int,good:boolean>>"
+
+
+def steps(text: Column, rule: Rule) -> Column:
+    """(gap before it, length, long enough) of the rule's matches, in order, in code points."""
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
     gaps = F.split(text, rule.pattern, -1)
-    # lengths of gap and match in turn, for the matches only
-    steps = F.transform(matches, lambda m, i: F.struct(
-        F.char_length(F.get(gaps, i)).alias("gap"), F.char_length(m).alias("size"),
-        (F.char_length(F.get(judged, i)) >= rule.least).alias("good")))
-    none = F.array().cast(f"array<{SPAN}>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-
-    def step(state: Column, s: Column) -> Column:
-        start = state["at"] + s["gap"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
-                        (start + s["size"]).alias("end"))
-        return F.struct((start + s["size"]).alias("at"),
-                        F.when(s["good"], F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
-
+    # side by side first: inside a lambda the arrays would be made again for every match
+    beside = F.arrays_zip(matches.alias("m"), judged.alias("j"), gaps.alias("g"))
+    found = F.transform(F.filter(beside, lambda s: s["m"].isNotNull()), lambda s: F.struct(
+        F.char_length(s["g"]).alias("gap"), F.char_length(s["m"]).alias("size"), (F.char_length(s["j"]) >= rule.least).alias("good")))
     candidate = text.rlike(rule.pattern)
     for k, need in enumerate(rule.needs):
         some = F.contains(text, F.lit(need)) if not k else some | F.contains(text, F.lit(need))
     if rule.needs:
         candidate = some & candidate
-    return F.when(candidate, F.aggregate(steps, zero, step, lambda s: s["spans"])).otherwise(none)
+    return F.when(candidate, found).otherwise(F.array().cast(STEPS))
+
+
+def located(stepped: DataFrame) -> DataFrame:
+    """(blob, spans) of the good matches in ``stepped`` (blob, found: array of rank, kind, steps).
+
+    A match starts where all gaps and matches of its rule before it end: a running sum over the
+    matches of one blob and rule, so the work grows with the matches, not with their square.
+    """
+    of_rule = stepped.select("blob", F.explode("found").alias("f"))
+    every = of_rule.select("blob", "f.rank", "f.kind", F.posexplode("f.steps").alias("i", "s"))
+    so_far = Window.partitionBy("blob", "rank").orderBy("i")
+    placed = every.withColumn("end", F.sum(F.col("s.gap") + F.col("s.size")).over(so_far).cast("int")).where("s.good")
+    span = F.struct((F.col("end") - F.col("s.size")).alias("start"), "rank", "kind", "end")
+    return placed.groupBy("blob").agg(F.array_sort(F.collect_list(span)).cast(f"array<{SPAN}>").alias("spans"))
 
 
 def blob_of(text: Column) -> Column:
@@ -90,9 +98,13 @@ class Ledger:
         self.spark = spark
         self.path = path or scratch(spark, "ledger")
 
+    def empty(self) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return not fs.exists(folder) or not any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(folder))
+
     def rows(self) -> DataFrame:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs_path):
+        if self.empty():
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(self.path)
 
@@ -100,24 +112,35 @@ class Ledger:
         """Scan the blobs of ``versions`` (any historical versions) for the rule versions they lack.
 
         Copies are folded in the map tasks, so a blob that a third of all rows hold is scanned
-        once and shuffled once a task. The ledger holds only digests and spans, never texts.
+        once and shuffled once a task. A ledger with entries is asked for digests first, and only
+        texts of blobs that lack a rule version are moved. The ledger holds digests and spans, never texts.
         """
         every = F.array(*[F.lit(r.key) for r in rules])
         texts = versions.select(blob_of(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        known = self.rows().groupBy("blob").agg(F.flatten(F.collect_list("scanned")).alias("seen"))
-        blobs = texts.groupBy("blob").agg(F.first("text").alias("text")).join(known, "blob", "left")
-        todo = blobs.select("blob", "text", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("scanned"))
-        todo = todo.where(F.size("scanned") > 0)
-        none = F.array().cast(f"array<{SPAN}>")
-        found = [F.when(F.array_contains("scanned", r.key), find(F.col("text"), r, i)).otherwise(none) for i, r in enumerate(rules)]
-        todo.select("blob", "scanned", F.array_sort(F.concat(*found)).alias("spans")).write.mode("append").parquet(self.path)
+        if self.empty():
+            missing = texts.withColumn("scanned", every)
+        else:
+            # digests first: texts of blobs that lack no rule version are not moved
+            known = self.rows().groupBy("blob").agg(F.flatten(F.collect_list("scanned")).alias("seen"))
+            lacking = F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("scanned")
+            todo = stored(texts.select("blob").distinct().join(known, "blob", "left").select("blob", lacking).where(F.size("scanned") > 0), "unseen")
+            missing = texts.join(todo, "blob")
+        blobs = missing.groupBy("blob").agg(F.first("text").alias("text"), F.first("scanned").alias("scanned"))
+        none = F.array().cast(STEPS)
+        found = F.filter(F.array(*[
+            F.struct(F.lit(i).alias("rank"), F.lit(r.kind).alias("kind"),
+                     F.when(F.array_contains("scanned", r.key), steps(F.col("text"), r)).otherwise(none).alias("steps"))
+            for i, r in enumerate(rules)]), lambda f: F.size(f["steps"]) > 0)
+        stepped = stored(blobs.select("blob", "scanned", found.alias("found")), "matches")
+        spans = stored(located(stepped), "located")
+        stepped.select("blob", "scanned").join(spans, "blob", "left").select(
+            "blob", "scanned", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans")).write.mode("append").parquet(self.path)
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """(blob, spans) of blobs with findings of these rules, by start and then kind."""
         kinds = [r.kind for r in rules]
-        some = self.rows().where(F.size("spans") > 0)
-        merged = some.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
-        return merged.select("blob", F.array_sort(F.filter("spans", lambda s: s["kind"].isin(kinds))).alias("spans"))
+        every = self.rows().select("blob", F.explode("spans").alias("span")).where(F.col("span.kind").isin(kinds)).distinct()
+        return every.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
 def scan(versions: DataFrame, ledger: Ledger | None = None, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -54,3 +54,25 @@ def test_bearer_in_any_casing(spark):
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in S.scan(docs).collect()}
     rank = [r.kind for r in S.RULES].index("bearer")
     assert got == {i: [] if texts[i].startswith("bearr") else [(0, rank, "bearer", 31)] for i in range(len(texts))}
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+    hexes = " ".join(f"{i:032x}" for i in range(100_000))
+    texts = [hexes, "a" * 1_000_000, "x" * 500_000 + "://me:pw@host " + "y" * 500_000, "a://" * 100_000, "token=abcdefgh " * 20_000, None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    start = time.time()
+    got = {r.doc_id: (r.n, r.last) for r in S.scan(docs).select(
+        "doc_id", S.F.size("spans").alias("n"), S.F.try_element_at("spans", S.F.lit(-1)).alias("last")).collect()}
+    assert time.time() - start < 60
+    assert got[0][0] == 100_000 and tuple(got[0][1]) == (33 * 99_999, 2, "hex", 33 * 99_999 + 32)
+    assert got[1][0] == 1 and [tuple(got[2][1])] == [(0, 8, "urlauth", 500_009)] and got[4][0] == 20_000 and got[5][0] == 0 and got[3][0] == 0
+
+
+def test_second_ingest_moves_no_texts(spark):
+    ledger = S.Ledger(spark)
+    docs = spark.createDataFrame([(i, f"token = abcdefgh{i}" + " word" * 2000) for i in range(40)], "doc_id long, text string")
+    want = sorted(tuple(map(tuple, r.spans)) for r in S.scan(docs, ledger).collect())
+    ledger.ingest(docs)
+    assert ledger.rows().count() == 40
+    assert sorted(tuple(map(tuple, r.spans)) for r in S.scan(docs, ledger).collect()) == want
