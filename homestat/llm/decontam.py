@@ -8,6 +8,7 @@ find is verified word by word, and the hit words are removed as spans or the doc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestat.llm.common import WORD_BYTES, byte_rows, fresh_name, table
+from homestat.llm.common import WORD_BYTES, byte_rows, fresh_name, stored, table
 
 WINDOW = 13
 #: Most windows broadcast at once; a larger benchmark is scanned in several blocks.
@@ -102,20 +103,29 @@ def item_windows(bench: DataFrame, item: str = "item_id", text: str = "text") ->
     return named.mapInArrow(run, "gram binary, item string").distinct()
 
 
-def blocks(bench: DataFrame, limit: int = BLOCK_WINDOWS) -> list[dict[bytes, list[str]]]:
-    """The benchmark's windows in blocks of about ``limit`` (by hash), each small enough to broadcast."""
-    windows = item_windows(bench)
+def blocks(bench: DataFrame, limit: int = BLOCK_WINDOWS) -> Iterator[tuple[dict[bytes, list[str]], bool]]:
+    """The benchmark's windows in blocks of about ``limit`` (by hash), one at a time; and whether it is the last."""
+    windows = stored(item_windows(bench), "windows")
     n = windows.count()
     parts = max(1, -(-n // limit))
-    out = []
     for k in range(parts):
         block: dict[bytes, list[str]] = {}
         for row in windows.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == k).toLocalIterator():
             names = block.setdefault(bytes(row.gram), [])
             if row.item is not None:
                 names.append(row.item)
-        out.append(block)
-    return out
+        yield block, k == parts - 1
+
+
+#: The tables of the block that a Python worker saw last, so that its next task need not build them again.
+_LATEST: dict[str, Grams] = {}
+
+
+def grams_of(key: str, block: dict[bytes, list[str]]) -> Grams:
+    if key not in _LATEST:
+        _LATEST.clear()
+        _LATEST[key] = Grams(block)
+    return _LATEST[key]
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -127,7 +137,8 @@ def scan(docs: DataFrame, bench: DataFrame, text: str = "text", limit: int = BLO
     The column names get underscores if the input has them already; the last three columns are
     the added ones, in this order. No shuffle: each block of the benchmark is broadcast and the
     documents stream past it, handing spans and items on to the next block. Null or empty texts
-    have no words and no hits; so has everything when the benchmark is empty.
+    have no words and no hits; so has everything when the benchmark is empty. With several blocks,
+    what one has found is written before the next one is loaded: the driver and the workers hold one.
     """
     spark = docs.sparkSession
     names = [fresh_name(docs, n) for n in ("n_words", "spans", "items")]
@@ -135,13 +146,13 @@ def scan(docs: DataFrame, bench: DataFrame, text: str = "text", limit: int = BLO
                            T.StructField(names[1], SPANS), T.StructField(names[2], T.ArrayType(T.StringType()))])
     at, width = docs.columns.index(text), len(docs.columns)
     out = docs
-    for k, block in enumerate(blocks(bench, limit)):
+    for k, (block, last) in enumerate(blocks(bench, limit)):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=not k) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=not k, key=uuid4().hex) -> Iterator[pa.RecordBatch]:
             from pyspark.sql.pandas.types import to_arrow_type
             kinds = [to_arrow_type(f.dataType) for f in schema.fields[width:]]
-            grams = Grams(shared.value)
+            grams = grams_of(key, shared.value)
             for batch in batches:
                 counts, spans, items = [], [], []
                 before = None if first else [batch.column(width + j).to_pylist() for j in (1, 2)]
@@ -158,6 +169,9 @@ def scan(docs: DataFrame, bench: DataFrame, text: str = "text", limit: int = BLO
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=schema.names)
 
         out = out.mapInArrow(run, schema)
+        if not last:
+            out = stored(out, "scanned")
+            shared.unpersist()
     return out
 
 
