@@ -48,6 +48,27 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def write_line(spark: SparkSession, path: str, line: str) -> None:
+    """A file of one line that is seen whole or not at all: written beside its place, then renamed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    part, target = hadoop(f"{path.rsplit('/', 1)[0]}/_part-{uuid.uuid4().hex}"), hadoop(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(part)
+    try:
+        out.write(bytearray(line.encode() + b"\n"))
+    finally:
+        out.close()
+    if not fs.rename(part, target):
+        raise RuntimeError(f"another writer made {path}")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (cuts lineage, survives lost executors)."""
     path = scratch(df.sparkSession, name)

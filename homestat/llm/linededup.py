@@ -1,20 +1,26 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-State is a set of runs: Parquet tables sorted by line hash, one record per line key with the
-number of documents that hold it and the largest of their ids. A new batch of documents is
-merge-anti-joined with the runs, which marks its unseen keys, and is added as a run of its own
-at level 0. When a level holds ``fanout`` runs they are merged into one run of the next level.
-Everything is DataFrame code.
+State is a set of runs: Parquet tables bucketed and sorted by line hash, one record per line key
+with the number of documents that hold it and the largest of their ids. A new batch of documents
+is merge-anti-joined with the runs: its unseen keys become a run of its own at level 0, the other
+keys an update of records that the runs hold. When a level holds ``fanout`` runs they are merged
+into one run of the next level. Buckets are aligned, so neither joins nor merges move or sort the
+runs again. Everything is DataFrame code.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestat.llm.common import BLANKS, ascii_lower, discard, fresh_name, scratch, stored, table
+from homestat.llm.common import BLANKS, ascii_lower, child_names, discard, fresh_name, scratch, stored, table, write_line
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -57,66 +63,164 @@ def run_records(lines: DataFrame) -> DataFrame:
     return held.groupBy("hash").agg(F.sum("one").alias("docs"), F.max("doc").alias("last_doc"))
 
 
+@contextmanager
+def sorted_buckets(spark: SparkSession) -> Iterator[None]:
+    """Let scans of bucketed tables tell the planner that one-file buckets are sorted."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @dataclass
 class LineRuns:
-    """Levelled sorted runs in a shared folder."""
+    """Levelled sorted runs in a shared folder, bucketed and sorted by line hash.
+
+    ``levels`` hold the runs proper: every key stands in exactly one of them, because a batch adds
+    only the keys that the merge-anti-join with the runs found unseen. ``updates`` hold, level by
+    level as well, what later batches add to keys that the runs hold already. The counts of a key
+    are its record in the runs plus its records in the updates, so the runs are never aggregated.
+
+    A manifest names the runs; it is written under a new number after the runs it names, and runs
+    that it no longer names are deleted after it. So a batch that was cut off leaves the old state,
+    and ``LineRuns.open`` goes on with it in any later session.
+    """
 
     spark: SparkSession
     root: str
     fanout: int = 3
+    buckets: int = 0
     levels: list[list[str]] = field(default_factory=list)
-    made: int = 0
-
-    SCHEMA = "hash binary, docs long, last_doc long, fresh boolean"
+    updates: list[list[str]] = field(default_factory=list)
+    batches: list[str] = field(default_factory=list)
+    version: int = 0
+
+    SCHEMA = "hash binary, docs long, last_doc long"
+
+    def __post_init__(self) -> None:
+        self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # ---- state ---------------------------------------------------------------------------
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, **new) -> LineRuns:
+        """The state that the newest manifest under ``root`` names; an empty one if there is none."""
+        found = sorted(n for n in child_names(spark, root) if n.startswith("manifest-"))
+        if not found:
+            return cls(spark, root, **new)
+        rows = spark.read.text(f"{root}/{found[-1]}").collect()  # one line
+        return cls(spark, root, **json.loads(rows[0][0]), version=int(found[-1].removeprefix("manifest-")))
+
+    def _commit(self) -> None:
+        said = json.dumps({k: getattr(self, k) for k in ("fanout", "buckets", "levels", "updates", "batches")})
+        self.version += 1
+        write_line(self.spark, f"{self.root}/manifest-{self.version:08d}", said)
+
+    def _write(self, records: DataFrame, name: str) -> str:
+        """A new run: one sorted file a bucket."""
+        run = f"{name}_{uuid.uuid4().hex[:12]}"
+        records.repartition(self.buckets, "hash").write.mode("overwrite").bucketBy(self.buckets, "hash").sortBy("hash") \
+            .option("path", f"{self.root}/{run}").format("parquet").saveAsTable(run)
+        return run
+
+    def table(self, run: str) -> DataFrame:
+        """A run by name, as a bucketed table of this session's catalog."""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {run} ({self.SCHEMA}) USING PARQUET CLUSTERED BY (hash) SORTED BY (hash) "
+                       f"INTO {self.buckets} BUCKETS LOCATION '{self.root}/{run}'")
+        return self.spark.table(run)
+
+    def _forget(self, runs: list[str], files: bool = True) -> None:
+        for run in runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+            if files:
+                discard(self.spark, f"{self.root}/{run}")
+
+    def close(self) -> None:
+        """Take the runs out of the session's catalog; the files and the manifest stay."""
+        self._forget([r for level in self.levels + self.updates for r in level], files=False)
+
+    # ---- batches -------------------------------------------------------------------------
+
+    def unseen(self, batch: DataFrame) -> DataFrame:
+        """Records of keys that no run holds: one merge-anti-join a run, bucket by bucket."""
+        for run in (r for level in self.levels for r in level):
+            batch = batch.join(self.table(run).select("hash").hint("merge"), "hash", "left_anti")
+        return batch
+
+    def ingest(self, lines: DataFrame, batch: str | None = None) -> bool:
+        """Add one batch: (doc, hash) rows of documents that no earlier batch held.
+
+        A named batch that the state holds already changes nothing (False), so a job that is
+        started again after a failure may hand in its batches again.
+        """
+        if batch is not None and batch in self.batches:
+            return False
+        records = run_records(lines)
+        with sorted_buckets(self.spark):
+            if not any(self.levels):
+                put(self.levels, 0, self._write(records, "run"))
+            else:
+                whole = self._write(records, "batch")
+                fresh = self._write(self.unseen(self.table(whole)), "run")
+                # the other keys of the batch: those that did not get into its run
+                held = self.table(whole).join(self.table(fresh).select("hash").hint("merge"), "hash", "left_anti")
+                put(self.updates, 0, self._write(held, "update"))
+                put(self.levels, 0, fresh)
+                self._forget([whole])
+            if batch is not None:
+                self.batches.append(batch)
+            old = self._compact(self.levels, "run") + self._compact(self.updates, "update")
+        self._commit()
+        self._forget(old)
+        return True
+
+    def _compact(self, levels: list[list[str]], name: str) -> list[str]:
+        """Merge each level that is full into one run of the next level; returns the runs merged."""
+        merged, level = [], 0
+        while level < len(levels):
+            if len(levels[level]) >= self.fanout:
+                both = reduce(DataFrame.unionByName, [self.table(r) for r in levels[level]])
+                # a key stands once in the runs, but may stand in many updates
+                put(levels, level + 1, self._write(total(both) if name == "update" else both, name))
+                merged += levels[level]
+                levels[level] = []
+            level += 1
+        return merged
 
-    def _write(self, records: DataFrame, level: int) -> None:
-        path = f"{self.root}/run-{self.made:06d}-level-{level}"
-        self.made += 1
-        records.sortWithinPartitions("hash").write.mode("overwrite").parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+    # ---- reading -------------------------------------------------------------------------
 
     def records(self) -> DataFrame | None:
-        """All runs, unmerged; None before the first batch."""
-        paths = [p for level in self.levels for p in level]
-        return self.spark.read.schema(self.SCHEMA).parquet(*paths) if paths else None
-
-    def ingest(self, lines: DataFrame) -> None:
-        """Add one batch: (doc, hash) rows of documents that no earlier batch held."""
-        batch = run_records(lines)
-        old = self.records()
-        if old is None:
-            marked = batch.withColumn("fresh", F.lit(True))
-        else:
-            batch = stored(batch, "batch")
-            known = old.select("hash")
-            marked = batch.join(known, "hash", "left_anti").withColumn("fresh", F.lit(True)).unionByName(
-                batch.join(known, "hash", "left_semi").withColumn("fresh", F.lit(False)))
-        self._write(marked.select("hash", "docs", "last_doc", "fresh"), 0)
-        self.compact()
-
-    def compact(self) -> None:
-        """Merge each level that is full into one run of the next level."""
-        level = 0
-        while level < len(self.levels):
-            paths = self.levels[level]
-            if len(paths) >= self.fanout:
-                self._write(merge(self.spark.read.schema(self.SCHEMA).parquet(*paths)), level + 1)
-                self.levels[level] = []
-                for p in paths:
-                    discard(self.spark, p)
-            level += 1
+        """(hash, docs, last_doc), one row a key over all batches; None before the first batch."""
+        runs = [r for level in self.levels for r in level]
+        later = [r for level in self.updates for r in level]
+        if not runs:
+            return None
+        if not later:
+            return reduce(DataFrame.unionByName, [self.table(r) for r in runs])
+        added = total(reduce(DataFrame.unionByName, [self.table(r) for r in later])) \
+            .select("hash", F.col("docs").alias("more"), F.col("last_doc").alias("later"))
+        parts = [self.table(r).hint("merge").join(added, "hash", "left").select(
+            "hash", (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"),
+            F.greatest("last_doc", "later").alias("last_doc")) for r in runs]
+        return reduce(DataFrame.unionByName, parts)
 
     def repeated(self, min_docs: int = MIN_DOCS) -> DataFrame | None:
         """(hash, last_doc) of keys in at least ``min_docs`` documents over all batches."""
         found = self.records()
-        return None if found is None else merge(found).where(F.col("docs") >= min_docs).select("hash", "last_doc")
+        return None if found is None else found.where(F.col("docs") >= min_docs).select("hash", "last_doc")
+
+
+def put(levels: list[list[str]], level: int, run: str) -> None:
+    while len(levels) <= level:
+        levels.append([])
+    levels[level].append(run)
 
 
-def merge(records: DataFrame) -> DataFrame:
-    return records.groupBy("hash").agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"),
-                                       F.max("fresh").alias("fresh"))
+def total(records: DataFrame) -> DataFrame:
+    return records.groupBy("hash").agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"))
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = 3, fanout: int = 2,
@@ -136,7 +240,9 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     for b in range(batches):
         runs.ingest(lines.where(F.col("batch") == b))
     # written, so that a hot key's lines can be split among tasks in the join below
-    repeated = stored(runs.repeated(min_docs), "repeated")
+    with sorted_buckets(spark):
+        repeated = stored(runs.repeated(min_docs), "repeated")
+    runs.close()
     lost = lines.join(repeated, "hash").where(F.col("doc") < F.col("last_doc"))
     return lost.groupBy("doc", "version").agg(F.collect_set("line").alias("drop"))
 

@@ -28,20 +28,67 @@ def test_any_batching_gives_the_brute_force_result(spark):
         assert sorted([(r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in out.collect()], key=repr) == brute(rows)
 
 
-def test_runs_are_levelled_and_mark_unseen_keys(spark):
+def batch(spark, ids, text):
+    return D.known_lines(spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string"))
+
+
+NEW = "A line that nobody had before it."
+
+
+def test_runs_hold_each_key_once_and_are_levelled(spark):
+    from homestat.llm.common import scratch
+    runs = D.LineRuns(spark, scratch(spark, "runs"), fanout=2, buckets=4)
+    sizes = lambda levels: [[runs.table(r).count() for r in level] for level in levels]
+    runs.ingest(batch(spark, [1, 2], LINE))
+    assert sizes(runs.levels) == [[1]] and sizes(runs.updates) == []
+    runs.ingest(batch(spark, [3], LINE + "\n" + NEW))
+    # the unseen key got into a run, the seen one into the updates; the full level was merged
+    assert sizes(runs.levels) == [[], [2]] and sizes(runs.updates) == [[1]]
+    runs.ingest(batch(spark, [0], NEW))
+    assert sizes(runs.levels) == [[0], [2]] and sizes(runs.updates) == [[], [2]]
+    assert sorted((r.docs, r.last_doc) for r in runs.records().collect()) == [(2, 3), (3, 3)]
+    runs.ingest(batch(spark, [5], LINE))
+    assert [r.last_doc for r in runs.repeated().collect()] == [5]
+    runs.close()
+
+
+def test_state_goes_on_in_a_later_session(spark):
+    from homestat.llm.common import child_names, scratch
+    root = scratch(spark, "runs")
+    first = D.LineRuns.open(spark, root, fanout=2, buckets=4)
+    assert first.ingest(batch(spark, [1, 2], LINE), "a")
+    first.close()
+    later = D.LineRuns.open(spark.newSession(), root)
+    assert (later.buckets, later.fanout, later.batches) == (4, 2, ["a"])
+    assert not later.ingest(batch(spark, [1, 2], LINE), "a")  # handed in again
+    assert later.ingest(batch(spark, [7], LINE), "b")
+    assert [(r.docs, r.last_doc) for r in later.records().collect()] == [(3, 7)]
+    # only runs that the manifest names are left
+    named = {r for level in later.levels + later.updates for r in level}
+    assert {n for n in child_names(spark, root) if not n.startswith(("manifest-", "."))} == named
+    later.close()
+
+
+def test_runs_are_neither_moved_nor_sorted_again(spark):
+    from homestat.llm.common import scratch
+    runs = D.LineRuns(spark, scratch(spark, "runs"), fanout=3, buckets=4)
+    runs.ingest(batch(spark, [1, 2], LINE))
+    runs.ingest(batch(spark, [3], LINE + "\n" + NEW))
+    with D.sorted_buckets(spark):
+        new = runs._write(D.run_records(batch(spark, [4], LINE + "\n" + NEW)), "batch")
+        plan = runs.unseen(runs.table(new))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and " Sort " not in plan
+    runs.close()
+    runs._forget([new])
+
+
+def test_an_empty_batch_and_an_empty_start(spark):
     from homestat.llm.common import scratch
-    runs = D.LineRuns(spark, scratch(spark, "runs"), fanout=2)
-    batch = lambda ids, text: D.known_lines(spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string"))
-    runs.ingest(batch([1, 2], LINE))
-    assert [len(x) for x in runs.levels] == [1]
-    runs.ingest(batch([3], LINE + "\nA line that nobody had before it."))
-    assert [len(x) for x in runs.levels] == [0, 1]
-    runs.ingest(batch([0], "A line that nobody had before it."))
-    assert [len(x) for x in runs.levels] == [1, 1]
-    assert sorted((r.docs, r.last_doc, r.fresh) for r in runs.records().collect()) == [(1, 0, False), (1, 3, True), (3, 3, True)]
-    runs.ingest(batch([5], LINE))
-    assert [len(x) for x in runs.levels] == [0, 0, 1]
-    assert [(r.last_doc) for r in runs.repeated().collect()] == [5]
+    runs = D.LineRuns(spark, scratch(spark, "runs"), buckets=2)
+    runs.ingest(batch(spark, [1], ""))
+    runs.ingest(batch(spark, [2, 3, 4], LINE))
+    assert [r.last_doc for r in runs.repeated().collect()] == [4]
+    runs.close()
 
 
 def test_clean_keeps_columns(spark):
