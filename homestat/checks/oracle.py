@@ -362,6 +362,10 @@ def build() -> dict[str, str]:
         "g", "price_tier", "count", "price_tier IS NOT NULL", avg_area=AREA1, avg_price_per_m2=PPM1)
     sql["wh_legal_stats"] = with_ctes("clean") + f", {GAPPED} " + _report(
         "g", "legal_status", "count", "legal_status <> 'None'", avg_price=PRICE3, avg_price_per_m2=PPM1)
+    # the same reports by batches, and with exact medians
+    sql["eda_by_district_exact"] = sql["eda_by_district"]
+    for name in ("eda_by_district", "eda_by_type", "wh_district_stats", "wh_legal_stats"):
+        sql[f"{name}_batches"] = sql[name]
     merged = with_ctes("speed") + f", merged AS ({MERGED_ROWS}) "
     sql["wh_merged_district_stats"] = merged + _report(
         "merged", "district, city, data_source", "total_listings", "price_billion IS NOT NULL",

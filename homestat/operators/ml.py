@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from homestat.constants import COEF_FEATURES, FEATURE_LABELS, METRIC_NAMES, SEGMENT_NAMES
 from homestat.operators import kmeans
 from homestat.operators.quantiles import exact_quantile
+from homestat.operators.ranking import global_rank
 from homestat.operators.views import cluster_stats
 from homestat.schema import KMEANS_FEATURES, LR_CAT_FEATURES, LR_LABEL, LR_NUM_FEATURES
 
@@ -96,17 +97,12 @@ def model_input(clean: DataFrame) -> DataFrame:
 def string_index(df: DataFrame, column: str) -> DataFrame:
     """label -> index: most frequent first, ties alphabetical (StringIndexer's order).
 
-    Counting is a partial aggregate; the ranking window runs over the distinct
-    labels only, i.e. the model vocabulary that a fitted StringIndexer keeps
-    on the driver anyway.
+    Counting is a partial aggregate; labels are ranked over range partitions, so their number
+    may grow with the data.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.desc("n"), F.asc(column))
-    return counts.select(
-        F.lit(column).alias("feature"),
-        F.col(column).alias("label"),
-        (F.row_number().over(w) - 1).cast("double").alias("index"),
-    )
+    ranked = global_rank(counts, [F.desc("n"), F.asc(column)], "place")
+    return ranked.select(F.lit(column).alias("feature"), F.col(column).alias("label"), F.col("place").cast("double").alias("index"))
 
 
 def split(df: DataFrame, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:

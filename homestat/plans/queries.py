@@ -21,6 +21,7 @@ from homestat.functions import parse as FP
 from homestat.operators import clean as C
 from homestat.operators import explore as E
 from homestat.operators import html as H
+from homestat.operators import incremental as INC
 from homestat.operators import kmeans
 from homestat.operators import ml as M
 from homestat.operators import profile as P
@@ -588,6 +589,37 @@ REGISTRY["wh_price_distribution"] = _wh("price_distribution")
 REGISTRY["wh_legal_stats"] = _wh("legal_stats")
 
 
+#: Batches that the incremental reports take in one after the other.
+REPORT_BATCHES = 3
+
+
+def by_batches(spark, report: V.Report, rows: DataFrame) -> DataFrame:
+    """A report whose state takes in the rows in batches, the first of them handed in twice."""
+    rows = rows.select("listing_id", *dict.fromkeys([*report.keys, *report.known, *report.not_none, *[m[2] for m in report.measures]]))
+    rows = S.materialize(rows.withColumn("batch", F.pmod(F.xxhash64("listing_id"), F.lit(REPORT_BATCHES))), "clean")
+    state = INC.ReportState(spark, S.scratch_path(spark, "report"), report)
+    for n in range(REPORT_BATCHES):
+        state.add(rows.where(F.col("batch") == n), n)
+        state.add(rows.where(F.col("batch") == 0), 0)
+    return state.result()
+
+
+@query("eda_by_district_exact")
+def eda_by_district_exact(spark, sf):
+    report = V.BATCH_VIEWS["by_district"]
+    return INC.exact(report, clean_once(spark, sf, *report.keys, *dict.fromkeys(m[2] for m in report.measures)))
+
+
+def _by_batches(reports, name, rows=clean):
+    return lambda spark, sf: by_batches(spark, reports[name], rows(spark, sf))
+
+
+REGISTRY["eda_by_district_batches"] = _by_batches(V.BATCH_VIEWS, "by_district")
+REGISTRY["eda_by_type_batches"] = _by_batches(V.BATCH_VIEWS, "by_type")
+REGISTRY["wh_district_stats_batches"] = _by_batches(V.WAREHOUSE_TABLES, "district_stats", lambda spark, sf: gapped(clean(spark, sf)))
+REGISTRY["wh_legal_stats_batches"] = _by_batches(V.WAREHOUSE_TABLES, "legal_stats", lambda spark, sf: gapped(clean(spark, sf)))
+
+
 def merged_listings(spark, sf) -> DataFrame:
     c = clean(spark, sf)
     return W.merged_listings(c, replayed(c))
