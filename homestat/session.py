@@ -39,13 +39,13 @@ def build_session(master: str | None = None, app: str = "homestat",
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the workers of a cluster, whose Python functions import it.
+    """Send this package to the workers, whose Python functions import it.
 
-    Not needed in local mode, nor where the package is installed on the workers
-    (see pyproject.toml); done once per application.
+    Registered queries do it for sessions that the caller made; once per application.  Workers of
+    a local session may lack the package too, if it is only on the caller's own path.
     """
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_homestat_shipped", False):
+    if getattr(sc, "_homestat_shipped", False):
         return
     package = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="homestat-pkg-")) / "homestat.zip"

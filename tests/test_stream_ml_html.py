@@ -182,6 +182,35 @@ def test_html_details(spark):
     assert got["u2"].bedrooms is None
 
 
+def test_failed_pages_are_shown(spark):
+    pages = spark.createDataFrame([(1, "https://site.example/a", CARD_PAGE), (2, "https://site.example/b", "<div data-product-id><![broken"),
+                                   (3, None, None)], "page_id long, url string, html string")
+    broken = [i for i, h in ((1, CARD_PAGE), (2, "<div data-product-id><![broken")) if _fails(h)]
+    rows = H.extract_listings(pages, base_url="https://site.example", with_errors=True).collect()
+    assert sorted(r.page_id for r in rows if r.error) == broken
+    assert sorted(r.page_id for r in rows if not r.error) == [1, 1]
+    details = {r.page_id: r.error for r in H.extract_details(pages, with_errors=True).collect()}
+    assert sorted(details) == [1, 2, 3] and [i for i, e in details.items() if e] == broken
+    assert "error" not in H.extract_listings(pages).columns and "error" not in H.extract_details(pages).columns
+
+
+def _fails(html):
+    try:
+        H._Dom(html)
+    except Exception:  # noqa: BLE001
+        return True
+    return False
+
+
+def test_pages_equal_their_sql_twin(spark, duck):
+    from __spark_entry__ import oracle_sql, queries
+    for name in ("html_extract", "html_detail"):
+        found = queries()[name](spark, "/root/testdata/sf0.001")
+        want = duck.execute(oracle_sql()[name])
+        columns = [c[0] for c in want.description]
+        assert sorted(map(tuple, found.select(columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 def test_exact_quantiles_by_column(spark, monkeypatch):
     from homestat.operators.quantiles import exact_quantiles_by_column
     rng = np.random.default_rng(5)
