@@ -149,8 +149,7 @@ df AS (SELECT v.x, count(DISTINCT rid) AS n FROM (SELECT DISTINCT x FROM tw) v L
 picked AS (SELECT t, x FROM (SELECT DISTINCT t, x, n FROM tw JOIN df USING (x)) QUALIFY row_number() OVER (PARTITION BY t ORDER BY n, x) <= 4),
 posted AS (SELECT tw.* FROM tw JOIN picked USING (t, x)),
 needs AS (SELECT t, any_value(label) AS label, count(*) AS places, CAST(ceil(count(*) / 2) AS BIGINT) AS least FROM posted GROUP BY t),
-seen AS (SELECT rid, x FROM (SELECT DISTINCT rid, x, n FROM pos JOIN df USING (x) WHERE x IN (SELECT x FROM posted))
-  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n, x) <= 24),
+seen AS (SELECT DISTINCT rid, x FROM pos WHERE x IN (SELECT x FROM posted)),
 votes AS (SELECT rid, t, i - p AS o, count(*) AS n FROM pos JOIN seen USING (rid, x) JOIN posted USING (x) GROUP BY 1, 2, 3),
 phrases AS (SELECT m.t, phrase, len(string_split(phrase, ' ')) AS k, min(p) AS place
   FROM {MANDATORY} JOIN tw ON tw.t = m.t JOIN (SELECT t, string_split(text, ' ') AS ws FROM {NOTICES}) f ON f.t = m.t

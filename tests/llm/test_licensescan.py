@@ -70,3 +70,18 @@ def test_bundled_notices_lose_no_label(spark):
     assert len(index["words"]) > 24
     capped = {r.doc_id: r.labels for r in L.scan(docs, how=L.Matching(lookups=24)).collect()}
     assert set(capped[0].split(",")) < set(rows[0].labels.split(","))
+
+
+def test_a_bundle_of_all_notices_equals_the_sql(spark, sql, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from homestat.llm import oracles as O
+    notices = [line.split("'")[-2] for line in O.NOTICES.replace("), (", "),\n(").split("\n") if line.count("'") >= 4]
+    assert len(notices) >= 15
+    texts = ["\n".join(notices), " and ".join(reversed(notices)), notices[0], "nothing here", None]
+    pq.write_table(pa.table({"doc_id": list(range(len(texts))), "text": texts}), f"{tmp_path}/documents.parquet")
+    columns, want = sql(str(tmp_path), O.OP3)
+    found = L.op3(spark, str(tmp_path)).select(columns)
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert len(dict(zip(columns, sorted(want)[0]))["labels"].split(",")) >= 10
