@@ -278,3 +278,21 @@ def test_failed_cards_are_reported(monkeypatch):
     assert [r[-1] for r in rows] == [None, "ValueError: no such thing"] and rows[1][:2] == (7, "u")
     with pytest.raises(ValueError):
         H.select(H._Dom("<p>").root, "p > a")
+
+
+def _outline(node):
+    return [c if isinstance(c, str) else (c.tag, c.attrs, _outline(c)) for c in node.children]
+
+
+def test_plain_pages_are_read_without_the_tolerant_parser(monkeypatch):
+    card = ('<html><body><div class="js__card" data-product-id="7&amp;8"><H3><a href="/x">a &lt; b</a></H3><br><p><span class="price">'
+            '5,2 tỷ</span></div></p> tail</body></html>')
+    detail = ('<div class="re__pr-specs-content-item"><span class="re__pr-specs-content-item-title">Số tầng</span>'
+              '<span class="re__pr-specs-content-item-value">3</span></div><div class="re__contact-name">x</div>')
+    for page in (card, detail, "text", "</p>a<p>b", '<p class="a" class="b">'):
+        assert _outline(H._tree(page)) == _outline(H._Dom(page).root)
+    for page in ("a < b", "<br/>", "<!-- <p> -->x", "<script>'<p>'</script>", "<p x=y>", "<p", "a &am", "</p x>"):
+        assert _outline(H._tree(page)) == _outline(H._Dom(page).root)
+    monkeypatch.setattr(H, "_Dom", None)
+    assert H._cards_of(1, "u", card, H.CARD_SELECTORS) == [(1, "u", "7&8", "a < b", "/x", "5,2 tỷ", "", "", None)]
+    assert H._details_of(1, "u", detail, H.DETAIL_SELECTORS) == (1, "u", [{"title": "Số tầng", "value": "3"}], None, "x", None)
