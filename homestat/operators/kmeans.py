@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestat.schema import KMEANS_FEATURES
+from homestat.session import materialize
 
 #: Units of a feature or a z-score.
 UNIT = 1_000_000
@@ -75,7 +76,12 @@ def nearest_centre(scores: list[Column], centres: list[tuple[float, ...]]) -> Co
             total = part if total is None else total + part
         return total
 
-    return F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))["i"]
+    distances = [distance(c) for c in centres]
+    least = F.least(*distances) if len(distances) > 1 else distances[0]
+    number = F.lit(0)  # also without scores
+    for i in reversed(range(1, len(centres))):
+        number = F.when(distances[i] <= least, F.lit(i)).otherwise(number)
+    return F.when(distances[0] <= least, F.lit(0)).otherwise(number)
 
 
 @dataclass
@@ -94,7 +100,7 @@ class Segmentation:
 def fit(data: DataFrame, k: int = 5, max_iter: int = 30, features: list[str] = KMEANS_FEATURES, row_id: str = "listing_id") -> Segmentation:
     """Lloyd's steps from greedy seeds until no centre moves, ``max_iter`` at most.
 
-    ``data`` is scanned once a step, so it should be a written table.  A centre without points stays
+    ``data`` is scanned three times, so it should be a written table; its scores are written and scanned once a step.  A centre without points stays
     where it is.  With fewer rows than ``k`` there are as many centres as rows; without rows, none.
     """
     scale = fit_scale(data, features)
@@ -103,7 +109,8 @@ def fit(data: DataFrame, k: int = 5, max_iter: int = 30, features: list[str] = K
     first = data.orderBy(F.md5(F.col(row_id).cast("string")), row_id, *features).limit(SEED_ROWS).select(*[z.alias(n) for z, n in zip(scores, names)])
     # a limit keeps the order of the sort before it
     centres = choose_seeds([tuple(r) for r in first.collect()], k)
-    points = data.select(*[z.alias(n) for z, n in zip(scores, names)])
+    # the steps read the scores alone
+    points = materialize(data.select(*[z.alias(n) for z, n in zip(scores, names)]), "points")
     step = 0
     while centres and step < max_iter:
         step += 1
