@@ -45,36 +45,59 @@ class _Search:
         return cond
 
 
+def _neighbours(searches: list[_Search]) -> list[list[_Search]]:
+    """Searches of one interval whose ranks are the same or next to each other: they share bracket ends."""
+    out: list[list[_Search]] = []
+    for s in sorted(searches, key=lambda s: s.rank):
+        if out and s.rank - out[-1][-1].rank <= 1:
+            out[-1].append(s)
+        else:
+            out.append([s])
+    return out
+
+
 def _narrow(long: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    """One round for all open searches: a sketch pass for bracket ends, a counting pass for their ranks."""
+    """One round for all open searches: a sketch pass for bracket ends, a counting pass for their ranks.
+
+    An interval that several searches lie in is sketched once.
+    """
     eps = 1.0 / accuracy
+    intervals: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        intervals.setdefault((s.column, s.lo, s.hi), []).append(s)
+    groups = [_neighbours(same) for same in intervals.values()]
     sketches = []
-    for i, s in enumerate(searches):
-        rel = (s.rank - s.below) / s.size
-        ends = [max(0.0, rel - 2 * eps), min(1.0, rel + 2 * eps)]
-        sketches.append(F.percentile_approx(F.when(s.inside(), F.col("x")), ends, accuracy).alias(f"q{i}"))
+    for i, parts in enumerate(groups):
+        ends = []
+        for part in parts:
+            place = lambda s: (s.rank - s.below) / s.size
+            ends += [max(0.0, place(part[0]) - 2 * eps), min(1.0, place(part[-1]) + 2 * eps)]
+        sketches.append(F.percentile_approx(F.when(parts[0][0].inside(), F.col("x")), ends, accuracy).alias(f"q{i}"))
     brackets = long.agg(*sketches).first()
-    counts = []
-    for i, s in enumerate(searches):
-        a, b = brackets[f"q{i}"]
-        x = F.when(s.inside(), F.col("x"))
-        counts += [F.count(F.when(x < a, 1)).alias(f"la{i}"), F.count(F.when(x <= a, 1)).alias(f"ua{i}"),
-                   F.count(F.when(x < b, 1)).alias(f"lb{i}"), F.count(F.when(x <= b, 1)).alias(f"ub{i}")]
+    counts, wanted = [], []
+    for i, parts in enumerate(groups):
+        x = F.when(parts[0][0].inside(), F.col("x"))
+        for j, part in enumerate(parts):
+            a, b = brackets[f"q{i}"][2 * j:2 * j + 2]
+            k = len(wanted)
+            wanted.append((part, a, b))
+            counts += [F.count(F.when(x < a, 1)).alias(f"la{k}"), F.count(F.when(x <= a, 1)).alias(f"ua{k}"),
+                       F.count(F.when(x < b, 1)).alias(f"lb{k}"), F.count(F.when(x <= b, 1)).alias(f"ub{k}")]
     found = long.agg(*counts).first()
-    for i, s in enumerate(searches):
-        a, b = brackets[f"q{i}"]
-        below_a, upto_a, below_b, upto_b = (found[f"{k}{i}"] for k in ("la", "ua", "lb", "ub"))
-        r = s.rank - s.below
-        if r < below_a:
-            s.hi, s.size = a, below_a
-        elif r < upto_a:
-            s.value = a
-        elif r < below_b:
-            s.lo, s.hi, s.below, s.size = a, b, s.below + upto_a, below_b - upto_a
-        elif r < upto_b:
-            s.value = b
-        else:
-            s.lo, s.below, s.size = b, s.below + upto_b, s.size - upto_b
+    for k, (part, a, b) in enumerate(wanted):
+        below_a, upto_a, below_b, upto_b = (found[f"{name}{k}"] for name in ("la", "ua", "lb", "ub"))
+        for s in part:
+            r = s.rank - s.below
+            if r < below_a:
+                s.hi, s.size = a, below_a
+            elif r < upto_a:
+                s.value = a
+            elif r < below_b:
+                s.lo, s.hi, s.below, s.size = a, b, s.below + upto_a, below_b - upto_a
+            elif r < upto_b:
+                s.value = b
+            else:
+                s.lo, s.below, s.size = b, s.below + upto_b, s.size - upto_b
 
 
 def _read(long: DataFrame, searches: list[_Search]) -> None:
