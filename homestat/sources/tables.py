@@ -123,13 +123,12 @@ def _price_text(price: Column) -> Column:
     )
 
 
-def raw_listings(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
-    """One raw listing per line item (20 typed columns, plus ``_seq`` for "first")."""
-    j = joined_lines(spark, sf_dir)
+def _listing_columns() -> dict[str, Column]:
+    """The 20 listing columns over ``joined_lines``."""
     district = F.when(F.col("n_nationkey") != NULL_DISTRICT_NATION, F.col("n_name"))
     area0 = F.col("l_quantity") * 8
     price = _price()
-    cols = {
+    return {
         "listing_id": _listing_id(),
         "title": F.concat(F.col("p_name"), F.lit(" "), F.col("n_name")),
         "property_type": F.col("p_type"),
@@ -151,10 +150,24 @@ def raw_listings(spark: SparkSession, sf_dir: str, with_order: bool = True) -> D
         "url": F.concat(F.lit(LISTING_BASE_URL + "/listing/"), _listing_id()),
         "scraped_at": F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"),
     }
+
+
+def raw_listings(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
+    """One raw listing per line item (20 typed columns, plus ``_seq`` for "first")."""
+    cols = _listing_columns()
     out = [cols[c].alias(c) for c in RAW_COLUMNS]
     if with_order:
         out.append(F.struct(*DEDUP_ORDER).alias("_seq"))
-    return j.select(*out)
+    return joined_lines(spark, sf_dir).select(*out)
+
+
+def listing_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """What listings are made of: the joined lines, the listing columns over them, and the key of a listing.
+
+    The key is the two numbers of the listing id; where one is missing, and so the id, both are.
+    """
+    order = F.when(F.col("l_linenumber").isNotNull(), F.col("l_orderkey"))
+    return joined_lines(spark, sf_dir).withColumn("_order", order), _listing_columns(), ["_order", "l_linenumber"]
 
 
 def listing_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
