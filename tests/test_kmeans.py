@@ -51,3 +51,14 @@ def test_edge_inputs(spark):
     assert none.centres == [] and [r.cluster for r in none.assign(few).collect()] == [None] * 3
     same = spark.createDataFrame([(f"s{i}", 1.0, 2.0, 3.0, 4) for i in range(9)], SCHEMA)
     assert {r.cluster for r in kmeans.fit(same).assign(same).collect()} == {0}
+
+
+def test_nearest_centre_by_comparison(spark):
+    rows = [(0, 0), (5, 0), (10, 0), (None, 1), (100, 7)]
+    df = spark.createDataFrame(rows, "z0 long, z1 long")
+    centres = [(0.0, 0.0), (10.0, 0.0), (10.0, 0.0), (100.0, 0.0)]
+    nearest = kmeans.nearest_centre([F.col("z0"), F.col("z1")], centres)
+    assert [r[0] for r in df.select(nearest).collect()] == [0, 0, 1, 0, 3]  # ties, and no scores, to the smallest number
+    assert [r[0] for r in df.select(kmeans.nearest_centre([F.col("z0"), F.col("z1")], centres[:1])).collect()] == [0] * 5
+    plan = df.select(nearest)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" not in plan

@@ -296,3 +296,13 @@ def test_plain_pages_are_read_without_the_tolerant_parser(monkeypatch):
     monkeypatch.setattr(H, "_Dom", None)
     assert H._cards_of(1, "u", card, H.CARD_SELECTORS) == [(1, "u", "7&8", "a < b", "/x", "5,2 tỷ", "", "", None)]
     assert H._details_of(1, "u", detail, H.DETAIL_SELECTORS) == (1, "u", [{"title": "Số tầng", "value": "3"}], None, "x", None)
+
+
+def test_an_interval_is_sketched_once(spark, monkeypatch):
+    from homestat.operators import quantiles as Q
+    df = spark.range(3000).select(F.col("id").cast("double").alias("x"))
+    made = []
+    real = F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda *a: (made.append(a), real(*a))[1])
+    assert Q.exact_quantiles_by_column(df, ["x"], [0.25, 0.5, 0.75], band_rows=100) == {"x": [749.75, 1499.5, 2249.25]}
+    assert len(made) == 1
