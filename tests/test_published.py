@@ -126,3 +126,10 @@ def test_live_aggregate_restarts_after_a_killed_batch(spark, tmp_dir, monkeypatc
     assert [(r.new_listings, r.avg_price) for r in table.read().collect()] == [(3, 3.0)]
     run()
     assert table.read().first().new_listings == 3
+
+
+def test_messages_and_stream_output_are_packed_densely(spark, tmp_dir):
+    step(spark, tmp_dir, [1, 2])
+    data = [n for found in (f"{tmp_dir}/in/1", f"{tmp_dir}/out") for n in P.Folder(spark, found).names() if n.endswith(".parquet")]
+    assert len(data) >= 2 and all(n.endswith(".zstd.parquet") for n in data)
+    assert {r.listing_id for r in spark.read.parquet(f"{tmp_dir}/out").collect()} == {"1", "2"}
