@@ -78,3 +78,14 @@ def test_stream_message_parsed_once(spark):
     c = C.clean_listings(raw_listings(spark, SF_SMALL))
     opt = replay(c, through_json=True)._jdf.queryExecution().optimizedPlan().toString()
     assert opt.count("from_json") == 1 and opt.count("StructsToJson") == 1
+
+
+def test_serving_flow_writes_the_cleaned_table_once(spark, monkeypatch):
+    from homestat.plans import queries as Q
+
+    wide = []
+    monkeypatch.setattr(Q.SK, "write_parquet", lambda df, path: (wide.append(path.rsplit("/", 1)[-1]), write_parquet(df, path))[1])
+    kept = Q.S.materialize
+    monkeypatch.setattr(Q.S, "materialize", lambda df, name: (wide.append(name), kept(df, name))[1])
+    assert Q.flow_serve(spark, SF_SMALL).count() > 0
+    assert [n for n in wide if n.startswith("clean")] == ["cleaned"]
