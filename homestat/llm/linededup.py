@@ -232,10 +232,8 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     """
     spark = docs.sparkSession
     lines = known_lines(docs, doc_id, text, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int"))
-    path = scratch(spark, "lines")
-    lines.write.mode("overwrite").partitionBy("batch").parquet(path)
-    schema = "doc long, version long, line int, hash binary, batch int"
-    lines = spark.read.schema(schema).parquet(path)
+    # one file a task: the lines are narrow, so that a batch may as well read them all
+    lines = stored(lines, "lines")
     runs = LineRuns(spark, scratch(spark, "runs"), fanout)
     for b in range(batches):
         runs.ingest(lines.where(F.col("batch") == b))

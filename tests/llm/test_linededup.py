@@ -95,3 +95,13 @@ def test_clean_keeps_columns(spark):
     docs = spark.createDataFrame([(i, LINE + "\nx", 5, "d") for i in range(3)] + [(9, None, 0, None)], "doc_id long, text string, n_chars long, _drop string")
     out = {r.doc_id: r for r in D.clean(docs).collect()}
     assert out[0].text == "x" and out[0].n_chars == 1 and out[2].text == LINE + "\nx" and out[9].text is None and out[0]._drop == "d"
+
+
+def test_lines_are_written_as_one_file_a_task(spark, monkeypatch):
+    made, keep = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name: made.append((name, df.rdd.getNumPartitions(), out := keep(df, name))) or out)
+    text = "the same long line of text\nanother long line of text"
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string").repartition(2)
+    assert D.dedup_lines(docs).where("n_dropped > 0").count() == 39
+    [(tasks, lines)] = [(n, df) for name, n, df in made if name == "lines"]
+    assert len(lines.inputFiles()) <= tasks
