@@ -33,3 +33,20 @@ def test_document_that_loses_most_lines_is_rejected(spark):
     docs = spark.createDataFrame([(1, bad)], "doc_id long, text string")
     row = quality.judge(docs).first()
     assert not row.base_failed and not row.kept and row.n_bad_lines == 20
+
+
+def test_a_worker_gets_texts_in_slices(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from homestat.llm import common
+    name, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", 3000
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        df = spark.range(0, docs, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("text"))
+        got = common.extend(df, [("held", T.LongType())], lambda texts: [[sum(map(len, texts))] * len(texts)]).select("id", "held").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(r["id"] for r in got) == list(range(docs))
+    assert max(r["held"] for r in got) <= common.SLICE_BYTES
