@@ -30,7 +30,7 @@ def input_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     value = F.col("value")
     return lines.select(
-        one_name(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"), value,
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), value,
         (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))).alias("quotes"))
 
 
@@ -69,32 +69,34 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str,
 def numbered(lines: DataFrame) -> DataFrame:
     """``lines`` plus ``at``, a line's number in its split, and ``odd``: an odd number of quotes before it there.
 
-    Text passes through untouched; a running sum in the order of the split is all that is computed.
+    A running sum in the order of the split is all that is computed, so only the split and the number
+    of quotes go to Python; the texts stay where they are.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         last, line, odd = None, 0, 0
-        for batch in batches:
-            if not len(batch):
+        for files, blocks, counts in batches:
+            if not len(files):
                 continue
-            file, block = batch.column(0), batch.column(1).to_numpy()
-            codes = file.dictionary_encode().indices.to_numpy()
-            new = np.concatenate(([last != (file[0].as_py(), block[0])], (np.diff(codes) != 0) | (np.diff(block) != 0)))
+            file, block = files.to_numpy(), blocks.to_numpy()
+            new = np.concatenate(([last != (file[0], block[0])], (np.diff(file) != 0) | (np.diff(block) != 0)))
             first = np.flatnonzero(new)
             start = np.where(np.cumsum(new) > 0, np.append(first, 0)[np.maximum(np.cumsum(new) - 1, 0)], -1)
-            quotes = batch.column(3).to_numpy().astype(np.int64)
+            quotes = counts.to_numpy().astype(np.int64)
             before = np.cumsum(quotes) - quotes
-            at = np.arange(len(batch)) - start
+            at = np.arange(len(file)) - start
             parity = before - np.where(start >= 0, before[np.maximum(start, 0)], 0)
             open_ = start < 0  # the split began in an earlier batch
             at[open_] += line - 1
             parity[open_] += odd
             parity &= 1
-            last, line, odd = (file[len(batch) - 1].as_py(), block[-1]), int(at[-1]) + 1, int(parity[-1] + quotes[-1]) & 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(parity.astype(bool))],
-                                             names=["file", "block", "value", "quotes", "at", "odd"])
+            last, line, odd = (file[-1], block[-1]), int(at[-1]) + 1, int(parity[-1] + quotes[-1]) & 1
+            yield pa.StructArray.from_arrays([pa.array(at), pa.array(parity.astype(bool))], names=["at", "odd"])
 
-    return lines.mapInArrow(run, "file string, block long, value string, quotes int, at long, odd boolean")
+    # depends on the rows before, so no filter may be moved below it
+    place = F.arrow_udf(run, "at long, odd boolean").asNondeterministic()
+    placed = lines.withColumn("place", place(F.xxhash64("file"), F.col("block"), F.col("quotes")))
+    return placed.select(*lines.columns, "place.at", "place.odd")
 
 
 def joined_lines(part: Column, order: Column) -> Column:
@@ -112,9 +114,10 @@ def records(spark: SparkSession, path: str | list[str], headers: DataFrame) -> D
     lines = input_lines(spark, path)
     totals = lines.groupBy(*SPLIT).agg(F.sum("quotes").alias("quotes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = totals.select(*SPLIT, (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
-    splits = materialize(splits.join(headers, "file"), "splits")
-    placed = numbered(lines).join(splits, SPLIT)
+    splits = totals.select(*SPLIT, one_name(F.col("file")).alias("name"), (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
+    # file names are brought to one form here, once a split
+    splits = materialize(splits.join(headers.withColumnRenamed("file", "name"), "name"), "splits")
+    placed = numbered(lines).join(splits, SPLIT).drop("file").withColumnRenamed("name", "file")
     starts = F.col("odd") == F.col("inside")
     whole = starts & (F.col("quotes") % 2 == 0)
     single = placed.where(whole).select(*SPLIT, "at", "header", F.col("value").alias("text"))
@@ -134,7 +137,8 @@ def records(spark: SparkSession, path: str | list[str], headers: DataFrame) -> D
         F.first("header").alias("header"), joined_lines(F.col("text"), order).alias("text"))
     across = across.select("file", F.col("start.block").alias("block"), F.col("start.record").alias("at"), "header", "text")
     every = single.unionByName(within).unionByName(across)
-    text = F.regexp_replace(F.regexp_replace("text", "\r\n", "\n"), "\r$", "")
+    text = F.when(F.contains("text", F.lit("\r")), F.regexp_replace(F.regexp_replace("text", "\r\n", "\n"), "\r$", "")) \
+        .otherwise(F.col("text"))  # most records have no carriage return to look for
     return every.where(~((F.col("block") == 0) & (F.col("at") == 0))).withColumn("text", text).where(F.col("text") != "")
 
 

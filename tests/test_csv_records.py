@@ -103,3 +103,13 @@ def test_bad_headers_are_errors(spark, tmp_dir):
 def test_no_file_gives_no_rows(spark, tmp_dir):
     open(f"{tmp_dir}/a.csv", "w").close()
     assert read_raw_csv(spark, tmp_dir).select(*RAW_COLUMNS, F.col("_seq.file")).collect() == []
+
+
+def test_texts_do_not_go_to_python(spark, tmp_dir):
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write("a,b\n1,x\n")
+    lines = R.input_lines(spark, tmp_dir)
+    plan = R.numbered(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    called = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    assert "value#" not in called.split("[")[1]
