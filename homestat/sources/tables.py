@@ -5,10 +5,12 @@ mapping turns every line item into one raw listing (see FIXTURES.md §3).  The
 same mapping is written in DuckDB SQL in ``homestat.checks.duckdb_sql`` so
 every operator can be checked against an independent engine.
 
-Join plan: the fact table joins orders on the order key (both large: a
-sort-merge join on that key), then part and supplier on their keys; Catalyst
-and AQE broadcast a dimension only when its measured size is under the
-broadcast threshold, otherwise they shuffle-join it, splitting skewed keys.
+Join plan: the fact table joins part and supplier on their keys, then orders on
+the order key (both large: a sort-merge join on that key); Catalyst and AQE
+broadcast a dimension only when its measured size is under the broadcast
+threshold, otherwise they shuffle-join it, splitting skewed keys.  Orders come
+last: the shuffles before carry no order columns, and the joined rows lie by
+order key, as the dedup of listings needs them.
 nation and region are fixed-size dimensions (25 and 5 rows by the schema's
 definition), so they are broadcast explicitly.
 """
@@ -25,6 +27,8 @@ from homestat.schema import RAW_COLUMNS
 LISTING_BASE_URL = "https://listings.example"
 NEGOTIABLE_PRICE = "Thỏa thuận"
 NULL_DISTRICT_NATION = 24
+#: The two numbers of a listing id: the key of listings that have one.
+LISTING_KEY = ["l_orderkey", "l_linenumber"]
 DEDUP_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
 # First word of the part type -> listing category slug; PROMO stays unknown.
 TYPE_WORD_SLUGS = {
@@ -87,10 +91,10 @@ def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # supplier joins on its own so the planner sizes it from its files; the
     # fixed-size geography is attached afterwards by broadcast
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
+        li.join(part, li.l_partkey == part.p_partkey)
         .join(supplier, li.l_suppkey == supplier.s_suppkey)
         .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
+        .join(orders, li.l_orderkey == orders.o_orderkey)
     )
 
 

@@ -89,3 +89,16 @@ def test_serving_flow_writes_the_cleaned_table_once(spark, monkeypatch):
     monkeypatch.setattr(Q.S, "materialize", lambda df, name: (wide.append(name), kept(df, name))[1])
     assert Q.flow_serve(spark, SF_SMALL).count() > 0
     assert [n for n in wide if n.startswith("clean")] == ["cleaned"]
+
+
+def test_cleaned_listings_are_not_shuffled_again_for_their_dedup(spark):
+    from homestat.plans.queries import clean
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as with large orders
+    try:
+        p = plan(clean(spark, SF_SMALL))
+    finally:
+        spark.conf.set(name, before)
+    assert "Window" in p and "hashpartitioning(l_orderkey" in p
+    assert not any("hashpartitioning" in line and "l_linenumber" in line for line in p.splitlines())
