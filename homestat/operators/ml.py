@@ -25,6 +25,7 @@ from homestat.operators.quantiles import exact_quantile
 from homestat.operators.ranking import global_rank
 from homestat.operators.views import cluster_stats
 from homestat.schema import KMEANS_FEATURES, LR_CAT_FEATURES, LR_LABEL, LR_NUM_FEATURES
+from homestat.session import materialize
 
 # ---- K-Means segments --------------------------------------------------------------
 
@@ -80,7 +81,8 @@ def segments(clean: DataFrame, k: int = 5, max_iter: int = 30) -> Segments:
     """Fit, assign, name clusters.  ``clean`` is scanned once a step: hand in a written table."""
     data = kmeans_input(clean)
     assigned = kmeans.fit(data, k, max_iter).assign(data)
-    stats = cluster_stats(assigned)
+    # k rows that names, statistics and clustered rows are all made from: the clusters are counted once
+    stats = materialize(cluster_stats(assigned), "cluster_stats")
     names = segment_table(stats)
     # names has k rows (k is a parameter, not data-dependent): safe to broadcast.
     clustered = assigned.join(F.broadcast(names), "cluster")
@@ -136,7 +138,8 @@ class PriceModel:
 
 
 def train_price_model(clean: DataFrame) -> PriceModel:
-    train, test = split(model_input(clean))
+    # fit, metrics and predictions read the rows a dozen times: they are picked and split once
+    train, test = (materialize(part, name) for part, name in zip(split(model_input(clean)), ("train", "test")))
     model = fit_regression(train)
     return PriceModel(model, train, test, model.transform(test))
 

@@ -102,3 +102,14 @@ def test_cleaned_listings_are_not_shuffled_again_for_their_dedup(spark):
         spark.conf.set(name, before)
     assert "Window" in p and "hashpartitioning(l_orderkey" in p
     assert not any("hashpartitioning" in line and "l_linenumber" in line for line in p.splitlines())
+
+
+def test_models_read_written_rows(spark):
+    from homestat.operators import ml as M
+    rows = [(f"{i}-1", ("a", "b")[i % 2], ("x", "y")[i % 3 % 2], "c", 1.0 + i % 7, 30.0 + i, 50.0, i % 4 + 1, 1, 2) for i in range(60)]
+    c = spark.createDataFrame(rows, "listing_id string, property_type string, district string, city string, price_billion double, "
+                                    "area_m2 double, price_per_m2_million double, bedrooms int, bathrooms int, floors int")
+    pm = M.train_price_model(c)
+    assert "md5" not in plan(pm.train) and "md5" not in plan(pm.predictions)
+    assert pm.train.count() + pm.test.count() == 60
+    assert "Aggregate" not in plan(M.segments(c).stats)
