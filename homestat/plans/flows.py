@@ -47,8 +47,13 @@ def batch_outputs(clean: DataFrame, with_models: bool = True) -> dict[str, DataF
 
 def batch(spark: SparkSession, raw: DataFrame, root: str, with_models: bool = True) -> DataFrame:
     """clean -> EDA views -> K-Means -> regression -> warehouse -> export; returns output row counts."""
+    return batch_of(spark, C.clean_listings(raw), root, with_models)
+
+
+def batch_of(spark: SparkSession, cleaned: DataFrame, root: str, with_models: bool = True) -> DataFrame:
+    """``batch`` from the cleaning that is handed in, which is run once, into the written table."""
     cleaned_path = f"{root}/cleaned"
-    SK.write_parquet(C.clean_listings(raw), cleaned_path)
+    SK.write_parquet(cleaned, cleaned_path)
     clean = SF.read_clean(spark, cleaned_path)
     counts = {"cleaned": clean.count()}
     for name, df in batch_outputs(clean, with_models).items():
@@ -108,4 +113,4 @@ def serve(spark: SparkSession, root: str) -> dict[str, int]:
     return counts
 
 
-__all__ = ["batch", "batch_outputs", "export", "speed", "serve"]
+__all__ = ["batch", "batch_of", "batch_outputs", "export", "speed", "serve"]
