@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homestat.session import materialize
+from homestat.session import materialize, materialized, shuffles_dropped
 from homestat.sources.paths import one_name
 
 HEAD_THREADS = 16
@@ -117,17 +117,20 @@ def records(spark: SparkSession, path: str | list[str], headers: DataFrame) -> D
     splits = totals.select(*SPLIT, one_name(F.col("file")).alias("name"), (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
     # file names are brought to one form here, once a split
     splits = materialize(splits.join(headers.withColumnRenamed("file", "name"), "name"), "splits")
-    placed = numbered(lines).join(splits, SPLIT).drop("file").withColumnRenamed("name", "file")
+    # as many rows as the list of splits that the driver plans a scan with: no line is shuffled for them
+    placed = numbered(lines).join(F.broadcast(splits), SPLIT).drop("file").withColumnRenamed("name", "file")
     starts = F.col("odd") == F.col("inside")
     whole = starts & (F.col("quotes") % 2 == 0)
     single = placed.where(whole).select(*SPLIT, "at", "header", F.col("value").alias("text"))
     # lines of records that have several: few, so they are written once and brought together
-    loose = materialize(placed.where(~whole).select(*SPLIT, "at", "header", "value", "quotes", starts.alias("starts")), "loose")
-    so_far = Window.partitionBy(*SPLIT).orderBy("at")
-    record = F.max(F.when(F.col("starts"), F.col("at"))).over(so_far)
-    parts = loose.withColumn("record", record).groupBy(*SPLIT, "record").agg(
-        F.first("header").alias("header"), (F.sum("quotes") % 2 == 1).alias("open"), joined_lines(F.col("value"), F.col("at")).alias("text"))
-    parts = materialize(parts, "parts")
+    several = placed.where(~whole).select(*SPLIT, "at", "header", "value", "quotes", starts.alias("starts"))
+    with materialized(several, "loose") as loose:
+        so_far = Window.partitionBy(*SPLIT).orderBy("at")
+        record = F.max(F.when(F.col("starts"), F.col("at"))).over(so_far)
+        parts = loose.withColumn("record", record).groupBy(*SPLIT, "record").agg(
+            F.first("header").alias("header"), (F.sum("quotes") % 2 == 1).alias("open"), joined_lines(F.col("value"), F.col("at")).alias("text"))
+        with shuffles_dropped(spark):
+            parts = materialize(parts, "parts")
     ended = F.col("record").isNotNull() & ~F.col("open")
     within = parts.where(ended).select(*SPLIT, F.col("record").alias("at"), "header", "text")
     # at most two parts a split are left: the end of an earlier split's record, and an open one

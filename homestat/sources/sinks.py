@@ -13,9 +13,12 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
-    """Cleaned table as CSV with header (no index column); ``read_clean`` gives back the same rows."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS, compression=compression).csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none", records_per_file: int = 0) -> None:
+    """Cleaned table as CSV with header (no index column); ``read_clean`` gives back the same rows.
+
+    No file has more than ``records_per_file`` records, if that is given.
+    """
+    df.write.mode("overwrite").options(**CSV_OPTIONS, compression=compression, maxRecordsPerFile=records_per_file).csv(path)
 
 
 def export_views(spark: SparkSession, views: dict[str, str], target: str) -> DataFrame:
