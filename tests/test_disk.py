@@ -98,3 +98,28 @@ def test_no_line_is_shuffled_for_its_split(spark, tmp_dir):
         assert sorted((r.a, r.b) for r in df.collect()) == [("1", "x"), ("2", "y\nz")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_steps_dealt_in_passes_are_one_file_each_and_are_deleted(spark, monkeypatch):
+    c = listings(spark, 600)
+    monkeypatch.setattr(Q, "clean", lambda spark, sf: c)
+    monkeypatch.setattr(Q, "STEP_MESSAGES", 20)
+    sent = Q.messages(c).withColumn("n", F.conv(F.substring(F.md5("listing_id"), 1, 8), 16, 10).cast("long"))
+    steps = -(-sent.count() // 20)
+    assert steps // Q.LEAST_STEPS > 1  # several passes
+    names, files, read = scratch_names(spark), [], Q.ST.read_envelope_files
+
+    def counted(spark, path, **how):
+        files.extend(spark.read.parquet(path).inputFiles())
+        return read(spark, path, **how)
+
+    monkeypatch.setattr(Q.ST, "read_envelope_files", counted)
+    out = Q.stepwise_stream(spark, "/nowhere", Q.STREAM_FILES)
+    arrived = {r.n % steps for r in sent.collect()}
+    assert len(files) == len(arrived) and {f.split("step=")[1].split("/")[0] for f in files} == {str(k) for k in arrived}
+    committed = spark.read.parquet(*[r.path for r in PB.committed_files(spark, out).collect()])
+    ids = lambda df: sorted(r.listing_id for r in df.select("listing_id").collect())
+    assert ids(committed) == ids(sent)
+    new = scratch_names(spark) - names
+    assert {n.rsplit("-", 1)[0] for n in new} == {"steps"}  # the written messages are gone
+    assert sorted(n for n in PB.Folder(spark, out.removesuffix("/out")).names() if not n.startswith(".")) == ["ckpt", "out"]
